@@ -3,15 +3,13 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: ISO-8601 with the fraction only where there is one.
-_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-_MICROS = _SECONDS + ".SSSSSS"
+_WITH_MICROS = len("2024-01-05T10:11:12.000000")
 
 
 def _iso(name):
-    ts = F.col(name)
-    whole = F.date_trunc("second", ts) == ts
-    return F.when(whole, F.date_format(ts, _SECONDS)).otherwise(F.date_format(ts, _MICROS))
+    """ISO-8601 text; six digits of fraction where there is one. No time zone is involved."""
+    text = F.replace(F.col(name).cast("string"), F.lit(" "), F.lit("T"))
+    return F.when(text.contains("."), F.rpad(text, _WITH_MICROS, "0")).otherwise(text)
 
 
 def encode(df):
