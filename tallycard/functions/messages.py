@@ -12,20 +12,20 @@ def _iso(name):
     return F.when(text.contains("."), F.rpad(text, _WITH_MICROS, "0")).otherwise(text)
 
 
-def encode(df):
-    """One `value` column with each row as JSON; a NULL field is written as null."""
+def as_message(schema):
+    """Column with a row of this schema as JSON; a NULL field is written as null."""
     fields = []
-    for field in df.schema.fields:
+    for field in schema.fields:
+        column = F.col(field.name)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            fields.append(_iso(field.name).alias(field.name))
+            column = _iso(field.name)
         elif isinstance(field.dataType, T.DecimalType):
-            fields.append(F.col(field.name).cast("double").alias(field.name))
-        else:
-            fields.append(F.col(field.name))
-    return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
+            column = column.cast("double")
+        fields.append(column.alias(field.name))
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def decode(df, schema, column="value"):
+def decode(messages, schema, column="value"):
     """Typed columns back from a JSON text (or bytes) column."""
-    parsed = F.from_json(F.col(column).cast("string"), schema)
-    return df.select(parsed.alias("message")).select("message.*")
+    parsed = F.from_json(F.col(column).cast("string"), schema, {"mode": "FAILFAST"})
+    return messages.select(parsed.alias("message")).select("message.*")
