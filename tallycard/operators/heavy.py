@@ -10,11 +10,12 @@ balance, so every round settles at least one more, and the result equals the wal
 """
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
 import pandas as pd
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycard.operators.ledger import ORDER, run_ledger
@@ -29,14 +30,33 @@ MAX_SEGMENTS = 10_000
 _CHAIN = "card_id int, segment int, entry_cents bigint, known boolean"
 
 
-def heavy_cards(transactions, heavy_rows=HEAVY_ROWS):
-    """Cards with more than `heavy_rows` rows: at most (all rows / heavy_rows) of them."""
+@dataclass
+class HeavyCards:
+    """The heavy cards of a table. There are at most (rows of the table / heavy_rows) of them."""
+
+    cards: DataFrame
+    segments: int
+    folder: str
+
+
+def find(transactions, heavy_rows=HEAVY_ROWS):
+    """The cards with more than `heavy_rows` rows, stored for the job; None if there is none."""
     sizes = transactions.groupBy("card_id").agg(F.count(F.lit(1)).alias("card_rows"))
-    return sizes.where(F.col("card_rows") > heavy_rows)
+    heavy = sizes.where(F.col("card_rows") > heavy_rows)
+    rows = heavy.agg(F.sum("card_rows").alias("rows")).first()["rows"]
+    if rows is None:
+        return None
+    folder = scratch_dir(transactions.sparkSession, "heavy-cards")
+    heavy.write.parquet(f"{folder}/cards")
+    return HeavyCards(
+        cards=transactions.sparkSession.read.parquet(f"{folder}/cards"),
+        segments=min(max(2, math.ceil(rows / heavy_rows)), MAX_SEGMENTS),
+        folder=folder,
+    )
 
 
 def _match(df, small, how, names=("card_id",), extra=()):
-    """Join with a side of bounded size (see `heavy_cards`, MAX_SEGMENTS); NULL matches NULL."""
+    """Join with a side of bounded size (HeavyCards, MAX_SEGMENTS); NULL matches NULL."""
     side = small.select(*[F.col(name).alias(f"of_{name}") for name in names], *extra)
     same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in names])
     return df.join(F.broadcast(side), same, how).drop(*[f"of_{name}" for name in names])
@@ -123,25 +143,23 @@ def _entries(rows, folder):
             return entries
 
 
-def run_heavy_ledger(checked, keep, total_rows, heavy_rows=HEAVY_ROWS):
-    """`run_ledger` for heavy cards, given their number of rows.
+def run_heavy_ledger(checked, keep, found):
+    """`run_ledger` for the prechecked rows of heavy cards.
 
     Range partitioning on (card, order) cuts a card wherever a partition is full, whatever its share
     of the rows. The rows are written once with their segment, so later steps rely on data and not on
     a physical partitioning; they read the columns they need.
     """
     spark = checked.sparkSession
-    folder = scratch_dir(spark, "heavy-cards")
-    segments = min(max(2, math.ceil(total_rows / heavy_rows)), MAX_SEGMENTS)
     facts = ["card_id", *ORDER, "kind", "cents", "limit_cents", "opening_cents"]
     columns = list(dict.fromkeys(list(keep) + facts))
     (
         checked.select(*columns)
-        .repartitionByRange(segments, "card_id", *ORDER)
+        .repartitionByRange(found.segments, "card_id", *ORDER)
         .withColumn("segment", F.spark_partition_id())
-        .write.parquet(f"{folder}/rows")
+        .write.parquet(f"{found.folder}/rows")
     )
-    rows = spark.read.parquet(f"{folder}/rows")
-    entries = _entries(rows.select("segment", *facts), folder)
+    rows = spark.read.parquet(f"{found.folder}/rows")
+    entries = _entries(rows.select("segment", *facts), found.folder)
     # Rows without an account have no entry and keep a NULL balance.
     return run_ledger(_opened(rows, entries, "left"), keep, ("card_id", "segment"), "entry_cents")

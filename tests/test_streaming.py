@@ -1,0 +1,99 @@
+"""The stream gives the rows of the batch, also after a stop."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import bank
+from tallycard import fixtures, schemas
+from tallycard.operators.authorize import authorize
+from tallycard.operators.days import day_counts
+from tallycard.plans import lambda_job
+from tallycard.streaming.authorize import authorize_stream, drain
+from tallycard.streaming.replay import day_ranges, landed, replay
+
+from conftest import DATA
+
+
+def test_day_ranges_cover_all_days_in_order(spark):
+    transactions = fixtures.transactions(spark, DATA)
+    ranges = day_ranges(transactions, 4)
+    days = [row["date"] for row in day_counts(transactions).collect()]
+    assert len(ranges) == 4
+    assert (str(ranges[0][0]), str(ranges[-1][1])) == (days[0], days[-1])
+    for (first, last), (following, _) in zip(ranges, ranges[1:]):
+        assert first <= last < following
+    assert day_ranges(transactions.where("false"), 4) == []
+
+
+def test_stream_equals_batch_over_micro_batches_and_a_restart(spark, folder, rows):
+    tables = fixtures.bank(spark, DATA)
+    transactions = tables["transactions"]
+    ranges = day_ranges(transactions, 3)
+    stream = authorize_stream(
+        landed(spark, _made(f"{folder}/in", spark), schemas.TRANSACTIONS, 1),
+        tables["cards"],
+        tables["customers"],
+    )
+    replay(transactions, f"{folder}/in", ranges[:2])
+    first = drain(stream, f"{folder}/out", f"{folder}/checkpoint")
+    replay(transactions, f"{folder}/in", ranges[2:])
+    second = drain(stream, f"{folder}/out", f"{folder}/checkpoint")
+    assert drain(stream, f"{folder}/out", f"{folder}/checkpoint") == 0
+    assert first + second == transactions.count()
+    streamed = spark.read.parquet(f"{folder}/out")
+    assert streamed.columns == schemas.AUTHORISED.names
+    assert rows(streamed) == rows(authorize(transactions, tables["cards"], tables["customers"]))
+
+
+def _made(path, spark):
+    spark.createDataFrame([], schemas.TRANSACTIONS).write.parquet(path)
+    return path
+
+
+def test_late_rows_follow_and_declined_first_rows_leave_no_state(spark, folder, rows):
+    cards = bank.cards(spark, (1, 10, 1000.0, 100.0), (2, 10, 1000.0, 100.0), (3, 77, 1.0, 1.0))
+    customers = bank.customers(spark, (10, bank.HOME))
+    landing = f"{folder}/in"
+    bank.transactions(
+        spark, (5, 1, 400.0, "purchase", bank.NEAR, 50), (6, 2, 900.0), (7, 3, 1.0), (8, None, 1.0)
+    ).coalesce(1).write.parquet(landing)
+
+    def go(held):
+        stream = landed(spark, landing, schemas.TRANSACTIONS)
+        drain(authorize_stream(stream, held, customers), f"{folder}/out", f"{folder}/checkpoint")
+
+    go(cards)
+    bank.transactions(
+        spark, (1, 1, 450.0, "purchase", bank.NEAR, 1), (2, 1, 90.0, "purchase", bank.NEAR, 2), (9, 2, 10.0)
+    ).coalesce(1).write.mode("append").parquet(landing)
+    # Card 2 has booked nothing yet, so its own balance still counts; card 1 has.
+    raised = cards.withColumn("current_balance", F.col("current_balance") + 50)
+    go(raised)
+    found = rows(
+        spark.read.parquet(f"{folder}/out"), "transaction_id", "status", "pending_balance"
+    )
+    assert found == [
+        (1, "pending", 950.0), (2, "declined", 950.0), (5, "pending", 500.0),
+        (6, "declined", 100.0), (7, "declined", None), (8, "declined", None), (9, "pending", 160.0),
+    ]
+
+
+def test_lambda_job_stores_all_results(spark, folder, rows):
+    tables = fixtures.bank(spark, DATA)
+    stored = lambda_job.run(spark, tables, folder, slices=1)
+    assert set(stored) == {
+        "batch_transactions", "discrepancies", "cards_updated", "customers_updated",
+    }
+    again = spark.read.parquet(f"{folder}/cards_updated")
+    assert rows(again) == rows(stored["cards_updated"])
+    assert stored["batch_transactions"].count() == tables["transactions"].count()
+
+
+@pytest.mark.parametrize("expected, processed, word", [(3, 2, "short"), (2, 3, "over")])
+def test_gate_stops_the_batch(spark, expected, processed, word):
+    with pytest.raises(lambda_job.Incomplete, match=word):
+        lambda_job.require_complete(spark.range(expected), spark.range(processed))
+
+
+def test_gate_lets_complete_streams_pass(spark):
+    assert lambda_job.require_complete(spark.range(3), spark.range(3)) == (3, 3)
