@@ -12,7 +12,12 @@ from tallycard.operators.authorize import authorize, declined_report, unknown_ca
 from tallycard.plans import batch, lambda_job
 from tallycard.sources.files import read_csv, write_csv
 from tallycard.sources.scratch import scratch_dir
-from tallycard.streaming.authorize import authorize_stream, drain
+from tallycard.streaming.authorize import (
+    authorize_batches,
+    authorize_stream,
+    authorised_batches,
+    drain,
+)
 from tallycard.streaming.replay import day_ranges, landed, replay
 
 # The day the day query asks for.
@@ -47,8 +52,10 @@ def _judged(bank):
     return bank["transactions"].join(held, "card_id", "left")
 
 
-def _approved(bank):
-    return settle.approve_pending(_authorised(bank))
+def _totals(bank):
+    """Per-card totals, from only those columns of the transactions that they need."""
+    authorised = _authorised(bank, columns=settle.TOTALS_FROM)
+    return settle.card_totals(settle.approve_pending(authorised))
 
 
 def _scratch(bank, purpose):
@@ -154,32 +161,44 @@ def stream_authorize(bank):
     return spark.read.parquet(f"{folder}/sink")
 
 
+@_query
+def stream_authorize_batches(bank):
+    spark, folder = bank["transactions"].sparkSession, _scratch(bank, "stream")
+    replay(bank["transactions"], f"{folder}/landing", day_ranges(bank["transactions"], 2))
+    stream = landed(spark, f"{folder}/landing", schemas.TRANSACTIONS)
+    authorize_batches(
+        stream, bank["cards"], bank["customers"], f"{folder}/sink", f"{folder}/checkpoint"
+    )
+    return authorised_batches(spark, f"{folder}/sink")
+
+
 # Batch
 
 
 @_query
 def approve_pending(bank):
-    return _approved(bank)
+    return settle.approve_pending(_authorised(bank))
 
 
 @_query
 def last_pending_balance(bank):
-    return settle.last_pending_balance(_approved(bank))
+    return _totals(bank).select("card_id", "pending_balance")
 
 
 @_query
 def approved_sum(bank):
-    return settle.approved_sum(_approved(bank))
+    authorised = _authorised(bank, columns=settle.TOTALS_FROM)
+    return settle.approved_sum(settle.approve_pending(authorised))
 
 
 @_query
 def reconcile_balances(bank):
-    return settle.reconcile(settle.card_totals(_approved(bank)), bank["cards"])
+    return settle.reconcile(_totals(bank), bank["cards"])
 
 
 @_query
 def settle_balances(bank):
-    return settle.settle_balances(bank["cards"], settle.card_totals(_approved(bank)))
+    return settle.settle_balances(bank["cards"], _totals(bank))
 
 
 @_query

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 
 from tallycard import schemas
 
+# What is read of the test tables; a declared schema spares the look into the files.
+_CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int"
+_ORDERS = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
+
 _CUSTOMERS = """
   CAST(c_custkey AS INT) AS customer_id,
   c_name AS name,
@@ -76,8 +80,12 @@ def _columns(df, text):
     return df.sparkSession.sql(f"SELECT {text} FROM {{df}}", df=df)
 
 
+def _table(spark, folder, name, schema):
+    return spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")
+
+
 def customers(spark, folder):
-    return _columns(spark.read.parquet(f"{folder}/customer.parquet"), _CUSTOMERS)
+    return _columns(_table(spark, folder, "customer", _CUSTOMER), _CUSTOMERS)
 
 
 def card_types(spark):
@@ -87,7 +95,7 @@ def card_types(spark):
 def cards(spark, folder):
     """One to three cards per customer; each fiftieth customer has none."""
     held = (
-        spark.read.parquet(f"{folder}/customer.parquet")
+        _table(spark, folder, "customer", _CUSTOMER)
         .where("c_custkey % 50 <> 49")
         .select("c_custkey", F.explode(F.expr("sequence(0, CAST(c_custkey % 3 AS INT))")).alias("k"))
         .withColumn("lim", F.expr(_LIMIT))
@@ -96,7 +104,7 @@ def cards(spark, folder):
 
 
 def transactions(spark, folder):
-    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders = _table(spark, folder, "orders", _ORDERS)
     return _columns(
         orders.withColumn("cents", F.expr("CAST(floor(o_totalprice) AS BIGINT)")), _TRANSACTIONS
     )

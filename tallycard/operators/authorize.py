@@ -8,6 +8,9 @@ from tallycard.operators.ledger import run_ledger
 from tallycard.operators.rules import VOID, accounts, always_booked, precheck
 
 
+_REASON_FROM = ("card_id", "location", "transaction_type")
+
+
 def _outcome(columns, reasons):
     """Final columns from `approved` and `balance_cents`."""
     out = [
@@ -48,25 +51,35 @@ def decline_reason():
     )
 
 
-def authorize(transactions, cards, customers, reasons=False, heavy_rows=heavy.HEAVY_ROWS):
+def authorize(
+    transactions, cards, customers, reasons=False, heavy_rows=heavy.HEAVY_ROWS, columns=None
+):
     """Adds `status` (pending / declined) and `pending_balance` after each row.
 
     Rows of a card are taken in the order of (timestamp, transaction_id). A row whose card or
     customer does not exist is declined with a NULL balance. `reasons` adds `decline_reason`.
 
+    `columns` names the transaction columns to keep, by default all: fewer are cheaper, as Spark cannot
+    see which ones the Python step passes on for nothing.
+
     Cards with more than `heavy_rows` rows are split over tasks; finding them costs one count over
     `card_id`. Pass None where no card can be that long.
     """
     held = accounts(cards, customers)
-    keep = transactions.columns + ["kind"]
+    columns = list(columns or transactions.columns)
+    keep = columns + ["kind"]
     if reasons:
-        keep += ["rule", "cents", "limit_cents", "customer_id", "home_address"]
+        keep += [
+            name
+            for name in ("rule", "cents", "limit_cents", "customer_id", "home_address", *_REASON_FROM)
+            if name not in keep
+        ]
 
     def light(rows):
         return run_ledger(precheck(rows, held), keep)
 
     def finish(rows):
-        return rows.select(*_outcome(transactions.columns, reasons))
+        return rows.select(*_outcome(columns, reasons))
 
     found = None if heavy_rows is None else heavy.find(transactions, heavy_rows)
     if found is None:
@@ -80,9 +93,10 @@ def authorize(transactions, cards, customers, reasons=False, heavy_rows=heavy.HE
 
 def declined_report(transactions, cards, customers, **options):
     """The declined transactions with the reason as text."""
-    judged = authorize(transactions, cards, customers, reasons=True, **options)
+    shown = ["transaction_id", "card_id", "amount", "transaction_type"]
+    judged = authorize(transactions, cards, customers, reasons=True, columns=shown, **options)
     return judged.where(F.col("status") == "declined").select(
-        "transaction_id", "card_id", "amount", "transaction_type", "decline_reason"
+        *shown, "decline_reason"
     )
 
 

@@ -70,11 +70,12 @@ def precheck(transactions, accounts):
         .when(always_booked(), F.lit(BOOKED))
         .otherwise(F.lit(GUARDED))
     )
-    return (
-        transactions.join(accounts, "card_id", "left")
-        .withColumn("rule", rule)
-        .withColumn("kind", kind)
-        .withColumn("cents", F.coalesce(cents(F.col("amount")), F.lit(0).cast("bigint")))
-        .withColumn("limit_cents", cents(F.col("credit_limit")))
-        .withColumn("opening_cents", cents(F.col("current_balance")))
+    judged = transactions.join(accounts, "card_id", "left").withColumn("rule", rule)
+    return judged.withColumns(
+        {
+            "kind": kind,
+            "cents": F.coalesce(cents(F.col("amount")), F.lit(0).cast("bigint")),
+            "limit_cents": cents(F.col("credit_limit")),
+            "opening_cents": cents(F.col("current_balance")),
+        }
     )

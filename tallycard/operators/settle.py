@@ -11,6 +11,10 @@ from tallycard.functions.money import cents, exact, from_cents
 from tallycard.operators.ledger import ORDER
 
 
+# Columns of the transactions which the per-card totals need next to status and pending balance.
+TOTALS_FROM = ("card_id", "amount") + ORDER
+
+
 def approve_pending(transactions):
     """pending -> approved; every other status, NULL included, stays."""
     status = F.col("status")
@@ -28,6 +32,7 @@ def _approved_cents():
 
 
 def last_pending_balance(transactions):
+    """Pending balance of each card after its last transaction."""
     return transactions.groupBy("card_id").agg(_last_pending().alias("pending_balance"))
 
 

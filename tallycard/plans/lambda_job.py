@@ -2,9 +2,10 @@
 
 from tallycard import schemas
 from tallycard.operators.checks import completeness
+from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.plans.batch import settle_day
 from tallycard.sources.files import write_table
-from tallycard.streaming.authorize import authorize_stream, drain
+from tallycard.streaming.authorize import authorize_batches, authorised_batches
 from tallycard.streaming.replay import day_ranges, landed, replay
 
 
@@ -22,26 +23,23 @@ def require_complete(expected, processed):
     return counts["expected"], counts["processed"]
 
 
-def run(spark, bank, folder, slices=3, files_per_trigger=None):
+def run(spark, bank, folder, slices=3, max_bytes=2**40, heavy_rows=HEAVY_ROWS):
     """Run all phases over the bank tables in a new `folder`; returns the stored results by name.
 
     Inputs are never overwritten: every phase writes its own table and the next one reads it back, so
     nothing is computed twice and a failed phase can be repeated.
     """
     transactions = bank["transactions"].select(*schemas.TRANSACTIONS.names)
+    cards, customers = bank["cards"], bank["customers"]
     landing, streamed = f"{folder}/landing", f"{folder}/stream_transactions"
     replay(transactions, landing, day_ranges(transactions, slices))
-    stream = landed(spark, landing, transactions.schema, files_per_trigger)
-    drain(
-        authorize_stream(stream, bank["cards"], bank["customers"]),
-        streamed,
-        f"{folder}/checkpoint",
-    )
-    authorised = spark.read.parquet(streamed)
+    stream = landed(spark, landing, transactions.schema, max_bytes)
+    authorize_batches(stream, cards, customers, streamed, f"{folder}/checkpoint", heavy_rows)
+    authorised = authorised_batches(spark, streamed)
     require_complete(transactions, authorised)
 
     def stored(df, name):
         return write_table(df, f"{folder}/{name}")
 
-    result = settle_day(authorised, bank["cards"], bank["customers"], stage=stored)
+    result = settle_day(authorised, cards, customers, stage=stored)
     return {name: stored(df, name) for name, df in vars(result).items()}

@@ -1,12 +1,15 @@
 """Session settings the jobs are written for."""
 
-# Skewed join partitions are split at run time; Arrow batches are large as the Python step only
-# reads numbers from them.
+# Skewed join partitions are split at run time. A join whose smaller side turns out to fit in memory per
+# partition is hashed, which saves sorting the transactions once more. Arrow batches are large as the Python step only reads
+# numbers from them. Expressions are built without a stack walk for each.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "50000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

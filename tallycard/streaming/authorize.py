@@ -1,7 +1,11 @@
-"""Authorisation as a stateful streaming operator.
+"""Authorisation of a stream, in two forms with the same rows.
 
-State is one number per card, its pending balance in cents, kept in RocksDB and restored from the
-checkpoint together with the source position.
+`authorize_stream` is a stateful operator for small, frequent micro-batches. Its state is one number per
+card, the pending balance in cents, kept in RocksDB and restored from the checkpoint together with the
+source position. The new rows of a card meet in one task, so micro-batches must be bounded.
+
+`authorize_batches` is for large micro-batches, as when a history is replayed: each one is a run of the
+batch operator, which splits cards with many rows over tasks.
 """
 
 from contextlib import contextmanager
@@ -12,11 +16,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 from tallycard.functions.money import from_cents
+from tallycard.operators.authorize import authorize
+from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.operators.ledger import ORDER
 from tallycard.operators.rules import BOOKED, VOID, accounts, precheck
+from tallycard.operators.settle import card_totals, settle_balances
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state."
+    "RocksDBStateStoreProvider",
+    "spark.sql.streaming.numRecentProgressUpdates": "100000",
+}
 
 
 def step(balance, kind, cents, limit):
@@ -81,32 +91,64 @@ def authorize_stream(transactions, cards, customers):
 
 
 @contextmanager
-def rocksdb_state(spark):
-    """The state store that stateful processors need, for queries started inside the block."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+def _streaming_settings(spark):
+    """What queries started inside the block need: RocksDB state, and all progress reports kept."""
+    before = {name: spark.conf.get(name, None) for name in _SETTINGS}
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _run(spark, writer, checkpoint):
+    """Process what the source holds, then stop. Returns the number of records read."""
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with _streaming_settings(spark):
+        query = writer.start()
+    query.awaitTermination()
+    return sum(progress["numInputRows"] for progress in query.recentProgress)
 
 
-def drain(stream, sink, checkpoint, partition_by=()):
-    """Process what the source holds, append it to a parquet folder and stop.
+def drain(stream, sink, checkpoint):
+    """Append what the source holds to a parquet folder and stop; returns the number of records read.
 
-    Returns the number of records read. Run again on the same checkpoint, it goes on where it stopped.
+    Run again on the same checkpoint, it goes on where it stopped.
     """
-    spark = stream.sparkSession
-    writer = stream.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
-    with rocksdb_state(spark):
-        query = (
-            writer.option("path", sink)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", sink)
+    return _run(stream.sparkSession, writer, checkpoint)
+
+
+def authorize_batches(transactions, cards, customers, sink, checkpoint, heavy_rows=HEAVY_ROWS):
+    """Authorise what the source holds, one run of `authorize` per micro-batch.
+
+    The result of micro-batch n is `sink/batch=n`. The balances after it, of all cards, are a table next
+    to the checkpoint; the following micro-batch opens with them. A micro-batch that is repeated after a
+    failure replaces its own tables only, so each transaction counts once.
+    """
+    spark = transactions.sparkSession
+
+    def settled(number):
+        balances = spark.read.parquet(f"{checkpoint}-balances/{number}")
+        return settle_balances(cards, balances)
+
+    def authorise(batch, number):
+        opened = settled(number - 1) if number else cards
+        out = f"{sink}/batch={number}"
+        authorize(batch, opened, customers, heavy_rows=heavy_rows).write.mode("overwrite").parquet(out)
+        after = settle_balances(opened, card_totals(spark.read.parquet(out)))
+        after.select("card_id", F.col("current_balance").alias("pending_balance")).write.mode(
+            "overwrite"
+        ).parquet(f"{checkpoint}-balances/{number}")
+
+    _run(spark, transactions.writeStream.foreachBatch(authorise), checkpoint)
+
+
+def authorised_batches(spark, sink):
+    """The results of `authorize_batches`."""
+    return spark.read.parquet(sink).drop("batch")

@@ -36,9 +36,11 @@ def replay(transactions, folder, ranges):
         ordered.write.mode("append").parquet(folder)
 
 
-def landed(spark, folder, schema, files_per_trigger=None):
-    """The landing folder as a stream, oldest files first."""
-    reader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
-    return reader.parquet(folder)
+def landed(spark, folder, schema, max_bytes=256 * 2**20, max_files=None):
+    """The landing folder as a stream, oldest files first.
+
+    A micro-batch takes files up to `max_bytes` (at least one), or up to `max_files`.
+    """
+    name, value = ("Files", max_files) if max_files else ("Bytes", max_bytes)
+    limit = {f"max{name}PerTrigger": str(value)}
+    return spark.readStream.schema(schema).options(**limit).parquet(folder)

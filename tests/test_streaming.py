@@ -8,7 +8,12 @@ from tallycard import fixtures, schemas
 from tallycard.operators.authorize import authorize
 from tallycard.operators.days import day_counts
 from tallycard.plans import lambda_job
-from tallycard.streaming.authorize import authorize_stream, drain
+from tallycard.streaming.authorize import (
+    authorize_batches,
+    authorize_stream,
+    authorised_batches,
+    drain,
+)
 from tallycard.streaming.replay import day_ranges, landed, replay
 
 from conftest import DATA
@@ -30,7 +35,7 @@ def test_stream_equals_batch_over_micro_batches_and_a_restart(spark, folder, row
     transactions = tables["transactions"]
     ranges = day_ranges(transactions, 3)
     stream = authorize_stream(
-        landed(spark, _made(f"{folder}/in", spark), schemas.TRANSACTIONS, 1),
+        landed(spark, _made(f"{folder}/in", spark), schemas.TRANSACTIONS, max_files=1),
         tables["cards"],
         tables["customers"],
     )
@@ -78,6 +83,28 @@ def test_late_rows_follow_and_declined_first_rows_leave_no_state(spark, folder,
     ]
 
 
+def test_runs_of_the_batch_operator_equal_one_batch(spark, folder, rows):
+    """Over several micro-batches, a restart, and cards split within micro-batches."""
+    tables = fixtures.bank(spark, DATA)
+    transactions, cards, customers = (tables[n] for n in ("transactions", "cards", "customers"))
+    ranges = day_ranges(transactions, 3)
+    landing = _made(f"{folder}/in", spark)
+
+    def go():
+        stream = landed(spark, landing, schemas.TRANSACTIONS, max_files=1)
+        sink, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
+        authorize_batches(stream, cards, customers, sink, checkpoint, heavy_rows=6)
+
+    replay(transactions, landing, ranges[:2])
+    go()
+    replay(transactions, landing, ranges[2:])
+    go()
+    go()
+    found = authorised_batches(spark, f"{folder}/out")
+    assert found.columns == schemas.AUTHORISED.names
+    assert rows(found) == rows(authorize(transactions, cards, customers))
+
+
 def test_lambda_job_stores_all_results(spark, folder, rows):
     tables = fixtures.bank(spark, DATA)
     stored = lambda_job.run(spark, tables, folder, slices=1)
