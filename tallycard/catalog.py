@@ -6,18 +6,13 @@ from pyspark.sql import functions as F
 
 from tallycard import fixtures, schemas
 from tallycard.functions.messages import as_message, decode
-from tallycard.functions.places import zip_code, zips_close
+from tallycard.functions.places import zip_code
 from tallycard.operators import checks, days, rules, serving, settle
 from tallycard.operators.authorize import authorize, declined_report, unknown_card_declines
 from tallycard.plans import batch, lambda_job
 from tallycard.sources.files import read_csv, write_csv
 from tallycard.sources.scratch import scratch_dir
-from tallycard.streaming.authorize import (
-    authorize_batches,
-    authorize_stream,
-    authorised_batches,
-    drain,
-)
+from tallycard.streaming.authorize import authorize_stream, drain
 from tallycard.streaming.replay import day_ranges, landed, replay
 
 # The day the day query asks for.
@@ -49,7 +44,7 @@ def _authorised(bank, **options):
 def _judged(bank):
     """Transactions next to their account, for the stateless rules."""
     held = rules.accounts(bank["cards"], bank["customers"])
-    return bank["transactions"].join(held, "card_id", "left")
+    return rules.with_accounts(bank["transactions"], held)
 
 
 def _totals(bank):
@@ -95,13 +90,11 @@ def zip_extract(bank):
 
 @_query
 def zip_proximity(bank):
-    home = F.coalesce("home_zip", F.lit(""))
-    shop = zip_code(F.col("location"))
     return _judged(bank).select(
         "transaction_id",
-        shop.alias("merchant_zip"),
-        home.alias("home_zip"),
-        zips_close(shop, home).alias("is_close"),
+        "merchant_zip",
+        F.coalesce("home_zip", F.lit("")).alias("home_zip"),
+        rules.is_close().alias("is_close"),
     )
 
 
@@ -154,7 +147,8 @@ def declined_transactions(bank):
 @_query
 def stream_authorize(bank):
     spark, folder = bank["transactions"].sparkSession, _scratch(bank, "stream")
-    replay(bank["transactions"], f"{folder}/landing", day_ranges(bank["transactions"], 2))
+    days = day_ranges(bank["transactions"], 2)
+    replay(bank["transactions"], f"{folder}/landing", days, by_card=True)
     stream = landed(spark, f"{folder}/landing", schemas.TRANSACTIONS)
     judged = authorize_stream(stream, bank["cards"], bank["customers"])
     drain(judged, f"{folder}/sink", f"{folder}/checkpoint")
@@ -163,13 +157,8 @@ def stream_authorize(bank):
 
 @_query
 def stream_authorize_batches(bank):
-    spark, folder = bank["transactions"].sparkSession, _scratch(bank, "stream")
-    replay(bank["transactions"], f"{folder}/landing", day_ranges(bank["transactions"], 2))
-    stream = landed(spark, f"{folder}/landing", schemas.TRANSACTIONS)
-    authorize_batches(
-        stream, bank["cards"], bank["customers"], f"{folder}/sink", f"{folder}/checkpoint"
-    )
-    return authorised_batches(spark, f"{folder}/sink")
+    spark = bank["transactions"].sparkSession
+    return lambda_job.authorise_history(spark, bank, _scratch(bank, "stream"), slices=2)
 
 
 # Batch
@@ -217,23 +206,24 @@ def credit_limit_revision(bank):
     return settle.revise_limits(bank["cards"], scored)
 
 
-def _processed(bank):
-    return batch.process(bank["transactions"], bank["cards"], bank["customers"])
+def _settled(bank):
+    authorised = _authorised(bank, columns=settle.TOTALS_FROM)
+    return batch.settle_day(authorised, bank["cards"], bank["customers"])
 
 
 @_query
 def cards_updated(bank):
-    return _processed(bank).cards_updated
+    return _settled(bank).cards_updated
 
 
 @_query
 def customers_updated(bank):
-    return _processed(bank).customers_updated
+    return _settled(bank).customers_updated
 
 
 @_query
 def batch_transactions(bank):
-    return _processed(bank).batch_transactions
+    return batch.settle_day(_authorised(bank), bank["cards"], bank["customers"]).batch_transactions
 
 
 @_query

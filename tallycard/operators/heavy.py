@@ -22,8 +22,8 @@ from tallycard.operators.ledger import ORDER, run_ledger
 from tallycard.operators.rules import BOOKED, GUARDED, VOID
 from tallycard.sources.scratch import scratch_dir
 
-# Rows of one card that a single task still walks.
-HEAVY_ROWS = 2_000_000
+# Rows of one card that a single task still walks, in well under a minute. Below, splitting costs more.
+HEAVY_ROWS = 5_000_000
 # Bounds the sample and the ranges the driver keeps for the range partitioning.
 MAX_SEGMENTS = 10_000
 

@@ -19,18 +19,17 @@ class Settlement:
     customers_updated: DataFrame
 
 
-def settle_day(authorised, cards, customers, stage=None, narrow=None):
+def settle_day(authorised, cards, customers, stage=None):
     """Approve, reconcile, settle, re-score and re-limit, in this order.
 
-    `narrow` may be the same rows with only the columns that the totals need.
+    Where `batch_transactions` is not wanted, `authorised` needs the columns `settle.TOTALS_FROM` only.
 
     `stage(df, name)` may write a table and return it read back. It is called on the small tables that
     several results share, so that a job which stores all results aggregates the transactions once.
     """
     stage = stage or (lambda df, name: df)
     approved = settle.approve_pending(authorised)
-    counted = approved if narrow is None else settle.approve_pending(narrow)
-    totals = stage(settle.card_totals(counted), "card_totals")
+    totals = stage(settle.card_totals(approved), "card_totals")
     settled = stage(settle.settle_balances(cards, totals), "settled_cards")
     scored = stage(settle.adjust_scores(customers, settled), "scored_customers")
     return Settlement(
@@ -43,10 +42,7 @@ def settle_day(authorised, cards, customers, stage=None, narrow=None):
 
 def process(transactions, cards, customers, heavy_rows=HEAVY_ROWS, stage=None):
     """Authorise raw transactions, then settle them."""
-
-    def judged(columns=None):
-        return authorize(transactions, cards, customers, heavy_rows=heavy_rows, columns=columns)
-
+    authorised = authorize(transactions, cards, customers, heavy_rows=heavy_rows)
     if stage:
-        return settle_day(stage(judged(), "authorised"), cards, customers, stage)
-    return settle_day(judged(), cards, customers, narrow=judged(settle.TOTALS_FROM))
+        authorised = stage(authorised, "authorised")
+    return settle_day(authorised, cards, customers, stage)

@@ -23,23 +23,37 @@ def require_complete(expected, processed):
     return counts["expected"], counts["processed"]
 
 
-def run(spark, bank, folder, slices=3, max_bytes=2**40, heavy_rows=HEAVY_ROWS):
+def authorise_history(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
+    """Replay all transactions in `slices` ranges of days and authorise each as it has landed.
+
+    A slice is one micro-batch, so it may have any size and any card may dominate it.
+    """
+    transactions = bank["transactions"].select(*schemas.TRANSACTIONS.names)
+    landing, sink = f"{folder}/landing", f"{folder}/stream_transactions"
+    for days in day_ranges(transactions, slices):
+        replay(transactions, landing, [days])
+        authorize_batches(
+            landed(spark, landing, transactions.schema, max_bytes=None),
+            bank["cards"],
+            bank["customers"],
+            sink,
+            f"{folder}/checkpoint",
+            heavy_rows,
+        )
+    return authorised_batches(spark, sink)
+
+
+def run(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
     """Run all phases over the bank tables in a new `folder`; returns the stored results by name.
 
     Inputs are never overwritten: every phase writes its own table and the next one reads it back, so
-    nothing is computed twice and a failed phase can be repeated.
+    nothing is computed twice.
     """
-    transactions = bank["transactions"].select(*schemas.TRANSACTIONS.names)
-    cards, customers = bank["cards"], bank["customers"]
-    landing, streamed = f"{folder}/landing", f"{folder}/stream_transactions"
-    replay(transactions, landing, day_ranges(transactions, slices))
-    stream = landed(spark, landing, transactions.schema, max_bytes)
-    authorize_batches(stream, cards, customers, streamed, f"{folder}/checkpoint", heavy_rows)
-    authorised = authorised_batches(spark, streamed)
-    require_complete(transactions, authorised)
+    authorised = authorise_history(spark, bank, folder, slices, heavy_rows)
+    require_complete(bank["transactions"], authorised)
 
     def stored(df, name):
         return write_table(df, f"{folder}/{name}")
 
-    result = settle_day(authorised, cards, customers, stage=stored)
+    result = settle_day(authorised, bank["cards"], bank["customers"], stage=stored)
     return {name: stored(df, name) for name, df in vars(result).items()}

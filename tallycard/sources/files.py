@@ -2,9 +2,9 @@
 
 from pyspark.sql import types as T
 
-_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 # Quotes inside a field are doubled, as spreadsheets and most CSV writers do.
-_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+_READ = {"header": "true", "quote": '"', "escape": '"'}
+CSV_DIALECT = _READ | {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def read_csv(spark, path, schema):
@@ -13,14 +13,14 @@ def read_csv(spark, path, schema):
     Columns are matched by header name in any order; a value that does not fit its type fails the
     read, as does a missing column. An empty field is NULL.
     """
-    header = spark.read.options(**_DIALECT).csv(path).columns
+    header = spark.read.options(**_READ).csv(path).columns
     unknown = set(schema.names) ^ set(header)
     if unknown:
         raise ValueError(f"{path}: header and schema differ in {sorted(unknown)}")
     ordered = T.StructType([schema[name] for name in header])
     rows = (
         spark.read.schema(ordered)
-        .options(**_DIALECT)
+        .options(**_READ)
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
         .csv(path)
@@ -37,8 +37,7 @@ def ingest_csv(spark, csv_path, schema, table_path):
 def write_csv(df, path, single_file=False):
     """Export as CSV with header. `single_file` is for small tables: it writes in one task."""
     out = df.coalesce(1) if single_file else df
-    writer = out.write.mode("errorifexists").options(**_DIALECT)
-    writer.option("timestampNTZFormat", _NTZ_FORMAT).csv(path)
+    out.write.mode("errorifexists").options(**CSV_DIALECT).csv(path)
 
 
 def write_table(df, path, partition_by=()):

@@ -21,6 +21,7 @@ from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.operators.ledger import ORDER
 from tallycard.operators.rules import BOOKED, VOID, accounts, precheck
 from tallycard.operators.settle import card_totals, settle_balances
+from tallycard.sources.files import CSV_DIALECT
 
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state."
@@ -115,12 +116,14 @@ def _run(spark, writer, checkpoint):
     return sum(progress["numInputRows"] for progress in query.recentProgress)
 
 
-def drain(stream, sink, checkpoint):
-    """Append what the source holds to a parquet folder and stop; returns the number of records read.
+def drain(stream, sink, checkpoint, form="parquet"):
+    """Append what the source holds to a folder of parquet (or CSV) files and stop.
 
-    Run again on the same checkpoint, it goes on where it stopped.
+    Returns the number of records read. Run again on the same checkpoint, it goes on where it stopped.
     """
-    writer = stream.writeStream.format("parquet").outputMode("append").option("path", sink)
+    writer = stream.writeStream.format(form).outputMode("append").option("path", sink)
+    if form == "csv":
+        writer = writer.options(**CSV_DIALECT)
     return _run(stream.sparkSession, writer, checkpoint)
 
 

@@ -1,8 +1,6 @@
 """Chronological replay: transactions land in a folder slice by slice, oldest days first.
 
 A slice is fully written before the next one starts, so a file stream reads them in this order.
-Within a slice all rows of a card are in one file, sorted, so no micro-batch boundary between files
-can put a card's rows out of order.
 """
 
 from itertools import accumulate
@@ -28,19 +26,26 @@ def day_ranges(transactions, count):
     return list(ranges.values())
 
 
-def replay(transactions, folder, ranges):
-    """Append each range of days to the landing folder, one job after the other."""
+def replay(transactions, folder, ranges, by_card=False):
+    """Append each range of days to the landing folder, one job after the other.
+
+    Without `by_card` a slice is written as it is read. That is right where a micro-batch takes whole
+    slices. With `by_card` all rows of a card in a slice are in one file, sorted, so that a micro-batch
+    may end after any file without putting a card's rows out of order.
+    """
     for first, last in ranges:
         part = transactions_between(transactions, first, last)
-        ordered = part.repartition("card_id").sortWithinPartitions("card_id", *ORDER)
-        ordered.write.mode("append").parquet(folder)
+        if by_card:
+            part = part.repartition("card_id").sortWithinPartitions("card_id", *ORDER)
+        part.write.mode("append").parquet(folder)
 
 
 def landed(spark, folder, schema, max_bytes=256 * 2**20, max_files=None):
     """The landing folder as a stream, oldest files first.
 
-    A micro-batch takes files up to `max_bytes` (at least one), or up to `max_files`.
+    A micro-batch takes files up to `max_bytes` (at least one) or up to `max_files`; everything that has
+    landed if both are None.
     """
-    name, value = ("Files", max_files) if max_files else ("Bytes", max_bytes)
-    limit = {f"max{name}PerTrigger": str(value)}
-    return spark.readStream.schema(schema).options(**limit).parquet(folder)
+    limit = {"maxFilesPerTrigger": max_files} if max_files else {"maxBytesPerTrigger": max_bytes}
+    options = {name: str(value) for name, value in limit.items() if value}
+    return spark.readStream.schema(schema).options(**options).parquet(folder)

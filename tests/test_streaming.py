@@ -8,6 +8,7 @@ from tallycard import fixtures, schemas
 from tallycard.operators.authorize import authorize
 from tallycard.operators.days import day_counts
 from tallycard.plans import lambda_job
+from tallycard.sources.files import read_csv
 from tallycard.streaming.authorize import (
     authorize_batches,
     authorize_stream,
@@ -39,9 +40,9 @@ def test_stream_equals_batch_over_micro_batches_and_a_restart(spark, folder, row
         tables["cards"],
         tables["customers"],
     )
-    replay(transactions, f"{folder}/in", ranges[:2])
+    replay(transactions, f"{folder}/in", ranges[:2], by_card=True)
     first = drain(stream, f"{folder}/out", f"{folder}/checkpoint")
-    replay(transactions, f"{folder}/in", ranges[2:])
+    replay(transactions, f"{folder}/in", ranges[2:], by_card=True)
     second = drain(stream, f"{folder}/out", f"{folder}/checkpoint")
     assert drain(stream, f"{folder}/out", f"{folder}/checkpoint") == 0
     assert first + second == transactions.count()
@@ -91,20 +92,30 @@ def test_runs_of_the_batch_operator_equal_one_batch(spark, folder, rows):
     landing = _made(f"{folder}/in", spark)
 
     def go():
-        stream = landed(spark, landing, schemas.TRANSACTIONS, max_files=1)
+        stream = landed(spark, landing, schemas.TRANSACTIONS, max_bytes=None)
         sink, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
         authorize_batches(stream, cards, customers, sink, checkpoint, heavy_rows=6)
 
-    replay(transactions, landing, ranges[:2])
-    go()
-    replay(transactions, landing, ranges[2:])
-    go()
+    for days in ranges:
+        replay(transactions, landing, [days])
+        go()
     go()
     found = authorised_batches(spark, f"{folder}/out")
     assert found.columns == schemas.AUTHORISED.names
     assert rows(found) == rows(authorize(transactions, cards, customers))
 
 
+def test_csv_sink_can_be_read_by_the_batch(spark, folder, rows):
+    made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 700.0), (3, 99, 1.0))
+    made.write.parquet(f"{folder}/in")
+    cards = bank.cards(spark, (1, 10, 1000.0, 100.0))
+    customers = bank.customers(spark, (10, bank.HOME))
+    stream = authorize_stream(landed(spark, f"{folder}/in", made.schema), cards, customers)
+    assert drain(stream, f"{folder}/out", f"{folder}/checkpoint", form="csv") == 3
+    found = read_csv(spark, f"{folder}/out", schemas.AUTHORISED)
+    assert rows(found) == rows(authorize(made, cards, customers))
+
+
 def test_lambda_job_stores_all_results(spark, folder, rows):
     tables = fixtures.bank(spark, DATA)
     stored = lambda_job.run(spark, tables, folder, slices=1)
