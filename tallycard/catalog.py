@@ -18,7 +18,7 @@ from tallycard.streaming.replay import day_ranges, landed, replay
 # The day the day query asks for.
 DAY = datetime.date(1997, 6, 18)
 # Cards with more rows than this are cut into segments in `authorize_split_cards`.
-SPLIT_ROWS = 9
+SPLIT_ROWS = 14
 
 _REGISTRY = {}
 

@@ -7,10 +7,13 @@ on the order of addition nor on binary fractions. Amounts finer than a cent are
 
 from pyspark.sql import functions as F
 
+# From about here on a DOUBLE no longer tells cents apart.
+NO_AMOUNT = 1e13
+
 
 def cents(amount):
-    """Whole cents as BIGINT; NULL for NULL, NaN and amounts beyond BIGINT."""
-    return F.rint(amount * 100).try_cast("bigint")
+    """Whole cents as BIGINT; NULL for what is no amount: NULL, NaN, and NO_AMOUNT or more."""
+    return F.when(F.abs(amount) < NO_AMOUNT, F.rint(amount * 100).cast("bigint"))
 
 
 def from_cents(whole):

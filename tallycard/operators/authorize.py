@@ -62,8 +62,8 @@ def authorize(
     `columns` names the transaction columns to keep, by default all: fewer are cheaper, as Spark cannot
     see which ones the Python step passes on for nothing.
 
-    Cards with more than `heavy_rows` rows are split over tasks; finding them costs one count over
-    `card_id`. Pass None where no card can be that long.
+    Cards with more than `heavy_rows` rows are split over tasks; finding them costs one look at the
+    `card_id` column. Pass None where no card can be that long.
     """
     held = accounts(cards, customers)
     columns = list(columns or transactions.columns)
@@ -85,10 +85,9 @@ def authorize(
     if found is None:
         return finish(light(transactions))
     # The accounts of the heavy cards are as few as these cards, so the join moves none of their rows.
-    few = F.broadcast(heavy.only(held, found.cards))
-    split = precheck(heavy.only(transactions, found.cards), few)
-    rest = heavy.without(transactions, found.cards)
-    return finish(light(rest).unionByName(heavy.run_heavy_ledger(split, keep, found)))
+    split = precheck(found.only(transactions), found.small(found.only(held)))
+    rest = light(found.without(transactions))
+    return finish(rest.unionByName(heavy.run_heavy_ledger(split, keep, found)))
 
 
 def declined_report(transactions, cards, customers, **options):

@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 from tallycard.operators.ledger import ORDER
 
 
+def _as_text(day):
+    return F.date_format(day, "yyyy-MM-dd").alias("date")
+
+
 def distinct_dates(transactions):
     """Days with transactions as yyyy-MM-dd text, oldest first."""
-    day = F.date_format(F.to_date("timestamp"), "yyyy-MM-dd").alias("date")
-    return transactions.select(day).distinct().orderBy("date")
+    days = transactions.select(F.to_date("timestamp").alias("day")).distinct()
+    return days.orderBy("day").select(_as_text("day"))
 
 
 def day_counts(transactions):
     """Transactions to replay per day, oldest day first."""
-    day = F.date_format(F.to_date("timestamp"), "yyyy-MM-dd").alias("date")
-    return transactions.groupBy(day).agg(F.count(F.lit(1)).alias("transactions")).orderBy("date")
+    days = transactions.groupBy(F.to_date("timestamp").alias("day"))
+    counts = days.agg(F.count(F.lit(1)).alias("transactions"))
+    return counts.orderBy("day").select(_as_text("day"), "transactions")
 
 
 def transactions_between(transactions, first, last):

@@ -24,57 +24,71 @@ from tallycard.sources.scratch import scratch_dir
 
 # Rows of one card that a single task still walks, in well under a minute. Below, splitting costs more.
 HEAVY_ROWS = 5_000_000
+# A card of HEAVY_ROWS rows is expected this often in the sample that looks for such cards.
+SAMPLE_ROWS = 1_000
 # Bounds the sample and the ranges the driver keeps for the range partitioning.
 MAX_SEGMENTS = 10_000
+# Cards and segments (a few numbers each, or an account) that are broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 200_000
 
 _CHAIN = "card_id int, segment int, entry_cents bigint, known boolean"
 
 
 @dataclass
 class HeavyCards:
-    """The heavy cards of a table. There are at most (rows of the table / heavy_rows) of them."""
+    """The heavy cards of a table, `count` of them, and the number of segments to cut them into."""
 
     cards: DataFrame
+    count: int
     segments: int
     folder: str
 
+    def small(self, side):
+        """A side with at most a row per heavy card and segment boundary, broadcast if that is few."""
+        return F.broadcast(side) if self.count + self.segments <= BROADCAST_ROWS else side
+
+    def only(self, df):
+        return self._match(df, self.cards, "left_semi")
+
+    def without(self, df):
+        return self._match(df, self.cards, "left_anti")
+
+    def opened(self, rows, entries, how):
+        """Rows of segments with the balance their segment opens with."""
+        return self._match(rows, entries, how, ("card_id", "segment"), ("entry_cents",))
+
+    def _match(self, df, side, how, names=("card_id",), extra=()):
+        """Join on columns of equal names; NULL matches NULL."""
+        side = side.select(*[F.col(name).alias(f"of_{name}") for name in names], *extra)
+        same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in names])
+        return df.join(self.small(side), same, how).drop(*[f"of_{name}" for name in names])
+
 
 def find(transactions, heavy_rows=HEAVY_ROWS):
-    """The cards with more than `heavy_rows` rows, stored for the job; None if there is none."""
-    sizes = transactions.groupBy("card_id").agg(F.count(F.lit(1)).alias("card_rows"))
-    heavy = sizes.where(F.col("card_rows") > heavy_rows)
-    rows = heavy.agg(F.sum("card_rows").alias("rows")).first()["rows"]
-    if rows is None:
+    """The cards with about `heavy_rows` rows or more, stored for the job; None if there is none.
+
+    Which cards are split decides about the work and not about the result, so a sample of the card
+    numbers will do where `heavy_rows` is large: counting all cards would shuffle most of them.
+    """
+    share = min(1.0, SAMPLE_ROWS / heavy_rows)
+    seen = transactions.select("card_id")
+    if share < 1:
+        seen = seen.sample(share, seed=1)
+    sizes = seen.groupBy("card_id").agg(F.count(F.lit(1)).alias("card_rows"))
+    heavy = sizes.where(F.col("card_rows") > heavy_rows * share)
+    rows, count = heavy.agg(F.sum("card_rows"), F.count(F.lit(1))).first()
+    if not count:
         return None
     folder = scratch_dir(transactions.sparkSession, "heavy-cards")
     heavy.write.parquet(f"{folder}/cards")
     return HeavyCards(
         cards=transactions.sparkSession.read.parquet(f"{folder}/cards"),
-        segments=min(max(2, math.ceil(rows / heavy_rows)), MAX_SEGMENTS),
+        count=count,
+        segments=min(max(2, math.ceil(rows / share / heavy_rows)), MAX_SEGMENTS),
         folder=folder,
     )
 
 
-def _match(df, small, how, names=("card_id",), extra=()):
-    """Join with a side of bounded size (HeavyCards, MAX_SEGMENTS); NULL matches NULL."""
-    side = small.select(*[F.col(name).alias(f"of_{name}") for name in names], *extra)
-    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"of_{name}")) for name in names])
-    return df.join(F.broadcast(side), same, how).drop(*[f"of_{name}" for name in names])
-
-
-def only(df, small):
-    return _match(df, small, "left_semi")
-
-
-def without(df, small):
-    return _match(df, small, "left_anti")
-
-
-def _opened(rows, entries, how):
-    """Rows of segments with the balance their segment opens with."""
-    return _match(rows, entries, how, ("card_id", "segment"), ("entry_cents",))
-
-
 def _first_guess(rows):
     """Opening balance of each segment if all before it was booked, up to the limit."""
     sums = rows.groupBy("card_id", "segment").agg(
@@ -92,10 +106,10 @@ def _first_guess(rows):
     return sums.select("card_id", "segment", capped.alias("entry_cents"), "opening_cents")
 
 
-def _walk(rows, entries, number):
+def _walk(found, rows, entries, number):
     """Per segment: the closing balance, and the range of opening balances with equal decisions."""
     keep = ["card_id", "segment", "entry_cents", "opening_cents", "kind", "cents", "limit_cents"]
-    opened = _opened(rows, entries, "inner")
+    opened = found.opened(rows, entries, "inner")
     walked = run_ledger(opened, keep + list(ORDER), ("card_id", "segment"), "entry_cents")
     guarded, balance = F.col("kind") == GUARDED, F.col("balance_cents")
     room = F.when(guarded & F.col("approved"), F.col("limit_cents") - balance)
@@ -127,13 +141,13 @@ def _chain_card(walks):
     return pd.DataFrame(out, columns=["card_id", "segment", "entry_cents", "known"])
 
 
-def _entries(rows, folder):
+def _entries(found, rows):
     """The true opening balance of every segment."""
-    spark = rows.sparkSession
+    spark, folder = rows.sparkSession, found.folder
     live = rows.where(F.col("kind") != VOID)
     todo, number = _first_guess(live), 0
     while True:
-        _walk(live, todo, number).write.parquet(f"{folder}/walks/{number}")
+        _walk(found, live, todo, number).write.parquet(f"{folder}/walks/{number}")
         walks = spark.read.parquet(*[f"{folder}/walks/{n}" for n in range(number + 1)])
         chained = f"{folder}/chain/{number}"
         walks.groupBy("card_id").applyInPandas(_chain_card, _CHAIN).write.parquet(chained)
@@ -160,6 +174,7 @@ def run_heavy_ledger(checked, keep, found):
         .write.parquet(f"{found.folder}/rows")
     )
     rows = spark.read.parquet(f"{found.folder}/rows")
-    entries = _entries(rows.select("segment", *facts), found.folder)
+    entries = _entries(found, rows.select("segment", *facts))
     # Rows without an account have no entry and keep a NULL balance.
-    return run_ledger(_opened(rows, entries, "left"), keep, ("card_id", "segment"), "entry_cents")
+    opened = found.opened(rows, entries, "left")
+    return run_ledger(opened, keep, ("card_id", "segment"), "entry_cents")

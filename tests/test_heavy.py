@@ -13,9 +13,9 @@ def rounds(monkeypatch):
     """Segments walked per round."""
     counts, walk = [], heavy._walk
 
-    def counted(rows, entries, number):
+    def counted(found, rows, entries, number):
         counts.append(entries.count())
-        return walk(rows, entries, number)
+        return walk(found, rows, entries, number)
 
     monkeypatch.setattr(heavy, "_walk", counted)
     return counts
@@ -53,17 +53,40 @@ def test_split_card_equals_whole_card(spark, rows, rounds, name, amount, kind, m
     tables = one_card(spark, amount, kind)
     whole = rows(authorize(*tables, heavy_rows=None))
     split = authorize(*tables, heavy_rows=200)
+    assert "broadcast" in split._jdf.queryExecution().analyzed().toString()
     assert rows(split) == whole
     assert 1 <= len(rounds) <= most
     assert rounds[0] > 10
 
 
+def test_many_heavy_cards_are_joined_by_shuffle(spark, rows, monkeypatch):
+    transactions, cards, customers = one_card(spark, "7 + id % 90", count=600)
+    several = transactions.withColumn("card_id", F.expr("transaction_id % 4"))
+    whole = rows(authorize(several, cards, customers, heavy_rows=None))
+    monkeypatch.setattr(heavy, "BROADCAST_ROWS", 0)
+    split = authorize(several, cards, customers, heavy_rows=50)
+    assert "broadcast" not in split._jdf.queryExecution().analyzed().toString()
+    assert rows(split) == whole
+
+
 def test_no_heavy_cards_no_extra_work(spark, rounds):
     authorize(*one_card(spark, "1", count=100), heavy_rows=100)
     assert rounds == []
     assert heavy.find(one_card(spark, "1", count=100)[0], 100) is None
 
 
+def test_heavy_cards_are_found_by_sample(spark, rows, monkeypatch):
+    monkeypatch.setattr(heavy, "SAMPLE_ROWS", 100)
+    transactions, *_ = one_card(spark, "1", count=20_000)
+    cards = transactions.withColumn(
+        "card_id", F.expr("IF(transaction_id % 3 = 0, 1, transaction_id)")
+    )
+    found = heavy.find(cards, 1000)
+    assert rows(found.cards, "card_id") == [(1,)]
+    assert 5 <= found.segments <= 9
+    assert heavy.find(cards, 20_000) is None
+
+
 def test_rows_of_one_instant_are_split_too(spark, rows):
     transactions, cards, customers = one_card(spark, "7 + id % 90", count=1000)
     transactions = transactions.withColumn("timestamp", F.lit(bank.NOON).cast("timestamp_ntz"))
