@@ -60,15 +60,14 @@ def read_table(spark, database, table, **split):
 
 
 def read_bank_table(spark, database, name, parts=1):
-    """One of the bank tables, split over its primary key's actual range."""
-    key = schemas.PRIMARY_KEYS[name]
-    if parts < 2:
-        return read_table(spark, database, name)
-    ends = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {name}) AS ends"
-    low, high = read_table(spark, database, ends).first()
-    if low is None:
-        return read_table(spark, database, name)
-    return read_table(spark, database, name, **split_options(key, low, high, parts))
+    """One of the bank tables, in `parts` tasks that share the actual range of its primary key."""
+    key, split = schemas.PRIMARY_KEYS[name], {}
+    if parts > 1:
+        ends = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {name}) AS key_range"
+        low, high = read_table(spark, database, ends).first()
+        if low is not None:
+            split = dict(column=key, lowerBound=low, upperBound=high, numPartitions=parts)
+    return spark.read.jdbc(database.url, name, properties=database.properties(), **split)
 
 
 def overwrite_table(df, database, table, batch_size=10_000):

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tallycard import schemas
 from tallycard.functions.messages import as_message, decode
+from tallycard.operators.days import transactions_between
+from tallycard.operators.ledger import ORDER
 
 
 def to_messages(transactions):
@@ -23,11 +25,17 @@ def from_messages(messages):
 
 def publish(transactions, servers, topic):
     """Send transactions in time order within each card."""
-    ordered = transactions.repartition("card_id").sortWithinPartitions("timestamp", "transaction_id")
+    ordered = transactions.repartition("card_id").sortWithinPartitions(*ORDER)
     writer = to_messages(ordered).write.format("kafka")
     writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
+def replay(transactions, servers, topic, ranges):
+    """Send ranges of days, oldest first; each is sent in full before the next one starts."""
+    for first, last in ranges:
+        publish(transactions_between(transactions, first, last), servers, topic)
+
+
 def subscribe(spark, servers, topic, max_offsets=None):
     """Transactions of a topic from its beginning; the query's checkpoint keeps the position."""
     reader = (

@@ -37,6 +37,11 @@ def step(balance, kind, cents, limit):
     return approved, total if approved or kind == BOOKED else balance
 
 
+def _in_order(row):
+    """Sort key of a row; what is missing comes first, as in a Spark sort."""
+    return [(row[name] is not None, row[name]) for name in ORDER]
+
+
 class PendingBalances(StatefulProcessor):
     """Walks the new rows of one card from the balance the card had before this micro-batch."""
 
@@ -50,7 +55,7 @@ class PendingBalances(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         known = self.balance.get()
         balance, booked = known[0] if known else None, False
-        for row in sorted(rows, key=lambda row: [row[name] for name in ORDER]):
+        for row in sorted(rows, key=_in_order):
             if row.kind == VOID:
                 yield self.outcome(*row, False, None)
                 continue

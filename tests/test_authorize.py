@@ -214,6 +214,21 @@ def test_random_cards_equal_the_rules_in_plain_python(spark, rows, seed, heavy_r
     assert sorted(found) == sorted(expected)
 
 
+def test_join_and_ledger_share_one_exchange(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        judged = authorize(*unknown(spark), heavy_rows=None, columns=["transaction_id", "amount"])
+        plan = judged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert judged.columns == ["transaction_id", "amount", "status", "pending_balance"]
+    # One for the transactions, one for the cards.
+    assert plan.count("Exchange hashpartitioning(card_id") == 2
+    # What nobody asks for is not carried along.
+    assert "merchant_name" not in plan.split("Exchange hashpartitioning(card_id")[0]
+
+
 def test_microseconds_decide_the_order(spark, rows):
     made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 350.0))
     same = bank.NOON + datetime.timedelta(seconds=1)

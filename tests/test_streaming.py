@@ -105,6 +105,22 @@ def test_runs_of_the_batch_operator_equal_one_batch(spark, folder, rows):
     assert rows(found) == rows(authorize(transactions, cards, customers))
 
 
+def test_missing_times_come_first_in_both_forms(spark, folder, rows):
+    made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 450.0), (3, 1, 300.0)).withColumn(
+        "timestamp", F.expr("IF(transaction_id > 1, NULL, timestamp)")
+    )
+    made.write.parquet(f"{folder}/in")
+    cards = bank.cards(spark, (1, 10, 1000.0, 100.0))
+    customers = bank.customers(spark, (10, bank.HOME))
+    stream = authorize_stream(landed(spark, f"{folder}/in", made.schema), cards, customers)
+    drain(stream, f"{folder}/out", f"{folder}/checkpoint")
+    found = rows(spark.read.parquet(f"{folder}/out"))
+    assert found == rows(authorize(made, cards, customers))
+    assert [row[8:] for row in found] == [
+        ("declined", 850.0), ("pending", 550.0), ("pending", 850.0),
+    ]
+
+
 def test_csv_sink_can_be_read_by_the_batch(spark, folder, rows):
     made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 700.0), (3, 99, 1.0))
     made.write.parquet(f"{folder}/in")
