@@ -27,7 +27,7 @@ def _query(function):
     """Register a function of the bank tables under its name."""
 
     def run(spark, folder):
-        return function(fixtures.bank(spark, folder))
+        return function(fixtures.Bank(spark, folder))
 
     _REGISTRY[function.__name__] = run
     return function

@@ -4,6 +4,8 @@ All arithmetic is on integers, so every engine derives the same rows. Cards come
 the customer row, so the derivation is one pass over each table.
 """
 
+from collections.abc import Mapping
+
 from pyspark.sql import functions as F
 
 from tallycard import schemas
@@ -110,11 +112,25 @@ def transactions(spark, folder):
     )
 
 
-def bank(spark, folder):
-    """All four tables by name."""
-    return {
-        "customers": customers(spark, folder),
-        "credit_card_types": card_types(spark),
-        "cards": cards(spark, folder),
-        "transactions": transactions(spark, folder),
-    }
+class Bank(Mapping):
+    """The four tables by name, each derived when it is first asked for."""
+
+    def __init__(self, spark, folder):
+        self._make = {
+            "customers": lambda: customers(spark, folder),
+            "credit_card_types": lambda: card_types(spark),
+            "cards": lambda: cards(spark, folder),
+            "transactions": lambda: transactions(spark, folder),
+        }
+        self._made = {}
+
+    def __getitem__(self, name):
+        if name not in self._made:
+            self._made[name] = self._make[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._make)
+
+    def __len__(self):
+        return len(self._make)

@@ -22,7 +22,10 @@ def _outcome(columns, reasons):
 
 
 def decline_reason():
-    """Why a row was declined; NULL if it was not. Going over the limit beats the other reasons."""
+    """Why a row was declined; NULL if it was not. Going over the limit beats the other reasons.
+
+    The wording is fixed.
+    """
     total = F.col("balance_cents") + F.when(always_booked(), F.lit(0)).otherwise(F.col("cents"))
     limit = money_text(F.col("limit_cents"))
 

@@ -21,7 +21,7 @@ def rounds(monkeypatch):
     return counts
 
 
-def one_card(spark, amount, kind="purchase", limit=5000.0, count=4000):
+def one_card(spark, amount, kind="purchase", limit=5000.0, count=2000):
     """A card with `count` rows; amount and type are expressions of the row number `id`."""
     transactions = spark.range(count).select(
         F.col("id").cast("int").alias("transaction_id"),
@@ -56,7 +56,7 @@ def test_split_card_equals_whole_card(spark, rows, rounds, name, amount, kind, m
     assert "broadcast" in split._jdf.queryExecution().analyzed().toString()
     assert rows(split) == whole
     assert 1 <= len(rounds) <= most
-    assert rounds[0] > 10
+    assert rounds[0] >= 10
 
 
 def test_many_heavy_cards_are_joined_by_shuffle(spark, rows, monkeypatch):

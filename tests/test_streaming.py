@@ -32,7 +32,7 @@ def test_day_ranges_cover_all_days_in_order(spark):
 
 
 def test_stream_equals_batch_over_micro_batches_and_a_restart(spark, folder, rows):
-    tables = fixtures.bank(spark, DATA)
+    tables = fixtures.Bank(spark, DATA)
     transactions = tables["transactions"]
     ranges = day_ranges(transactions, 3)
     stream = authorize_stream(
@@ -86,7 +86,7 @@ def test_late_rows_follow_and_declined_first_rows_leave_no_state(spark, folder,
 
 def test_runs_of_the_batch_operator_equal_one_batch(spark, folder, rows):
     """Over several micro-batches, a restart, and cards split within micro-batches."""
-    tables = fixtures.bank(spark, DATA)
+    tables = fixtures.Bank(spark, DATA)
     transactions, cards, customers = (tables[n] for n in ("transactions", "cards", "customers"))
     ranges = day_ranges(transactions, 3)
     landing = _made(f"{folder}/in", spark)
@@ -133,7 +133,7 @@ def test_csv_sink_can_be_read_by_the_batch(spark, folder, rows):
 
 
 def test_lambda_job_stores_all_results(spark, folder, rows):
-    tables = fixtures.bank(spark, DATA)
+    tables = fixtures.Bank(spark, DATA)
     stored = lambda_job.run(spark, tables, folder, slices=1)
     assert set(stored) == {
         "batch_transactions", "discrepancies", "cards_updated", "customers_updated",
