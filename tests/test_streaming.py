@@ -9,6 +9,7 @@ from tallycard.operators.authorize import authorize
 from tallycard.operators.days import day_counts
 from tallycard.plans import lambda_job
 from tallycard.sources.files import read_csv
+from tallycard.streaming import authorize as streaming
 from tallycard.streaming.authorize import (
     authorize_batches,
     authorize_stream,
@@ -105,6 +106,33 @@ def test_runs_of_the_batch_operator_equal_one_batch(spark, folder, rows):
     assert rows(found) == rows(authorize(transactions, cards, customers))
 
 
+def test_a_micro_batch_that_broke_off_is_repeated(spark, folder, rows, monkeypatch):
+    made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 450.0), (3, 1, 300.0))
+    cards = bank.cards(spark, (1, 10, 1000.0, 100.0))
+    customers = bank.customers(spark, (10, bank.HOME))
+    made.write.parquet(f"{folder}/in")
+
+    def go():
+        stream = landed(spark, f"{folder}/in", made.schema, max_bytes=None)
+        authorize_batches(stream, cards, customers, f"{folder}/out", f"{folder}/checkpoint")
+
+    def broken(df):
+        raise RuntimeError("lost after the results were written, before the balances were")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(streaming, "card_totals", broken)
+        with pytest.raises(Exception, match="lost after"):
+            go()
+    assert authorised_batches(spark, f"{folder}/out").count() == 3
+    go()
+    bank.transactions(spark, (4, 1, 90.0)).write.mode("append").parquet(f"{folder}/in")
+    go()
+    found = authorised_batches(spark, f"{folder}/out")
+    assert rows(found, "transaction_id", "status", "pending_balance") == [
+        (1, "pending", 500.0), (2, "pending", 950.0), (3, "declined", 950.0), (4, "declined", 950.0),
+    ]
+
+
 def test_missing_times_come_first_in_both_forms(spark, folder, rows):
     made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 450.0), (3, 1, 300.0)).withColumn(
         "timestamp", F.expr("IF(transaction_id > 1, NULL, timestamp)")
