@@ -1,8 +1 @@
 """Card-transaction analytics as Spark DataFrame functions."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Python tasks carry this package's functions by value, so executors need no copy of it.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

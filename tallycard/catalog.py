@@ -4,7 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from tallycard import fixtures, schemas
+from tallycard import fixtures, schemas, session
 from tallycard.functions.messages import as_message, decode
 from tallycard.functions.places import zip_code
 from tallycard.operators import checks, days, rules, serving, settle
@@ -27,6 +27,7 @@ def _query(function):
     """Register a function of the bank tables under its name."""
 
     def run(spark, folder):
+        session.ship(spark)
         return function(fixtures.Bank(spark, folder))
 
     _REGISTRY[function.__name__] = run

@@ -23,6 +23,7 @@ def spark():
     )
     spark = session.configure(builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    session.ship(spark)
     yield spark
     spark.stop()
 
