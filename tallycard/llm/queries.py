@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallycard import session
-from tallycard.llm import chat, packing, token_counts, topk, urls
+from tallycard.llm import chat, packing, quality, token_counts, topk, toxicity, urls
 from tallycard.llm.tables import table
 
 _REGISTRY = {}
@@ -23,6 +23,12 @@ def queries():
     return dict(_REGISTRY)
 
 
+@_query
+def op1_quality_rules(spark, folder):
+    judged = quality.judged(table(spark, folder, "documents").select("doc_id", "text", "lang"))
+    return judged.select("row.doc_id", *[name for name in judged.columns if name != "row"])
+
+
 @_query
 def op2_topk_search(spark, folder):
     """The 10 best other vectors for each whose id is divisible by 100."""
@@ -37,6 +43,18 @@ def op3_token_counts(spark, folder):
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@_query
+def op4_toxicity(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "row.doc_id",
+        toxicity.held_out("row.doc_id").alias("held_out"),
+        "score",
+        toxicity.predicted().alias("predicted"),
+    )
+
+
 @_query
 def op5_best_fit_packing(spark, folder):
     docs = table(spark, folder, "documents")
