@@ -7,7 +7,7 @@ of its prefixes. Pieces come from the tokenizer's own splitting, and no token sp
 a text are those of its pieces added up. Truncation and budget questions are then answered by looking up counts.
 
 A text is first cut at single spaces between other characters, where the splitting always cuts; each distinct
-chunk of a batch is looked at once. What is kept between batches is bounded by `KEPT_CHUNKS`.
+chunk of a batch is looked at once. What is kept between batches is bounded by `KEPT_PIECES`.
 
 Defined results
 * A null text is the empty text: no bytes, no tokens.
@@ -25,10 +25,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
+from tallycard.llm.bytewords import SPACE, SPACED_WORD, shown
 from tallycard.llm.tables import slices, text_of
 
-SLICE_BYTES = 4 << 20
-KEPT_CHUNKS = 300_000
+SLICE_BYTES = 8 << 20
+KEPT_PIECES = 1_000_000
 # A place where the splitting always cuts: a single space with other characters on both sides.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACES = r"  | [\t\n\x0b\x0c\r\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\t\n\x0b\x0c\r\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] |^ | $"
@@ -46,11 +47,16 @@ class PrefixCounter:
         self.ranks = {tuple(pair): rank for rank, pair in enumerate(merges)}
         self.split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self.specials = [token["content"] for token in spec["added_tokens"]]
-        # Tokens that the merges reach; others never come up.
-        vocabulary = spec["model"]["vocab"]
-        self.tokens = {t for t in vocabulary if len(t) == 1 or len(self.merged(t)) == 1}
-        self.longest = max(map(len, self.tokens))
-        self.neighbours, self.pieces, self.chunks = {}, {}, {}
+        # Tokens that the merges reach, by number; others never come up.
+        vocabulary = [t for t in spec["model"]["vocab"] if len(t) == 1 or len(self.merged(t)) == 1]
+        self.numbers, self.names = {t: at for at, t in enumerate(vocabulary)}, vocabulary
+        # Lengths of the tokens of three letters and more by their last three, longest first.
+        by_end = {}
+        for token in vocabulary:
+            if len(token) > 2:
+                by_end.setdefault(token[-3:], set()).add(len(token))
+        self.lengths = {end: (*sorted(found, reverse=True), 2, 1) for end, found in by_end.items()}
+        self.neighbours, self.pieces = {}, {}
 
     def merged(self, symbols):
         """Encoding by merging the pair of lowest rank, again and again: the definition, for short strings."""
@@ -65,49 +71,68 @@ class PrefixCounter:
         return symbols
 
     def _fits(self, left, right):
-        key = (left, right)
-        known = self.neighbours.get(key)
-        if known is None:
-            if len(self.neighbours) > KEPT_CHUNKS:
-                self.neighbours.clear()
-            known = self.neighbours[key] = self.merged(left + right) == [left, right]
-        return known
+        """Whether two tokens encode to themselves, one after the other."""
+        known = self.neighbours
+        if len(known) > KEPT_PIECES // 2:
+            known.clear()
+        pair = [self.names[left], self.names[right]]
+        found = known[left << 32 | right] = self.merged("".join(pair)) == pair
+        return found
 
     def prefix_counts(self, piece):
         """counts[i]: tokens of the first i bytes of a piece, which is given in the tokenizer's byte letters."""
-        tokens, fits, longest = self.tokens, self._fits, self.longest
+        number_of, lengths, known = self.numbers.get, self.lengths.get, self.neighbours.get
         counts, last = [0], [None]
         for end in range(1, len(piece) + 1):
-            for start in range(max(0, end - longest), end):
-                token = piece[start:end]
-                if token in tokens and (start == 0 or fits(last[start], token)):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
+            for length in lengths(piece[end - 3 : end], (2, 1)) if end > 2 else (2, 1):
+                start = end - length
+                if start < 0:
+                    continue
+                token = number_of(piece[start:end])
+                if token is None:
+                    continue
+                if start:
+                    before = last[start]
+                    fits = known(before << 32 | token)
+                    if fits is None:
+                        fits = self._fits(before, token)
+                    if not fits:
+                        continue
+                counts.append(counts[start] + 1)
+                last.append(token)
+                break
         return counts
 
+    def _pieces(self, chunk):
+        """Pieces of a chunk in byte letters."""
+        plain = SPACED_WORD(chunk)
+        if plain is None:
+            return [piece for piece, _ in self.split(chunk)]
+        word, mark = plain.groups()
+        return (SPACE + shown(word), mark) if mark else (SPACE + shown(word),)
+
+    def count(self, chunk):
+        """Tokens of a whole chunk: the last entries of its pieces' tables, which are kept."""
+        if any(special in chunk for special in self.specials):
+            return self.table(chunk)[-1]
+        pieces, total = self.pieces, 0
+        for piece in self._pieces(chunk):
+            found = pieces.get(piece)
+            if found is None:
+                if len(pieces) > KEPT_PIECES:
+                    pieces.clear()
+                found = pieces[piece] = self.prefix_counts(piece)[-1]
+            total += found
+        return total
+
     def _add_up(self, string):
         """Counts at the prefixes of a string without special tokens."""
         total = [0]
         for piece, _ in self.split(string):
-            counts = self.pieces.get(piece)
-            if counts is None:
-                if len(self.pieces) > KEPT_CHUNKS:
-                    self.pieces.clear()
-                counts = self.pieces[piece] = self.prefix_counts(piece)
             base = total[-1]
-            total.extend([base + count for count in counts[1:]])
+            total.extend([base + count for count in self.prefix_counts(piece)[1:]])
         return total
 
-    def count(self, chunk):
-        """Tokens of a whole chunk."""
-        found = self.chunks.get(chunk)
-        if found is None:
-            if len(self.chunks) > KEPT_CHUNKS:
-                self.chunks.clear()
-            found = self.chunks[chunk] = self.table(chunk)[-1]
-        return found
-
     def table(self, string):
         """counts[i]: tokens that end within the first i bytes, or that those bytes of their piece take.
 
