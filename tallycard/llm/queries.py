@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallycard import session
-from tallycard.llm import chat, packing, quality, token_counts, topk, toxicity, urls
+from tallycard.llm import chat, jaccard, packing, quality, token_counts, topk, toxicity, urls
 from tallycard.llm.tables import table
 
 _REGISTRY = {}
@@ -66,6 +66,11 @@ def op7_url_filter(spark, folder):
     return urls.judge(table(spark, folder, "pages"))
 
 
+@_query
+def op8_ngram_jaccard_join(spark, folder):
+    return jaccard.classes(table(spark, folder, "documents"))
+
+
 @_query
 def op10_chat_formatting(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
