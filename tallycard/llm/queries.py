@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallycard import session
-from tallycard.llm import chat, jaccard, packing, quality, token_counts, topk, toxicity, urls
+from tallycard.llm import chat, jaccard, packing, quality, repeats, token_counts, topk, toxicity, urls
 from tallycard.llm.tables import table
 
 _REGISTRY = {}
@@ -61,6 +61,11 @@ def op5_best_fit_packing(spark, folder):
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query
+def op6_suffix_array_dedup(spark, folder):
+    return repeats.digests(repeats.repeated(table(spark, folder, "documents")))
+
+
 @_query
 def op7_url_filter(spark, folder):
     return urls.judge(table(spark, folder, "pages"))
