@@ -14,6 +14,7 @@ Defined results
 """
 
 import functools
+import struct
 import zlib
 
 import numpy as np
@@ -22,11 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallycard.llm.bytewords import LOWER_WORD, shown
 from tallycard.llm.tables import blocks, kept, slices, text_of
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 SHARD_PIECES = 1 << 16
-KEPT_WORDS = 300_000
+KEPT_WORDS = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -91,42 +93,44 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known = {}
-
-    def _encode(self, strings):
-        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-        return [np.array(encoding.ids, dtype="<u4") for encoding in found]
-
-    def _words(self, texts):
-        """Lists of words. ASCII letters are lower-cased here already, which spares the library many words."""
-        return pc.utf8_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
+        self.marks = {mark: self._whole(mark) for mark in ".,"} | {"": b""}
+
+    def _whole(self, string):
+        ids = self.tokenizer.encode(string, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _new(self, words):
+        tokenize, marks = self.tokenizer.model.tokenize, self.marks
+        for word in words:
+            # The tokenizer's own normalising and splitting leave these as they are.
+            plain = LOWER_WORD(word)
+            if plain is None:
+                yield self._whole(word)
+                continue
+            stem, mark = plain.groups()
+            ids = [token.id for token in tokenize(shown(stem))]
+            yield struct.pack(f"<{len(ids)}I", *ids) + marks[mark]
 
     def encode(self, texts):
-        """(ids, offsets) of an Arrow array of texts."""
+        """The ids of each of an Arrow array of texts, as bytes of little-endian 32-bit numbers."""
         # Control strings and the separators on which libraries differ are left to the tokenizer as they are.
-        special = pc.match_substring_regex(texts, r"<\||[\x1c-\x1f]").to_numpy(zero_copy_only=False)
-        lists = self._words(texts)
+        special = pc.match_substring_regex(texts, r"<\||[\x1c-\x1f]").to_pylist()
+        # ASCII letters are lower-cased here already, which spares the library many words.
+        lists = pc.utf8_split_whitespace(pc.ascii_lower(texts).cast(pa.large_string()))
         coded = lists.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().tolist()
+        offsets = lists.offsets.to_numpy().tolist()
         known = self.known
         if len(known) > KEPT_WORDS:
             known.clear()
         new = [word for word in words if word not in known]
-        known.update(zip(new, self._encode(new)))
-        ids = [known[word] for word in words]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        starts = np.cumsum(sizes) - sizes
-        flat = np.concatenate(ids) if ids else np.empty(0, dtype="<u4")
-        per_word = sizes[codes]
-        ends = np.cumsum(per_word)
-        total = int(ends[-1]) if len(ends) else 0
-        index = np.repeat(starts[codes] - (ends - per_word), per_word) + np.arange(total)
-        held = np.concatenate(([0], ends))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-        found = flat[index]
-        if not special.any():
-            return found, held
-        whole = dict(zip(np.flatnonzero(special), self._encode(texts.filter(pa.array(special)).to_pylist())))
-        parts = [whole.get(row, found[held[row] : held[row + 1]]) for row in range(len(texts))]
-        return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(part) for part in parts])))
+        known.update(zip(new, self._new(new)))
+        ids_of = [known[word] for word in words].__getitem__
+        for row, whole in enumerate(special):
+            if whole:
+                yield self._whole(texts[row].as_py())
+            else:
+                yield b"".join(map(ids_of, codes[offsets[row] : offsets[row + 1]]))
 
 
 @functools.lru_cache(maxsize=1)
@@ -138,17 +142,16 @@ def word_encoder(path):
 def _cutting(path, capacity, end_id, with_ids):
     def task(batches):
         encoder = word_encoder(path)
-        end = np.array([end_id], dtype="<u4")
+        end = struct.pack("<I", end_id)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                ids, offsets = encoder.encode(part.column("text"))
                 rows = []
-                for row, doc_id in enumerate(part.column("doc_id").to_pylist()):
-                    own = np.concatenate((ids[offsets[row] : offsets[row + 1]], end))
-                    for piece, start in enumerate(range(0, len(own), capacity)):
-                        held = own[start : start + capacity]
-                        crc = zlib.crc32(held.tobytes())
-                        rows.append((doc_id, piece, start, len(held), crc, held if with_ids else None))
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text"))):
+                    ids += end
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        held = ids[at : at + 4 * capacity]
+                        listed = np.frombuffer(held, dtype="<u4") if with_ids else None
+                        rows.append((doc_id, piece, at // 4, len(held) // 4, zlib.crc32(held), listed))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
                 columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
                 names = [*(field.name for field in _schema(False)), "ids"]
