@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from tallycard.llm.components import components
 from tallycard.llm.tables import blocks, kept, slices, text_of
 
+# Defaults: words of a shingle, and two documents link if 100 * intersection >= percent * union.
 SHINGLE = 4
-# Two documents link if 100 * intersection >= PERCENT * union.
 PERCENT = 85
-# Share of its shingles by which a document is compared for candidates, in percent.
-SKETCH = 25
+# By how many more percent of its shingles than it may lack a document is compared for candidates.
+SKETCH = 10
 MOST_MEMBERS = 4096
 MOST_SHINGLES = 1_500_000
 # Columns of the matrix at a time.
@@ -87,49 +87,52 @@ def shingle_sets(texts, size=SHINGLE):
                 yield np.empty(0, dtype=np.uint64)
 
 
-def _most_missing(size, percent=PERCENT):
+def _most_missing(size, percent):
     """How many shingles of a set of this size a linked one may lack."""
     return size - -(-percent * size // 100)
 
 
-def _sketch_size(size, sketch=SKETCH):
+def _sketch_size(size, percent):
     """How many of its smallest hashes a set of this size is compared by."""
-    return min(size, sketch * size // 100 + 1 + (PERCENT < 100))
+    return min(size, (100 - percent + SKETCH) * size // 100 + 2)
 
 
-def _shared(size):
+def _shared(size, percent):
     """How many members the sketches of a set of this size and any linked one share at least.
 
     In a set that lacks m of the common shingles, the first (sketch - m) common ones are certainly in its sketch.
     """
-    least = -(-PERCENT * size // 100)
+    least = -(-percent * size // 100)
+    found = min(_sketch_size(n, percent) - _most_missing(n, percent) for n in (size, least))
     # Rounding makes the smallest over all sizes between at most two less.
-    return max(1, min(_sketch_size(n) - _most_missing(n) for n in (size, least)) - 2)
+    return max(1, found - 2)
 
 
-def _window_size(size):
+def _window_size(size, percent):
     """How many pivots a set of this size is copied to: by the rest alone it could not have enough in common."""
-    return _sketch_size(size) - _shared(size) + 1
+    return _sketch_size(size, percent) - _shared(size, percent) + 1
 
 
 def _as_long(values):
     return pa.array(values.view(np.int64))
 
 
-def _sketching(keep):
+def _sketching(size, percent):
     def task(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                sets = list(shingle_sets(part.column("text")))
+                sets = list(shingle_sets(part.column("text"), size))
+                cut = [s[: _sketch_size(len(s), percent)] for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(name) for name in keep]
-                    + [
+                    [
+                        part.column("doc_id"),
+                        part.column("text_hash"),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([_signature(s) for s in sets], pa.int64()),
-                        pa.array([_window_size(len(s)) if len(s) else 0 for s in sets], pa.int32()),
-                        _lists([s[: _sketch_size(len(s))] if len(s) else s for s in sets]),
+                        pa.array([_window_size(len(s), percent) for s in sets], pa.int32()),
+                        _lists(cut),
                     ],
-                    names=[*keep, "n_shingles", "node", "window", "sketch"],
+                    names=["doc_id", "text_hash", "n_shingles", "node", "window", "sketch"],
                 )
 
     return task
@@ -146,20 +149,29 @@ def _lists(sets):
     return pa.ListArray.from_arrays(pa.array(offsets), _as_long(flat))
 
 
-def sketches(docs):
-    """doc_id, n_shingles, node (hash of the set), window, sketch (smallest hashes) of each document."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    schema = "doc_id long, n_shingles long, node long, window int, sketch array<long>"
-    return rows.mapInArrow(_sketching(["doc_id"]), schema)
+def _texts(docs):
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text")
+    )
+
+
+def sketches(docs, size=SHINGLE, percent=PERCENT):
+    """doc_id, text_hash, n_shingles, node (hash of the set), window, sketch (smallest hashes) of each document."""
+    schema = "doc_id long, text_hash long, n_shingles long, node long, window int, sketch array<long>"
+    return _texts(docs).mapInArrow(_sketching(size, percent), schema)
 
 
-def _whole_sets(batches):
-    for batch in batches:
-        for part in slices(batch, "text", SLICE_BYTES):
-            sets = list(shingle_sets(part.column("text")))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_signature(s) for s in sets], pa.int64()), _lists(sets)], names=["node", "shingles"]
-            )
+def _whole_sets(size):
+    def task(batches):
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                sets = list(shingle_sets(part.column("text"), size))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_signature(s) for s in sets], pa.int64()), _lists(sets)],
+                    names=["node", "shingles"],
+                )
+
+    return task
 
 
 def regions(nodes):
@@ -180,7 +192,7 @@ def regions(nodes):
     return kept(windows.join(met.select("pivot"), "pivot"), "jaccard-regions")
 
 
-def linked(sets):
+def linked(sets, percent=PERCENT):
     """Links (position, position of the first of its component) among sets, as arrays of distinct hashes."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -202,7 +214,7 @@ def linked(sets):
             common += stripe @ stripe.T
         else:
             common[np.ix_(rows, rows)] += stripe @ stripe.T
-    near = 100 * common >= PERCENT * (sizes[:, None] + sizes[None, :] - common)
+    near = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
     return _hung(near)
 
 
@@ -222,31 +234,34 @@ def _hung(near):
     return moved, root[moved]
 
 
-def _joining(bin_, table):
-    """Links within each place of a bin."""
-    table = table.sort_by([("place", "ascending"), ("part", "ascending"), ("node", "ascending")])
-    columns = [table.column(name).to_numpy() for name in ("place", "part", "node")]
-    place, part, node = columns
-    cuts = np.flatnonzero((np.diff(place) != 0) | (np.diff(part) != 0)) + 1
-    lists = table.column("shingles").combine_chunks()
-    offsets = lists.offsets.to_numpy()
-    values = lists.values.to_numpy(zero_copy_only=False)
-    left, right = [], []
-    for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(node)]):
-        own, first = np.unique(node[begin:end], return_index=True)
-        if len(own) < 2:
-            continue
-        moved, roots = linked([values[offsets[begin + at] : offsets[begin + at + 1]] for at in first.tolist()])
-        left.append(own[moved])
-        right.append(own[roots])
-    empty = np.empty(0, dtype=np.int64)
-    return pa.table(
-        [pa.array(np.concatenate(left) if left else empty), pa.array(np.concatenate(right) if right else empty)],
-        names=["a", "b"],
-    )
-
-
-def _join_places(members, sets):
+def _joining(percent):
+    def bin_(_, table):
+        """Links within each place of a bin."""
+        table = table.sort_by([("place", "ascending"), ("part", "ascending"), ("node", "ascending")])
+        place, part, node = [table.column(name).to_numpy() for name in ("place", "part", "node")]
+        cuts = np.flatnonzero((np.diff(place) != 0) | (np.diff(part) != 0)) + 1
+        lists = table.column("shingles").combine_chunks()
+        offsets = lists.offsets.to_numpy()
+        values = lists.values.to_numpy(zero_copy_only=False)
+        left, right = [], []
+        for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(node)]):
+            own, first = np.unique(node[begin:end], return_index=True)
+            if len(own) < 2:
+                continue
+            sets = [values[offsets[begin + at] : offsets[begin + at + 1]] for at in first.tolist()]
+            moved, roots = linked(sets, percent)
+            left.append(own[moved])
+            right.append(own[roots])
+        empty = np.empty(0, dtype=np.int64)
+        return pa.table(
+            [pa.array(np.concatenate(left) if left else empty), pa.array(np.concatenate(right) if right else empty)],
+            names=["a", "b"],
+        )
+
+    return bin_
+
+
+def _join_places(members, sets, percent):
     """Links (a, b) within places: `members` are rows (place, part, node, n_shingles), `sets` (node, shingles).
 
     Places are put into bins at random, of about MOST_SHINGLES each.
@@ -258,7 +273,7 @@ def _join_places(members, sets):
         "place", "part", "node", F.pmod(F.xxhash64("place", "part"), F.lit(bins)).cast("int").alias("bin")
     )
     rows = placed.join(sets, "node")
-    return kept(rows.groupBy("bin").applyInArrow(_joining, "a long, b long"), "jaccard-links")
+    return kept(rows.groupBy("bin").applyInArrow(_joining(percent), "a long, b long"), "jaccard-links")
 
 
 def _fits(members="members", shingles="shingles"):
@@ -271,19 +286,19 @@ def _sizes(rows, key):
     )
 
 
-def _sets_of(docs, wanted):
+def _sets_of(docs, wanted, size):
     """(node, shingles) once for each wanted node. `wanted` are rows (node, doc_id, named) with one document of each."""
     ids = wanted.select("doc_id").distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    texts = _texts(docs)
     ids = ids.withColumnRenamed("doc_id", "wanted_id")
     texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
-    whole = texts.mapInArrow(_whole_sets, "node long, shingles array<long>")
+    whole = texts.mapInArrow(_whole_sets(size), "node long, shingles array<long>")
     return whole.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def node_links(docs, rows):
+def node_links(docs, rows, size, percent):
     """Links (a, b) between nodes that connect all that is within the radius. `rows` are the stored `sketches`."""
     nodes = rows.where(F.col("n_shingles") > 0).dropDuplicates(["node"])
     shared = regions(nodes)
@@ -292,11 +307,11 @@ def node_links(docs, rows):
     own = shared.select("node", "n_shingles").distinct().join(clusters, "node")
     own = kept(own.withColumnRenamed("root", "cluster"), "jaccard-clustered")
     docs_of = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = kept(_sets_of(docs, docs_of.join(own.select("node"), "node", "left_semi")), "jaccard-sets")
+    sets = kept(_sets_of(docs, docs_of.join(own.select("node"), "node", "left_semi"), size), "jaccard-sets")
     sizes = kept(_sizes(own, "cluster"), "jaccard-cluster-sizes")
     small = own.join(sizes.where(_fits()), "cluster")
     links = _join_places(
-        small.select(F.col("cluster").alias("place"), F.lit(0).alias("part"), "node", "n_shingles"), sets
+        small.select(F.col("cluster").alias("place"), F.lit(0).alias("part"), "node", "n_shingles"), sets, percent
     )
     large = sizes.where(~_fits()).select("cluster")
     if not large.limit(1).count():
@@ -305,14 +320,14 @@ def node_links(docs, rows):
     rows = kept(rows.select(F.col("pivot").alias("place"), "node", "n_shingles"), "jaccard-large")
     sizes = kept(_sizes(rows, "place"), "jaccard-region-sizes")
     whole = rows.join(sizes.where(_fits()).select("place"), "place").withColumn("part", F.lit(0))
-    links = links.unionByName(_join_places(whole.select("place", "part", "node", "n_shingles"), sets))
+    links = links.unionByName(_join_places(whole.select("place", "part", "node", "n_shingles"), sets, percent))
     hot = sizes.where(~_fits())
     if not hot.limit(1).count():
         return links
-    return links.unionByName(_hot_links(rows.join(hot, "place"), sets, links))
+    return links.unionByName(_hot_links(rows.join(hot, "place"), sets, links, percent))
 
 
-def _hot_links(rows, sets, links):
+def _hot_links(rows, sets, links, percent):
     """Links within regions that are too large for one place: (place, node, n_shingles, members, shingles)."""
     # Half of what fits, as two blocks meet in one place.
     parts = F.greatest(
@@ -320,7 +335,7 @@ def _hot_links(rows, sets, links):
     )
     rows = kept(rows.withColumn("parts", parts.cast("int")), "jaccard-hot")
     dealt = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
-    near = _join_places(rows.select("place", dealt.alias("part"), "node", "n_shingles"), sets)
+    near = _join_places(rows.select("place", dealt.alias("part"), "node", "n_shingles"), sets, percent)
     known = components(links.unionByName(near), "jaccard-known")
     # Components side by side, so that most blocks hold a single one and need not meet others of the same.
     labelled = rows.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -350,22 +365,43 @@ def _hot_links(rows, sets, links):
     )
     met = numbered.join(pairs, ["place", "block"])
     across = _join_places(
-        met.select(F.xxhash64("place", "meeting").alias("place"), F.lit(1).alias("part"), "node", "n_shingles"), sets
+        met.select(F.xxhash64("place", "meeting").alias("place"), F.lit(1).alias("part"), "node", "n_shingles"), sets, percent
     )
     return near.unionByName(across)
 
 
-def classes(docs):
-    """doc_id, n_shingles, component_id of each document: the smallest id that links lead to."""
-    rows = kept(sketches(docs), "jaccard-sketches")
-    roots = components(node_links(docs, rows), "jaccard-components")
+def _named(docs, size, percent):
+    """The stored sketches with `root` and `component_id`."""
+    rows = kept(sketches(docs, size, percent), "jaccard-sketches")
+    roots = components(node_links(docs, rows, size, percent), "jaccard-components")
     nodes = rows.where(F.col("n_shingles") > 0).groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = kept(rooted, "jaccard-rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(named, "root").select(F.col("node"), "component_id")
-    return rows.join(named, "node", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    return rows.drop("sketch", "window").join(rooted.join(named, "root"), "node", "left")
+
+
+def classes(docs, size=SHINGLE, percent=PERCENT):
+    """doc_id, n_shingles, component_id of each document: the smallest id that links lead to."""
+    named = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return _named(docs, size, percent).select("doc_id", "n_shingles", named.alias("component_id"))
+
+
+def one_of_each(docs, size=5, percent=80):
+    """The rows of `docs` with the smallest id of their component, one row of each; and all without words."""
+    rows = _named(docs, size, percent).where(F.col("n_shingles") > 0)
+    least = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = least.groupBy("root").agg(F.min("text_hash").alias("hash"))
+    # Rows of one id that differ in text may be in one component; then one text stays.
+    stay = least.join(chosen, (least.root == chosen.root) & (least.text_hash == chosen.hash)).groupBy(
+        F.col("doc_id").alias("id"), "hash"
+    ).agg(F.count(F.lit(1)).alias("copies"))
+    stay = kept(stay, "jaccard-stay")
+    if stay.count() <= BROADCAST_IDS:
+        stay = F.broadcast(stay)
+    texts = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("hash"))
+    found = texts.join(stay, same).select("row", "id", "hash", "copies")
+    once = found.where("copies = 1").unionByName(found.where("copies > 1").dropDuplicates(["id", "hash"]))
+    bare = texts.where(~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return once.select("row.*").unionByName(bare.select("row.*"))
