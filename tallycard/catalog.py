@@ -150,7 +150,7 @@ def stream_authorize(bank):
     spark, folder = bank["transactions"].sparkSession, _scratch(bank, "stream")
     days = day_ranges(bank["transactions"], 2)
     replay(bank["transactions"], f"{folder}/landing", days, by_card=True)
-    stream = landed(spark, f"{folder}/landing", schemas.TRANSACTIONS)
+    stream = landed(spark, f"{folder}/landing", schemas.TRANSACTIONS, by_card=True)
     judged = authorize_stream(stream, bank["cards"], bank["customers"])
     drain(judged, f"{folder}/sink", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/sink")
@@ -243,7 +243,8 @@ def primary_key_check(bank):
 
 @_query
 def completeness_check(bank):
-    return checks.completeness(bank["transactions"], _authorised(bank))
+    key = schemas.PRIMARY_KEYS["transactions"]
+    return checks.completeness(bank["transactions"], _authorised(bank, columns=(key,)), key)
 
 
 @_query

@@ -15,7 +15,7 @@ _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int"
 _ORDERS = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
 
 _CUSTOMERS = """
-  CAST(c_custkey AS INT) AS customer_id,
+  CAST(c_custkey AS BIGINT) AS customer_id,
   c_name AS name,
   concat('555-', lpad(CAST(c_custkey AS STRING), 7, '0')) AS phone_number,
   concat(CAST(c_custkey AS STRING), ' Main Street, City ', CAST(c_nationkey AS STRING), ', NY ',
@@ -26,19 +26,18 @@ _CUSTOMERS = """
 """
 
 _LIMIT = """
-  CASE (c_custkey + k) % 5
-    WHEN 0 THEN 1000 + 100 * (c_custkey % 41)
-    WHEN 1 THEN 5000 + 100 * (c_custkey % 51)
-    WHEN 2 THEN 10000 + 100 * (c_custkey % 151)
-    WHEN 3 THEN 25000 + 100 * (c_custkey % 251)
-    ELSE 50000 + 100 * (c_custkey % 501)
+  CASE (c_custkey + k) % 4
+    WHEN 0 THEN 700 + 100 * (c_custkey % 23)
+    WHEN 1 THEN 3100 + 100 * (c_custkey % 59)
+    WHEN 2 THEN 9200 + 100 * (c_custkey % 127)
+    ELSE 22000 + 100 * (c_custkey % 613)
   END
 """
 
 _CARDS = """
-  CAST(c_custkey * 3 + k AS INT) AS card_id,
-  CAST(c_custkey AS INT) AS customer_id,
-  CAST(1 + (c_custkey + k) % 5 AS INT) AS card_type_id,
+  CAST(c_custkey * 3 + k AS BIGINT) AS card_id,
+  CAST(c_custkey AS BIGINT) AS customer_id,
+  CAST(1 + (c_custkey + k) % 4 AS BIGINT) AS card_type_id,
   concat('4000-', lpad(CAST(c_custkey * 3 + k AS STRING), 8, '0')) AS card_number,
   concat(lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '/', CAST(25 + k AS STRING))
     AS expiration_date,
@@ -49,8 +48,8 @@ _CARDS = """
 """
 
 _TRANSACTIONS = """
-  CAST(o_orderkey AS INT) AS transaction_id,
-  CAST(o_custkey * 3 + o_orderkey % (o_custkey % 3 + 1) AS INT) AS card_id,
+  CAST(o_orderkey AS BIGINT) AS transaction_id,
+  CAST(o_custkey * 3 + o_orderkey % (o_custkey % 3 + 1) AS BIGINT) AS card_id,
   concat('Merchant#', CAST(o_orderkey % 97 AS STRING)) AS merchant_name,
   o_orderdate AS timestamp,
   CAST(CASE WHEN o_orderkey % 6 = 0 THEN -cents ELSE cents END AS DOUBLE) / 100 AS amount,
@@ -68,12 +67,12 @@ _TRANSACTIONS = """
     AS related_transaction_id
 """
 
+# Invented tiers; no operator reads them.
 _CARD_TYPES = [
-    (1, "Tier1", 580, 669, 1000, 5000, 0, 0.005),
-    (2, "Tier2", 670, 739, 5000, 10000, 95, 0.010),
-    (3, "Tier3", 740, 799, 10000, 25000, 195, 0.020),
-    (4, "Tier4", 800, 850, 25000, 50000, 495, 0.030),
-    (5, "Tier5", 800, 850, 50000, 100000, 695, 0.050),
+    (1, "Basic", 300, 610, 700, 3000, 0, 0.0),
+    (2, "Plus", 611, 705, 3100, 9000, 40, 0.004),
+    (3, "Travel", 706, 777, 9200, 21900, 130, 0.012),
+    (4, "Select", 778, 900, 22000, 83300, 310, 0.023),
 ]
 
 

@@ -1,19 +1,30 @@
 """Money columns: DOUBLE at the edges, exact inside.
 
-Sums and comparisons run on whole cents (BIGINT) or DECIMAL(18,2), so their results depend neither
+Sums and comparisons run on whole cents (BIGINT) or DECIMAL(38,2), so their results depend neither
 on the order of addition nor on binary fractions. Amounts finer than a cent are out of contract;
-`off_cent` finds them.
+`off_cent` finds them. What is no number of cents at all, as NaN, stops the job; it never becomes
+another amount.
 """
 
 from pyspark.sql import functions as F
 
-# From about here on a DOUBLE no longer tells cents apart.
-NO_AMOUNT = 1e13
+# Cents are counted in BIGINT.
+MOST_CENTS = 2.0**63
 
 
 def cents(amount):
-    """Whole cents as BIGINT; NULL for what is no amount: NULL, NaN, and NO_AMOUNT or more."""
-    return F.when(F.abs(amount) < NO_AMOUNT, F.rint(amount * 100).cast("bigint"))
+    """Whole cents as BIGINT. NULL for NULL; NaN and what BIGINT cannot hold raise an error."""
+    whole = F.rint(amount * 100)
+    text = F.concat(F.lit("not a number of cents: "), amount.cast("string"))
+    return (
+        F.when(amount.isNull(), F.lit(None).cast("bigint"))
+        .when(_countable(amount), whole.cast("bigint"))
+        .otherwise(F.raise_error(text).cast("bigint"))
+    )
+
+
+def _countable(amount):
+    return ~F.isnan(amount) & (F.abs(F.rint(amount * 100)) < MOST_CENTS)
 
 
 def from_cents(whole):
@@ -22,13 +33,14 @@ def from_cents(whole):
 
 
 def exact(amount):
-    """DECIMAL(18,2) form for sums over many rows."""
-    return amount.try_cast("decimal(18,2)")
+    """DECIMAL(38,2) form for sums over many rows; NaN raises an error."""
+    return amount.cast("decimal(38,2)")
 
 
 def off_cent(amount):
-    """True where an amount has more than two decimals (or is no finite number)."""
-    return F.coalesce(from_cents(cents(amount)) != amount, amount.isNotNull())
+    """True where an amount has more than two decimals (or is no number of cents)."""
+    whole = F.when(_countable(amount), F.rint(amount * 100))
+    return F.coalesce(from_cents(whole) != amount, amount.isNotNull())
 
 
 def money_text(whole):

@@ -24,7 +24,7 @@ def _outcome(columns, reasons):
 def decline_reason():
     """Why a row was declined; NULL if it was not. Going over the limit beats the other reasons.
 
-    The wording is fixed.
+    The wording is fixed, but for unknown limits and balances.
     """
     total = F.col("balance_cents") + F.when(always_booked(), F.lit(0)).otherwise(F.col("cents"))
     limit = money_text(F.col("limit_cents"))
@@ -47,6 +47,8 @@ def decline_reason():
         F.when(F.col("approved"), F.lit(None).cast("string"))
         .when(F.col("rule") == "card", text("Card ID ", shown("card_id"), " not found"))
         .when(F.col("rule") == "customer", text("Customer ID ", shown("customer_id"), " not found"))
+        .when(F.col("rule") == "limit", text("Credit limit of card ID ", shown("card_id"), " unknown"))
+        .when(F.col("rule") == "balance", text("Balance of card ID ", shown("card_id"), " unknown"))
         .when(F.col("rule") == "amount", "Amount missing")
         .when(total > F.col("limit_cents"), over)
         .when(F.col("rule") == "half", half)
@@ -60,7 +62,8 @@ def authorize(
     """Adds `status` (pending / declined) and `pending_balance` after each row.
 
     Rows of a card are taken in the order of (timestamp, transaction_id). A row whose card or
-    customer does not exist is declined with a NULL balance. `reasons` adds `decline_reason`.
+    customer does not exist, or whose card has no known limit or balance, is declined with a NULL
+    balance. `reasons` adds `decline_reason`.
 
     `columns` names the transaction columns to keep, by default all: fewer are cheaper, as Spark cannot
     see which ones the Python step passes on for nothing.

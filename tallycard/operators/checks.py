@@ -35,16 +35,30 @@ def primary_key_check(tables):
     return reduce(lambda one, other: one.unionByName(other), [check(name) for name in tables])
 
 
-def completeness(expected, processed):
-    """Counts of both sides and `ok`, `short` or `over`: the gate before the batch job."""
-    none, one = F.lit(0).cast("bigint"), F.count(F.lit(1))
-    sides = expected.agg(one.alias("expected"), none.alias("processed")).unionByName(
-        processed.agg(none.alias("expected"), one.alias("processed"))
+def completeness(expected, processed, key):
+    """The gate before the batch job: rows of both sides, how many keys were `lost` or `doubled`, and the result.
+
+    Rows are compared key by key: `lost` counts the rows that a key has too few on the processed side,
+    `doubled` those it has too many. The result is `ok`, `short`, `over`, or `short and over`.
+    """
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    sides = expected.select(F.col(key), one.alias("e"), zero.alias("p")).unionByName(
+        processed.select(F.col(key), zero.alias("e"), one.alias("p"))
+    )
+    keys = sides.groupBy(key).agg(F.sum("e").alias("e"), F.sum("p").alias("p"))
+
+    def total(column):
+        return F.coalesce(F.sum(column), zero)
+
+    totals = keys.agg(
+        total(F.col("e")).alias("expected"),
+        total(F.col("p")).alias("processed"),
+        total(F.greatest(F.col("e") - F.col("p"), zero)).alias("lost"),
+        total(F.greatest(F.col("p") - F.col("e"), zero)).alias("doubled"),
     )
-    both = sides.agg(F.sum("expected").alias("expected"), F.sum("processed").alias("processed"))
-    missing = F.col("processed") - F.col("expected")
-    result = F.when(missing == 0, "ok").when(missing < 0, "short").otherwise("over")
-    return both.withColumn("result", result)
+    short, over = F.col("lost") > 0, F.col("doubled") > 0
+    result = F.when(short & over, "short and over").when(short, "short").when(over, "over").otherwise("ok")
+    return totals.withColumn("result", result)
 
 
 def off_cent_amounts(transactions):

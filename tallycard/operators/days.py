@@ -28,7 +28,10 @@ def transactions_between(transactions, first, last):
     """Transactions of the days `first` to `last`, both included.
 
     A range on the bare column, so the file reader and JDBC sources can skip by statistics or index.
+    Without days, the transactions without a time.
     """
+    if first is None:
+        return transactions.where(F.col("timestamp").isNull())
     after = last + datetime.timedelta(days=1)
     ts = F.col("timestamp")
     return transactions.where(

@@ -31,7 +31,8 @@ MAX_SEGMENTS = 10_000
 # Cards and segments (a few numbers each, or an account) that are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
-_CHAIN = "card_id int, segment int, entry_cents bigint, known boolean"
+# Columns of the chain behind the card's own.
+_CHAIN = "segment int, entry_cents bigint, known boolean"
 
 
 @dataclass
@@ -150,7 +151,9 @@ def _entries(found, rows):
         _walk(found, live, todo, number).write.parquet(f"{folder}/walks/{number}")
         walks = spark.read.parquet(*[f"{folder}/walks/{n}" for n in range(number + 1)])
         chained = f"{folder}/chain/{number}"
-        walks.groupBy("card_id").applyInPandas(_chain_card, _CHAIN).write.parquet(chained)
+        kind = walks.schema["card_id"].dataType.simpleString()
+        schema = f"card_id {kind}, {_CHAIN}"
+        walks.groupBy("card_id").applyInPandas(_chain_card, schema).write.parquet(chained)
         entries = spark.read.parquet(chained)
         todo, number = entries.where(~F.col("known")), number + 1
         if todo.isEmpty():

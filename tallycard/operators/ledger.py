@@ -6,11 +6,12 @@ gives the balance as if every row were booked; `settle` then takes the declined
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallycard.operators.rules import BOOKED, GUARDED
+from tallycard.operators.rules import BOOKED, GUARDED, VOID
 
 ORDER = ("timestamp", "transaction_id")
 
@@ -49,8 +50,12 @@ def settle(starts, kind, cents, booked, limit, shift):
 
 
 def _numbers(batch, name):
+    """A column as numbers. Only rows without a balance may lack any; theirs are never read."""
     column = batch.column(batch.schema.get_field_index(name))
-    if column.null_count:  # rows without an account
+    if column.null_count:
+        kind = batch.column(batch.schema.get_field_index("kind"))
+        if pc.any(pc.and_(column.is_null(), pc.not_equal(kind, VOID))).as_py():
+            raise ValueError(f"a row that is to be booked has no {name}")
         column = column.fill_null(0)
     return column.to_numpy(zero_copy_only=False)
 

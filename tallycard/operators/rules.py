@@ -9,11 +9,14 @@ from tallycard.functions.places import zip_code, zips_close
 ALWAYS_BOOKED = ("refund", "cancellation")
 
 # What a transaction may do to its card's pending balance.
-VOID = -1  # no such card or customer: there is no balance
+VOID = -1  # no such card or customer, or its limit or opening balance is unknown: there is no balance
 BLOCKED = 0  # declined by a stateless rule: leaves the balance alone
 BOOKED = 1  # refund or cancellation: always moves the balance
 GUARDED = 2  # moves the balance if the result stays within the limit
 
+# The rules that leave a transaction without a balance.
+NO_BALANCE = ("card", "customer", "limit", "balance")
+
 
 def accounts(cards, customers):
     """One row per card: what the rules need to know about the card and its holder."""
@@ -67,18 +70,17 @@ def precheck(transactions, accounts):
     `rule` names the stateless rule that declined a row. The distance rule counts only where the
     half-limit rule passed.
     """
-    usable = (
-        F.col("has_card") & F.col("credit_limit").isNotNull() & F.col("current_balance").isNotNull()
-    )
     rule = (
-        F.when(~F.coalesce(usable, F.lit(False)), "card")
+        F.when(F.col("has_card").isNull(), "card")
         .when(F.col("has_holder").isNull(), "customer")
+        .when(cents(F.col("credit_limit")).isNull(), "limit")
+        .when(cents(F.col("current_balance")).isNull(), "balance")
         .when(cents(F.col("amount")).isNull(), "amount")
         .when(breaks_half_limit(), "half")
         .when(breaks_distance(), "distance")
     )
     kind = (
-        F.when(F.col("rule").isin("card", "customer"), F.lit(VOID))
+        F.when(F.col("rule").isin(*NO_BALANCE), F.lit(VOID))
         .when(F.col("rule").isNotNull(), F.lit(BLOCKED))
         .when(always_booked(), F.lit(BOOKED))
         .otherwise(F.lit(GUARDED))

@@ -59,16 +59,17 @@ def card_totals(transactions):
 def reconcile(totals, cards):
     """Cards whose last pending balance is not the opening balance plus the approved sum.
 
-    A declined refund is booked all the same but not approved, so it shows up here by design.
+    A declined refund is booked all the same but not approved, so it shows up here by design. A card
+    without a known balance shows up, with no discrepancy, if amounts were approved on it all the same.
     """
     pending, opening = cents(F.col("pending_balance")), cents(F.col("current_balance"))
     expected = pending - opening
-    found = F.coalesce(expected, F.lit(0)) - F.coalesce(
-        cents(F.col("recalculated_pending")), F.lit(0)
-    )
+    # No approved amounts add up to nothing.
+    found = expected - F.coalesce(cents(F.col("recalculated_pending")), F.lit(0))
+    unknown = expected.isNull() & F.col("recalculated_pending").isNotNull()
     return (
         totals.join(cards.select("card_id", "current_balance"), "card_id", "left")
-        .where(found != 0)
+        .where((found != 0) | unknown)
         .select(
             "card_id",
             "pending_balance",

@@ -10,7 +10,7 @@ _TYPES = ", ".join(str(row) for row in fixtures._CARD_TYPES)
 _BANK = f"""
 customers AS (SELECT {fixtures._CUSTOMERS} FROM customer),
 credit_card_types AS (
-  SELECT CAST(a AS INT) AS card_type_id, b AS name, CAST(c AS INT) AS credit_score_min,
+  SELECT CAST(a AS BIGINT) AS card_type_id, b AS name, CAST(c AS INT) AS credit_score_min,
     CAST(d AS INT) AS credit_score_max, CAST(e AS INT) AS credit_limit_min,
     CAST(f AS INT) AS credit_limit_max, CAST(g AS INT) AS annual_fee, CAST(h AS DOUBLE) AS rewards_rate
   FROM (VALUES {_TYPES}) v(a, b, c, d, e, f, g, h)),
@@ -238,7 +238,8 @@ def oracle_sql():
         ),
         "primary_key_check": _sql(_KEY_CHECKS),
         "completeness_check": _sql(
-            "SELECT count(*) AS expected, count(*) AS processed, 'ok' AS result FROM transactions"
+            "SELECT count(*) AS expected, count(*) AS processed, CAST(0 AS BIGINT) AS lost,"
+            " CAST(0 AS BIGINT) AS doubled, 'ok' AS result FROM transactions"
         ),
         "off_cent_amounts": _sql(
             "SELECT * FROM transactions WHERE CAST(round(amount * 100) AS BIGINT) / 100.0::DOUBLE"

@@ -1,7 +1,7 @@
 """The whole job: replay, authorise as a stream, check completeness, settle, store."""
 
 from tallycard import schemas
-from tallycard.operators.checks import completeness
+from tallycard.operators.checks import completeness, off_cent_amounts
 from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.plans.batch import settle_day
 from tallycard.sources.files import write_table
@@ -13,16 +13,28 @@ class Incomplete(RuntimeError):
     """The stream did not deliver each transaction exactly once."""
 
 
-def require_complete(expected, processed):
-    """The gate before the batch job. Returns the two counts."""
-    counts = completeness(expected, processed).first()
+class OffCent(RuntimeError):
+    """Some amounts are finer than a cent, or no number of cents."""
+
+
+def require_complete(expected, processed, key=schemas.PRIMARY_KEYS["transactions"]):
+    """The gate before the batch job, transaction by transaction. Returns the two counts."""
+    counts = completeness(expected, processed, key).first()
     if counts["result"] != "ok":
         raise Incomplete(
-            f"{counts['result']}: {counts['processed']} of {counts['expected']} transactions"
+            f"{counts['result']}: {counts['processed']} of {counts['expected']} transactions,"
+            f" {counts['lost']} lost, {counts['doubled']} doubled"
         )
     return counts["expected"], counts["processed"]
 
 
+def require_whole_cents(transactions):
+    """The gate before the replay: cents are all the ledger can keep."""
+    odd = off_cent_amounts(transactions).select("transaction_id", "amount").take(3)
+    if odd:
+        raise OffCent(f"finer than a cent, among others: {[tuple(row) for row in odd]}")
+
+
 def authorise_history(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
     """Replay all transactions in `slices` ranges of days and authorise each as it has landed.
 
@@ -33,7 +45,7 @@ def authorise_history(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
     for days in day_ranges(transactions, slices):
         replay(transactions, landing, [days])
         authorize_batches(
-            landed(spark, landing, transactions.schema, max_bytes=None),
+            landed(spark, landing, transactions.schema),
             bank["cards"],
             bank["customers"],
             sink,
@@ -49,6 +61,7 @@ def run(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
     Inputs are never overwritten: every phase writes its own table and the next one reads it back, so
     nothing is computed twice.
     """
+    require_whole_cents(bank["transactions"])
     authorised = authorise_history(spark, bank, folder, slices, heavy_rows)
     require_complete(bank["transactions"], authorised)
 

@@ -7,10 +7,10 @@ def _table(**columns):
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-_INT, _TEXT, _MONEY = T.IntegerType(), T.StringType(), T.DoubleType()
+_ID, _INT, _TEXT, _MONEY = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType()
 
 CUSTOMERS = _table(
-    customer_id=_INT,
+    customer_id=_ID,
     name=_TEXT,
     phone_number=_TEXT,
     address=_TEXT,
@@ -20,7 +20,7 @@ CUSTOMERS = _table(
 )
 
 CARD_TYPES = _table(
-    card_type_id=_INT,
+    card_type_id=_ID,
     name=_TEXT,
     credit_score_min=_INT,
     credit_score_max=_INT,
@@ -31,9 +31,9 @@ CARD_TYPES = _table(
 )
 
 CARDS = _table(
-    card_id=_INT,
-    customer_id=_INT,
-    card_type_id=_INT,
+    card_id=_ID,
+    customer_id=_ID,
+    card_type_id=_ID,
     card_number=_TEXT,
     expiration_date=_TEXT,
     credit_limit=_MONEY,
@@ -42,8 +42,8 @@ CARDS = _table(
 )
 
 TRANSACTIONS = _table(
-    transaction_id=_INT,
-    card_id=_INT,
+    transaction_id=_ID,
+    card_id=_ID,
     merchant_name=_TEXT,
     timestamp=T.TimestampNTZType(),
     amount=_MONEY,

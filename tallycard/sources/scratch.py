@@ -12,7 +12,8 @@ def scratch_dir(spark, purpose):
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master.startswith("local-cluster") or not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="tallycard-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

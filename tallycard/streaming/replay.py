@@ -14,38 +14,51 @@ from tallycard.operators.ledger import ORDER
 def day_ranges(transactions, count):
     """At most `count` ranges of days with about equally many rows, as (first, last) dates.
 
-    The driver sees one number per calendar day.
+    Rows without a time come first in each card's order; if there are any, they are a range of their own
+    before the others, (None, None). The driver sees one number per calendar day.
     """
     days = day_counts(transactions).select(F.to_date("date").alias("day"), "transactions").collect()
-    upto = list(accumulate(row["transactions"] for row in days))
+    timed = [row for row in days if row["day"] is not None]
+    upto = list(accumulate(row["transactions"] for row in timed))
     ranges = {}
-    for row, rows in zip(days, upto):
+    for row, rows in zip(timed, upto):
         part = (rows - 1) * count // upto[-1]
         first, _ = ranges.get(part, (row["day"], None))
         ranges[part] = (first, row["day"])
-    return list(ranges.values())
+    untimed = [(None, None)] if len(timed) < len(days) else []
+    return untimed + list(ranges.values())
+
+
+def _layout(folder, by_card):
+    """The part of the landing folder for one layout; rows of the two never meet in a micro-batch."""
+    return f"{folder}/{'by_card' if by_card else 'as_read'}"
 
 
 def replay(transactions, folder, ranges, by_card=False):
     """Append each range of days to the landing folder, one job after the other.
 
-    Without `by_card` a slice is written as it is read. That is right where a micro-batch takes whole
-    slices. With `by_card` all rows of a card in a slice are in one file, sorted, so that a micro-batch
-    may end after any file without putting a card's rows out of order.
+    Without `by_card` a slice is written as it is read; a micro-batch then takes whole slices. With
+    `by_card` all rows of a card in a slice are in one file, sorted, so that a micro-batch may end
+    after any file without putting a card's rows out of order.
     """
     for first, last in ranges:
         part = transactions_between(transactions, first, last)
         if by_card:
             part = part.repartition("card_id").sortWithinPartitions("card_id", *ORDER)
-        part.write.mode("append").parquet(folder)
+        part.write.mode("append").parquet(_layout(folder, by_card))
 
 
-def landed(spark, folder, schema, max_bytes=256 * 2**20, max_files=None):
-    """The landing folder as a stream, oldest files first.
+def landed(spark, folder, schema, by_card=False, max_bytes=256 * 2**20, max_files=None):
+    """What `replay` has landed with the same `by_card`, as a stream, oldest files first.
 
-    A micro-batch takes files up to `max_bytes` (at least one) or up to `max_files`; everything that has
-    landed if both are None.
+    With `by_card` a micro-batch takes files up to `max_bytes` (at least one) or up to `max_files`, or
+    everything if both are None. Without it, a file may hold any rows of a card, so a micro-batch takes
+    everything that has landed. Rows that landed in the other layout are not found: the folder is missing.
     """
-    limit = {"maxFilesPerTrigger": max_files} if max_files else {"maxBytesPerTrigger": max_bytes}
-    options = {name: str(value) for name, value in limit.items() if value}
-    return spark.readStream.schema(schema).options(**options).parquet(folder)
+    options = {}
+    if by_card:
+        limit = {"maxFilesPerTrigger": max_files} if max_files else {"maxBytesPerTrigger": max_bytes}
+        options = {name: str(value) for name, value in limit.items() if value}
+    elif max_files:
+        raise ValueError("a micro-batch can end between files only if they are laid by card")
+    return spark.readStream.schema(schema).options(**options).parquet(_layout(folder, by_card))

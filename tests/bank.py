@@ -6,9 +6,9 @@ import re
 from tallycard import schemas
 
 NOON = datetime.datetime(2024, 1, 5, 12)
-HOME = "1 A St, Queens, NY 14854"
-NEAR = "9 Shop, Queens, NY 19660"
-FAR = "9 Shop, Reno, NV 24854"
+HOME = "4 Elm Rd, Delta, WA 31472"
+NEAR = "7 Quay, Delta, WA 36905"
+FAR = "7 Quay, Ocala, FL 81472"
 
 
 def customers(spark, *rows):

@@ -240,3 +240,45 @@ def test_microseconds_decide_the_order(spark, rows):
         changed, bank.cards(spark, (1, 10, 801.0, 100.0)), bank.customers(spark, (10, bank.HOME))
     )
     assert rows(judged, "transaction_id", "status") == [(1, "declined"), (2, "pending")]
+
+
+def _judged(spark, rows, transactions, card):
+    cards, customers = bank.cards(spark, card), bank.customers(spark, (10, bank.HOME))
+    judged = authorize(bank.transactions(spark, *transactions), cards, customers, reasons=True)
+    return rows(judged, "transaction_id", "status", "pending_balance", "decline_reason")
+
+
+def test_very_large_amounts_are_amounts_like_others(spark, rows):
+    assert _judged(spark, rows, [(1, 1, 5.0)], (1, 10, 1e13, 0.0)) == [(1, "pending", 5.0, None)]
+    over = "Total balance 20000000000005.0 exceeds credit limit 1000.0"
+    assert _judged(spark, rows, [(1, 1, 5.0)], (1, 10, 1000.0, 2e13)) == [(1, "declined", 2e13, over)]
+    refund = [(1, 1, -2e13, "refund"), (2, 1, 5.0)]
+    assert _judged(spark, rows, refund, (1, 10, 1000.0, 100.0)) == [
+        (1, "pending", 100.0 - 2e13, None), (2, "pending", 105.0 - 2e13, None),
+    ]
+
+
+@pytest.mark.parametrize("card", [(1, 10, float("nan"), 1.0), (1, 10, 1.0, float("nan")), (1, 10, 1e17, 1.0)])
+def test_no_number_of_cents_stops_the_job(spark, rows, card):
+    with pytest.raises(Exception, match="not a number of cents"):
+        _judged(spark, rows, [(1, 1, 5.0)], card)
+
+
+def test_unknown_limits_and_balances_are_never_zero(spark, rows):
+    assert _judged(spark, rows, [(1, 1, -5.0, "refund"), (2, 1, 1.0)], (1, 10, None, 7.0)) == [
+        (n, "declined", None, "Credit limit of card ID 1 unknown") for n in (1, 2)
+    ]
+    assert _judged(spark, rows, [(1, 1, -5.0, "refund")], (1, 10, 10.0, None)) == [
+        (1, "declined", None, "Balance of card ID 1 unknown")
+    ]
+
+
+@pytest.mark.parametrize("heavy_rows", [5_000_000, 2])
+def test_numbers_beyond_four_bytes(spark, rows, heavy_rows):
+    card, first = 3_000_000_000, 4_000_000_000
+    made = bank.transactions(spark, *[(first + n, card, 300.0, "purchase", bank.NEAR, n) for n in range(6)])
+    cards, customers = bank.cards(spark, (card, 10, 1000.0, 0.0)), bank.customers(spark, (10, bank.HOME))
+    found = rows(
+        authorize(made, cards, customers, heavy_rows=heavy_rows), "transaction_id", "card_id", "status"
+    )
+    assert found == [(first + n, card, "pending" if n < 3 else "declined") for n in range(6)]

@@ -128,3 +128,10 @@ def test_totals_are_reduced_before_the_shuffle(spark):
     made = authorised(spark, (1, 1, 30.0, "pending", 130.0))
     plan = settle.card_totals(made)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max_by") > plan.index("Exchange hashpartitioning(card_id")
+
+
+def test_totals_beyond_the_old_bound(spark, rows):
+    cards = bank.cards(spark, (1, 10, 1e17, 1e17), (2, 10, 1000.0, 100.0))
+    (customer, balance, limit, usage), = rows(settle.credit_utilisation(cards))
+    assert (customer, balance, limit) == (10, 1e17 + 100, 1e17 + 1000)
+    assert usage == pytest.approx(100.0)

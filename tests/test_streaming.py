@@ -37,7 +37,7 @@ def test_stream_equals_batch_over_micro_batches_and_a_restart(spark, folder, row
     transactions = tables["transactions"]
     ranges = day_ranges(transactions, 3)
     stream = authorize_stream(
-        landed(spark, _made(f"{folder}/in", spark), schemas.TRANSACTIONS, max_files=1),
+        landed(spark, _made(f"{folder}/in", spark), schemas.TRANSACTIONS, by_card=True, max_files=1),
         tables["cards"],
         tables["customers"],
     )
@@ -53,7 +53,8 @@ def test_stream_equals_batch_over_micro_batches_and_a_restart(spark, folder, row
 
 
 def _made(path, spark):
-    spark.createDataFrame([], schemas.TRANSACTIONS).write.parquet(path)
+    for layout in ("by_card", "as_read"):
+        spark.createDataFrame([], schemas.TRANSACTIONS).write.parquet(f"{path}/{layout}")
     return path
 
 
@@ -63,7 +64,7 @@ def test_late_rows_follow_and_declined_first_rows_leave_no_state(spark, folder,
     landing = f"{folder}/in"
     bank.transactions(
         spark, (5, 1, 400.0, "purchase", bank.NEAR, 50), (6, 2, 900.0), (7, 3, 1.0), (8, None, 1.0)
-    ).coalesce(1).write.parquet(landing)
+    ).coalesce(1).write.parquet(f"{landing}/as_read")
 
     def go(held):
         stream = landed(spark, landing, schemas.TRANSACTIONS)
@@ -72,7 +73,7 @@ def test_late_rows_follow_and_declined_first_rows_leave_no_state(spark, folder,
     go(cards)
     bank.transactions(
         spark, (1, 1, 450.0, "purchase", bank.NEAR, 1), (2, 1, 90.0, "purchase", bank.NEAR, 2), (9, 2, 10.0)
-    ).coalesce(1).write.mode("append").parquet(landing)
+    ).coalesce(1).write.mode("append").parquet(f"{landing}/as_read")
     # Card 2 has booked nothing yet, so its own balance still counts; card 1 has.
     raised = cards.withColumn("current_balance", F.col("current_balance") + 50)
     go(raised)
@@ -93,7 +94,7 @@ def test_runs_of_the_batch_operator_equal_one_batch(spark, folder, rows):
     landing = _made(f"{folder}/in", spark)
 
     def go():
-        stream = landed(spark, landing, schemas.TRANSACTIONS, max_bytes=None)
+        stream = landed(spark, landing, schemas.TRANSACTIONS)
         sink, checkpoint = f"{folder}/out", f"{folder}/checkpoint"
         authorize_batches(stream, cards, customers, sink, checkpoint, heavy_rows=6)
 
@@ -110,10 +111,10 @@ def test_a_micro_batch_that_broke_off_is_repeated(spark, folder, rows, monkeypat
     made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 450.0), (3, 1, 300.0))
     cards = bank.cards(spark, (1, 10, 1000.0, 100.0))
     customers = bank.customers(spark, (10, bank.HOME))
-    made.write.parquet(f"{folder}/in")
+    made.write.parquet(f"{folder}/in/as_read")
 
     def go():
-        stream = landed(spark, f"{folder}/in", made.schema, max_bytes=None)
+        stream = landed(spark, f"{folder}/in", made.schema)
         authorize_batches(stream, cards, customers, f"{folder}/out", f"{folder}/checkpoint")
 
     def broken(df):
@@ -125,7 +126,7 @@ def test_a_micro_batch_that_broke_off_is_repeated(spark, folder, rows, monkeypat
             go()
     assert authorised_batches(spark, f"{folder}/out").count() == 3
     go()
-    bank.transactions(spark, (4, 1, 90.0)).write.mode("append").parquet(f"{folder}/in")
+    bank.transactions(spark, (4, 1, 90.0)).write.mode("append").parquet(f"{folder}/in/as_read")
     go()
     found = authorised_batches(spark, f"{folder}/out")
     assert rows(found, "transaction_id", "status", "pending_balance") == [
@@ -137,7 +138,7 @@ def test_missing_times_come_first_in_both_forms(spark, folder, rows):
     made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 450.0), (3, 1, 300.0)).withColumn(
         "timestamp", F.expr("IF(transaction_id > 1, NULL, timestamp)")
     )
-    made.write.parquet(f"{folder}/in")
+    made.write.parquet(f"{folder}/in/as_read")
     cards = bank.cards(spark, (1, 10, 1000.0, 100.0))
     customers = bank.customers(spark, (10, bank.HOME))
     stream = authorize_stream(landed(spark, f"{folder}/in", made.schema), cards, customers)
@@ -149,9 +150,43 @@ def test_missing_times_come_first_in_both_forms(spark, folder, rows):
     ]
 
 
+def test_one_missing_time_loses_no_rows(spark, folder, rows):
+    tables = fixtures.Bank(spark, DATA)
+    missing = F.expr("IF(transaction_id = 7, NULL, timestamp)")
+    transactions = tables["transactions"].withColumn("timestamp", missing)
+    assert transactions.where("timestamp IS NULL").count() == 1
+    for count in (1, 2, 3):
+        ranges = day_ranges(transactions, count)
+        assert ranges[0] == (None, None) and len(ranges) == count + 1
+        replay(transactions, f"{folder}/{count}", ranges)
+        assert rows(spark.read.parquet(f"{folder}/{count}/as_read")) == rows(transactions)
+
+
+def test_unsorted_files_in_several_micro_batches_equal_the_batch(spark, folder, rows):
+    tables = fixtures.Bank(spark, DATA)
+    transactions, cards, customers = (tables[n] for n in ("transactions", "cards", "customers"))
+    shuffled = transactions.repartition(7).sortWithinPartitions(F.desc("transaction_id"))
+    expected = rows(authorize(transactions, cards, customers))
+    for by_card, limits in ((False, {}), (True, {}), (True, {"max_files": 1})):
+        name = f"{folder}/{by_card}-{len(limits)}"
+        replay(shuffled, f"{name}/in", day_ranges(shuffled, 1), by_card=by_card)
+        stream = landed(spark, f"{name}/in", schemas.TRANSACTIONS, by_card=by_card, **limits)
+        drain(authorize_stream(stream, cards, customers), f"{name}/out", f"{name}/checkpoint")
+        assert rows(spark.read.parquet(f"{name}/out")) == expected
+
+
+def test_layouts_are_not_mixed(spark, folder):
+    transactions = fixtures.transactions(spark, DATA)
+    with pytest.raises(ValueError, match="laid by card"):
+        landed(spark, f"{folder}/in", schemas.TRANSACTIONS, max_files=1)
+    replay(transactions, f"{folder}/in", day_ranges(transactions, 1))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        landed(spark, f"{folder}/in", schemas.TRANSACTIONS, by_card=True)
+
+
 def test_csv_sink_can_be_read_by_the_batch(spark, folder, rows):
     made = bank.transactions(spark, (1, 1, 400.0), (2, 1, 700.0), (3, 99, 1.0))
-    made.write.parquet(f"{folder}/in")
+    made.write.parquet(f"{folder}/in/as_read")
     cards = bank.cards(spark, (1, 10, 1000.0, 100.0))
     customers = bank.customers(spark, (10, bank.HOME))
     stream = authorize_stream(landed(spark, f"{folder}/in", made.schema), cards, customers)
@@ -171,11 +206,28 @@ def test_lambda_job_stores_all_results(spark, folder, rows):
     assert stored["batch_transactions"].count() == tables["transactions"].count()
 
 
-@pytest.mark.parametrize("expected, processed, word", [(3, 2, "short"), (2, 3, "over")])
-def test_gate_stops_the_batch(spark, expected, processed, word):
-    with pytest.raises(lambda_job.Incomplete, match=word):
-        lambda_job.require_complete(spark.range(expected), spark.range(processed))
+@pytest.mark.parametrize(
+    "expected, processed, words",
+    [
+        ([1, 2, 3], [1, 2], "short: 2 of 3 transactions, 1 lost, 0 doubled"),
+        ([1, 2], [1, 2, 3], "over: 3 of 2 transactions, 0 lost, 1 doubled"),
+        ([1, 2, 3], [1, 2, 2], "short and over: 3 of 3 transactions, 1 lost, 1 doubled"),
+    ],
+)
+def test_gate_stops_the_batch(spark, expected, processed, words):
+    sides = [spark.createDataFrame([(n,) for n in ids], "transaction_id long") for ids in (expected, processed)]
+    with pytest.raises(lambda_job.Incomplete, match=words):
+        lambda_job.require_complete(*sides)
 
 
 def test_gate_lets_complete_streams_pass(spark):
-    assert lambda_job.require_complete(spark.range(3), spark.range(3)) == (3, 3)
+    ids = spark.range(3).withColumnRenamed("id", "transaction_id")
+    assert lambda_job.require_complete(ids, ids) == (3, 3)
+
+
+def test_parts_of_a_cent_stop_the_job(spark, folder):
+    tables = dict(fixtures.Bank(spark, DATA))
+    odd = F.expr("IF(transaction_id = 5, 0.004D, amount)")
+    tables["transactions"] = tables["transactions"].withColumn("amount", odd)
+    with pytest.raises(lambda_job.OffCent, match="0.004"):
+        lambda_job.run(spark, tables, folder, slices=1)
