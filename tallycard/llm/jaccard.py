@@ -12,10 +12,14 @@ The order needs the frequencies of shingles. They are counted only among the sma
 a share SKETCH of its shingles: two linked documents have enough of those in common that the rarer ones of them are
 still certain to meet (`_sketch_size`, `_window_size`).
 
+Sizes are one more pivot: as the distance to the empty set tells nothing, the triangle inequality is taken for the
+number of shingles itself, 1 - |x| / |y| <= d(x, y). Regions are cut into bands of sizes, and a document goes to its own band
+and the next.
+
 Regions that share documents are joined together as long as they stay small: each document is then sent to one
-place only. Larger clusters are joined region by region, and a region with more than MOST_MEMBERS documents or
-MOST_SHINGLES shingles in blocks: first within random blocks, and then between all blocks that hold different
-components by then. All pairs of a place are measured by one matrix product; what leaves it is at most one link for
+place only. Larger clusters are cut into blocks, those of one region side by side. Blocks are joined within themselves, and
+once more cut by the components known then; of those, each two blocks that share a region meet, but for blocks of one
+and the same component. All pairs of a place are measured by one matrix product; what leaves it is at most one link for
 each document. Equal sets are one node from the start.
 
 Defined results
@@ -26,6 +30,8 @@ Defined results
 * Shingles and sets are told apart by 64-bit hashes.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,8 +47,9 @@ SHINGLE = 4
 PERCENT = 85
 # By how many more percent of its shingles than it may lack a document is compared for candidates.
 SKETCH = 10
-MOST_MEMBERS = 4096
+# What one place takes: shingles, and documents, as each counts for so many shingles at least.
 MOST_SHINGLES = 1_500_000
+LEAST_WEIGHT = 366
 # Columns of the matrix at a time.
 STRIPE = 4096
 SLICE_BYTES = 4 << 20
@@ -174,8 +181,8 @@ def _whole_sets(size):
     return task
 
 
-def regions(nodes):
-    """Rows (pivot, node, n_shingles): the windows of the nodes, for pivots that two nodes and more share."""
+def regions(nodes, percent):
+    """Rows (region, node, n_shingles): the windows of the nodes, for regions that two nodes and more share."""
     found = nodes.select("node", "n_shingles", "window", F.size("sketch").alias("all"), F.explode("sketch").alias("pivot"))
     frequent = found.groupBy("pivot").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1")
     shared = found.join(frequent, "pivot")
@@ -186,10 +193,15 @@ def regions(nodes):
         "pivot", "node", "n_shingles", "window",
         (F.row_number().over(rare_first) + F.col("all") - own).alias("place"),
     )
-    windows = placed.where(F.col("place") <= F.col("window")).select("pivot", "node", "n_shingles")
+    # Sizes of linked nodes are in one band or in two that follow each other.
+    band = F.floor(F.ln("n_shingles") / (1.0001 * math.log(100 / percent)))
+    windows = placed.where(F.col("place") <= F.col("window")).select(
+        "pivot", "node", "n_shingles", F.explode(F.array(band, band + 1)).alias("band")
+    )
+    windows = windows.select(F.xxhash64("pivot", "band").alias("region"), "node", "n_shingles")
     windows = kept(windows, "jaccard-windows")
-    met = windows.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return kept(windows.join(met.select("pivot"), "pivot"), "jaccard-regions")
+    met = windows.groupBy("region").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return kept(windows.join(met.select("region"), "region"), "jaccard-regions")
 
 
 def linked(sets, percent=PERCENT):
@@ -276,14 +288,8 @@ def _join_places(members, sets, percent):
     return kept(rows.groupBy("bin").applyInArrow(_joining(percent), "a long, b long"), "jaccard-links")
 
 
-def _fits(members="members", shingles="shingles"):
-    return (F.col(members) <= MOST_MEMBERS) & (F.col(shingles) <= MOST_SHINGLES)
-
-
-def _sizes(rows, key):
-    return rows.groupBy(key).agg(
-        F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("shingles")
-    )
+def _weight():
+    return F.greatest(F.col("n_shingles"), F.lit(LEAST_WEIGHT))
 
 
 def _sets_of(docs, wanted, size):
@@ -301,72 +307,71 @@ def _sets_of(docs, wanted, size):
 def node_links(docs, rows, size, percent):
     """Links (a, b) between nodes that connect all that is within the radius. `rows` are the stored `sketches`."""
     nodes = rows.where(F.col("n_shingles") > 0).dropDuplicates(["node"])
-    shared = regions(nodes)
-    hubs = shared.groupBy("pivot").agg(F.min("node").alias("b"))
-    clusters = components(shared.join(hubs, "pivot").select(F.col("node").alias("a"), "b"), "jaccard-clusters")
+    shared = regions(nodes, percent)
+    hubs = shared.groupBy("region").agg(F.min("node").alias("b"))
+    clusters = components(shared.join(hubs, "region").select(F.col("node").alias("a"), "b"), "jaccard-clusters")
     own = shared.select("node", "n_shingles").distinct().join(clusters, "node")
     own = kept(own.withColumnRenamed("root", "cluster"), "jaccard-clustered")
     docs_of = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     sets = kept(_sets_of(docs, docs_of.join(own.select("node"), "node", "left_semi"), size), "jaccard-sets")
-    sizes = kept(_sizes(own, "cluster"), "jaccard-cluster-sizes")
-    small = own.join(sizes.where(_fits()), "cluster")
+    sizes = kept(own.groupBy("cluster").agg(F.sum(_weight()).alias("weight")), "jaccard-cluster-sizes")
+    small = own.join(sizes.where(F.col("weight") <= MOST_SHINGLES), "cluster")
     links = _join_places(
         small.select(F.col("cluster").alias("place"), F.lit(0).alias("part"), "node", "n_shingles"), sets, percent
     )
-    large = sizes.where(~_fits()).select("cluster")
+    large = sizes.where(F.col("weight") > MOST_SHINGLES).select("cluster")
     if not large.limit(1).count():
         return links
-    rows = shared.join(own.join(large, "cluster", "left_semi").select("node"), "node", "left_semi")
-    rows = kept(rows.select(F.col("pivot").alias("place"), "node", "n_shingles"), "jaccard-large")
-    sizes = kept(_sizes(rows, "place"), "jaccard-region-sizes")
-    whole = rows.join(sizes.where(_fits()).select("place"), "place").withColumn("part", F.lit(0))
-    links = links.unionByName(_join_places(whole.select("place", "part", "node", "n_shingles"), sets, percent))
-    hot = sizes.where(~_fits())
-    if not hot.limit(1).count():
-        return links
-    return links.unionByName(_hot_links(rows.join(hot, "place"), sets, links, percent))
+    return links.unionByName(_large_links(own.join(large, "cluster"), shared, sets, percent))
 
 
-def _hot_links(rows, sets, links, percent):
-    """Links within regions that are too large for one place: (place, node, n_shingles, members, shingles)."""
-    # Half of what fits, as two blocks meet in one place.
-    parts = F.greatest(
-        F.ceil(2 * F.col("members") / MOST_MEMBERS), F.ceil(2 * F.col("shingles") / MOST_SHINGLES)
-    )
-    rows = kept(rows.withColumn("parts", parts.cast("int")), "jaccard-hot")
-    dealt = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int")
-    near = _join_places(rows.select("place", dealt.alias("part"), "node", "n_shingles"), sets, percent)
-    known = components(links.unionByName(near), "jaccard-known")
-    # Components side by side, so that most blocks hold a single one and need not meet others of the same.
-    labelled = rows.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    beside = Window.partitionBy("place").orderBy("root", "node")
-    step = F.ceil(F.col("members") / F.col("parts"))
-    numbered = labelled.select(
-        "place", "node", "n_shingles", "root",
-        F.floor((F.row_number().over(beside) - 1) / step).cast("int").alias("block"),
+def _blocks(rows, *order):
+    """Adds `block`: consecutive nodes of a cluster with at most half of what fits, as two blocks meet in a place."""
+    beside = Window.partitionBy("cluster").orderBy(*order, "node")
+    so_far = F.sum(_weight()).over(beside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn("block", F.floor(so_far / (MOST_SHINGLES // 2)).cast("int"))
+
+
+def _large_links(own, shared, sets, percent):
+    """Links within clusters that are too large for one place: rows (cluster, node, n_shingles)."""
+    first = shared.groupBy("node").agg(F.min("region").alias("first"))
+    own = kept(own.join(first, "node"), "jaccard-large")
+    near = _join_places(
+        _blocks(own, "first").select(F.col("cluster").alias("place"), F.col("block").alias("part"), "node", "n_shingles"),
+        sets,
+        percent,
     )
-    numbered = kept(numbered, "jaccard-blocks")
+    known = components(near, "jaccard-known")
+    rooted = own.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = kept(_blocks(rooted, "root", "first"), "jaccard-blocks")
     held = kept(
-        numbered.groupBy("place", "block").agg(F.min("root").alias("least"), F.max("root").alias("most")),
+        rooted.groupBy("cluster", "block").agg(F.min("root").alias("least"), F.max("root").alias("most")),
         "jaccard-block-roots",
     )
-    one, two = held.alias("one"), held.alias("two")
-    same = (
-        (F.col("one.least") == F.col("one.most"))
-        & (F.col("two.least") == F.col("two.most"))
-        & (F.col("one.least") == F.col("two.least"))
-    )
+    met = shared.select("region", "node").join(rooted.select("node", "cluster", "block"), "node")
+    met = kept(met.select("cluster", "region", "block").distinct(), "jaccard-block-regions")
+    one, two = met.alias("one"), met.alias("two")
     pairs = one.join(
-        two, (F.col("one.place") == F.col("two.place")) & (F.col("one.block") <= F.col("two.block")) & ~same
-    ).select(
-        F.col("one.place").alias("place"),
-        F.explode(F.array_distinct(F.array("one.block", "two.block"))).alias("block"),
-        F.xxhash64("one.block", "two.block").alias("meeting"),
+        two,
+        (F.col("one.cluster") == F.col("two.cluster"))
+        & (F.col("one.region") == F.col("two.region"))
+        & (F.col("one.block") <= F.col("two.block")),
+    ).select(F.col("one.cluster").alias("cluster"), F.col("one.block").alias("low"), F.col("two.block").alias("high"))
+    low = held.select("cluster", F.col("block").alias("low"), "least", "most")
+    high = held.select(
+        "cluster", F.col("block").alias("high"), F.col("least").alias("high_least"), F.col("most").alias("high_most")
+    )
+    pairs = pairs.distinct().join(low, ["cluster", "low"]).join(high, ["cluster", "high"])
+    same = (F.col("least") == F.col("most")) & (F.col("high_least") == F.col("high_most")) & (
+        F.col("least") == F.col("high_least")
     )
-    met = numbered.join(pairs, ["place", "block"])
-    across = _join_places(
-        met.select(F.xxhash64("place", "meeting").alias("place"), F.lit(1).alias("part"), "node", "n_shingles"), sets, percent
+    meetings = pairs.where(~same).select(
+        "cluster",
+        F.xxhash64("cluster", "low", "high").alias("place"),
+        F.explode(F.array_distinct(F.array("low", "high"))).alias("block"),
     )
+    members = rooted.join(meetings, ["cluster", "block"])
+    across = _join_places(members.select("place", F.lit(1).alias("part"), "node", "n_shingles"), sets, percent)
     return near.unionByName(across)
 
 
