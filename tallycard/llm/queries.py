@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallycard import session
-from tallycard.llm import chat, jaccard, packing, quality, repeats, token_counts, topk, toxicity, urls
+from tallycard.llm import chat, jaccard, packing, pieces, quality, repeats, token_counts, topk, toxicity, urls
 from tallycard.llm.tables import table
 
 _REGISTRY = {}
@@ -76,6 +76,11 @@ def op8_ngram_jaccard_join(spark, folder):
     return jaccard.classes(table(spark, folder, "documents"))
 
 
+@_query
+def op9_sentencepiece_nbest(spark, folder):
+    return pieces.encode(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @_query
 def op10_chat_formatting(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
