@@ -34,6 +34,12 @@ from tallycard.llm.tables import slices, text_of
 MARK = "▁"
 SLICE_BYTES = 8 << 20
 KEPT_WORDS = 600_000
+KEPT_LISTS = 50_000
+# Words up to this length are looked at together, so many at a time.
+LONG_WORD = 32
+TOGETHER = 1 << 14
+# Beyond all losses.
+NO_LOSS = 1 << 60
 # Beyond what any piece that is meant to be used costs.
 UNUSED = -100_000_000
 _WORD_START = re.compile(f"(?<=[^{MARK}])(?={MARK})")
@@ -61,9 +67,27 @@ class PieceLattice:
         self.byte_ids = byte_ids
         self.longest = max(map(len, self.arcs))
         self.unknown = min(score for score, _ in self.arcs.values() if score > UNUSED) - 10
+        self._trie()
         # The pieces' bytes by number, for decoding.
         self.table = [self.bytes_of.get(number, b"") for number in range(model.get_piece_size())]
-        self.known = {}
+        self.known, self.lists = {}, {}
+
+    def _trie(self):
+        """The pieces as a trie: sorted keys (node, letter), the node each leads to, and the piece that ends in a node."""
+        nodes, self.piece_at, self.score_at = {}, [-1], [0]
+        for piece, (score, number) in self.arcs.items():
+            node = 0
+            for letter in piece:
+                key = node << 21 | ord(letter)
+                if key not in nodes:
+                    nodes[key] = len(self.piece_at)
+                    self.piece_at.append(-1)
+                    self.score_at.append(0)
+                node = nodes[key]
+            self.piece_at[node], self.score_at[node] = number, score
+        self.keys = np.array(sorted(nodes), dtype=np.int64)
+        self.child = np.array([nodes[key] for key in self.keys.tolist()], dtype=np.int64)
+        self.piece_at, self.score_at = np.array(self.piece_at), np.array(self.score_at, dtype=np.int64)
 
     def _ending(self, word, end):
         """Steps (start, score) that end at a letter, longer ones first."""
@@ -103,6 +127,9 @@ class PieceLattice:
 
     def n_best(self, word, n):
         """The n best segmentations, as (score, list of cuts): backward A* with the forward scores as the heuristic."""
+        kept = self.lists.get((word, n))
+        if kept is not None:
+            return kept
         best, _, _ = self.forward(word)
         heap, found, pushed = [(-best[-1], 0, len(word), 0, None)], [], 1
         while heap and len(found) < n:
@@ -117,6 +144,9 @@ class PieceLattice:
             for start, score in self._ending(word, at):
                 heapq.heappush(heap, (-(best[start] + score + behind), pushed, start, behind + score, (at, path)))
                 pushed += 1
+        if len(self.lists) > KEPT_LISTS:
+            self.lists.clear()
+        self.lists[word, n] = found
         return found
 
     def ids(self, word, cuts):
@@ -127,19 +157,77 @@ class PieceLattice:
             out += [arc[1]] if arc else [self.byte_ids[byte] for byte in word[start:end].encode()]
         return out
 
-    def best(self, word):
-        """(score, packed ids, loss of the second best or None) of a word, kept."""
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > KEPT_WORDS:
-                self.known.clear()
-            best, back, second = self.forward(word)
-            cuts = [len(word)]
-            while cuts[-1]:
-                cuts.append(back[cuts[-1]])
-            packed = _packed(self.ids(word, cuts[::-1]))
-            found = self.known[word] = (best[-1], packed, None if second is None else best[-1] - second)
-        return found
+    def learn(self, words):
+        """Forward passes of the words that are not known yet: (score, packed ids, loss of the second best)."""
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+        new = [word for word in words if word not in self.known]
+        for word in new:
+            if len(word) > LONG_WORD:
+                best, back, second = self.forward(word)
+                cuts = [len(word)]
+                while cuts[-1]:
+                    cuts.append(back[cuts[-1]])
+                packed = _packed(self.ids(word, cuts[::-1]))
+                self.known[word] = (best[-1], packed, NO_LOSS if second is None else best[-1] - second)
+        short = sorted((word for word in new if len(word) <= LONG_WORD), key=len)
+        for at in range(0, len(short), TOGETHER):
+            self._learn(short[at : at + TOGETHER])
+
+    def _learn(self, words):
+        """`forward` for many words of similar length, step by step together."""
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        wide = int(sizes.max())
+        letters = np.zeros((len(words), wide), dtype=np.int64)
+        letters[np.arange(wide) < sizes[:, None]] = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
+        best = np.full((len(words), wide + 1), -NO_LOSS, dtype=np.int64)
+        second, back = best.copy(), np.zeros((len(words), wide + 1), dtype=np.int64)
+        piece = np.full((len(words), wide + 1), -1, dtype=np.int64)
+        best[:, 0] = 0
+
+        def step(rows, start, end, score, number):
+            one, other = best[rows, start] + score, second[rows, start] + score
+            held = best[rows, end]
+            better = one > held
+            second[rows, end] = np.maximum(np.maximum(second[rows, end], other), np.where(better, held, one))
+            best[rows, end] = np.where(better, one, held)
+            back[rows, end] = np.where(better, start, back[rows, end])
+            piece[rows, end] = np.where(better, number, piece[rows, end])
+
+        for start in range(wide):
+            rows = np.flatnonzero(sizes > start)
+            node = np.zeros(len(rows), dtype=np.int64)
+            for end in range(start + 1, min(wide, start + self.longest) + 1):
+                long = sizes[rows] >= end
+                rows, node = rows[long], node[long]
+                key = node << 21 | letters[rows, end - 1]
+                place = np.searchsorted(self.keys, key).clip(max=len(self.keys) - 1)
+                there = self.keys[place] == key
+                node = np.where(there, self.child[place], 0)
+                number = np.where(there, self.piece_at[node], -1)
+                ends = number >= 0
+                step(rows[ends], start, end, self.score_at[node[ends]], number[ends])
+                if end == start + 1:
+                    strange = rows[~ends]
+                    step(strange, start, end, self.unknown, np.full(len(strange), -1))
+                rows, node = rows[there], node[there]
+                if not len(rows):
+                    break
+        row = np.arange(len(words))
+        score, loss = best[row, sizes], best[row, sizes] - second[row, sizes]
+        loss = np.where(second[row, sizes] < -NO_LOSS // 2, NO_LOSS, loss)
+        back, piece = back.tolist(), piece.tolist()
+        for word, size, total, lost, backs, numbers in zip(
+            words, sizes.tolist(), score.tolist(), loss.tolist(), back, piece
+        ):
+            ids, at = [], size
+            while at:
+                if numbers[at] >= 0:
+                    ids.append(numbers[at])
+                else:
+                    ids += [self.byte_ids[byte] for byte in reversed(word[at - 1].encode())]
+                at = backs[at]
+            self.known[word] = (total, _packed(ids[::-1]), lost)
 
     def decode(self, packed):
         """The bytes of a text from the packed ids of all of it; the space before its first word goes."""
@@ -184,26 +272,53 @@ def _text_n_best(options, n):
     return sorted(found, key=lambda item: (item[0], [-rank for rank in item[1]]))
 
 
-def segmentations(lattice, text, n, words=None):
-    """The n best segmentations of a text: (score, packed ids). `words` are its words, if they are known."""
-    if words is None:
-        normalized = lattice.normalize(text)
-        words = [word[1:] for word in _WORD_START.split(normalized)] if normalized else []
-    known = [lattice.best(MARK + word) for word in words]
-    parts = [packed for _, packed, _ in known]
-    base, total = b"".join(parts), sum(score for score, _, _ in known)
-    losses = [(loss, at) for at, (_, _, loss) in enumerate(known) if loss is not None]
-    chosen = sorted(at for _, at in heapq.nsmallest(n - 1, losses))
-    lists = [lattice.n_best(MARK + words[at], n) for at in chosen]
-    options = [[own[0][0] - score for score, _ in own] for own in lists]
-    starts = np.cumsum([0] + [len(part) for part in parts])
-    for loss, choice in _text_n_best(options, n):
-        packed = base
-        for at, rank, own in reversed(list(zip(chosen, choice, lists))):
-            if rank:
-                other = _packed(lattice.ids(MARK + words[at], own[rank][1]))
-                packed = packed[: starts[at]] + other + packed[starts[at + 1] :]
-        yield total - loss, packed
+def _least(losses, n):
+    """Places of the n smallest losses, in rising order of places; of equal losses the first."""
+    if len(losses) > n:
+        bound = np.partition(losses, n - 1)[n - 1] if n else -1
+        less = np.flatnonzero(losses < bound)
+        equal = np.flatnonzero(losses == bound)[: n - len(less)]
+        places = np.sort(np.concatenate((less, equal))) if n else less[:0]
+    else:
+        places = np.arange(len(losses))
+    return places[losses[places] < NO_LOSS].tolist()
+
+
+class _Text:
+    """What is known of the distinct words of some texts, for the n best segmentations of each."""
+
+    def __init__(self, lattice, distinct):
+        self.lattice, self.words = lattice, [MARK + word for word in distinct]
+        lattice.learn(self.words)
+        known = [lattice.known[word] for word in self.words]
+        self.scores = np.array([score for score, _, _ in known], dtype=np.int64)
+        self.losses = np.array([loss for _, _, loss in known], dtype=np.int64)
+        self.packed = [packed for _, packed, _ in known]
+        self.sizes = np.array([len(packed) for packed in self.packed], dtype=np.int64)
+
+    def n_best(self, codes, n):
+        """(score, packed ids) of the text of these words."""
+        lattice = self.lattice
+        base, total = b"".join(map(self.packed.__getitem__, codes.tolist())), int(self.scores[codes].sum())
+        chosen = _least(self.losses[codes], n - 1)
+        words = [self.words[codes[at]] for at in chosen]
+        lists = [lattice.n_best(word, n) for word in words]
+        options = [[own[0][0] - score for score, _ in own] for own in lists]
+        ends = np.cumsum(self.sizes[codes])
+        for loss, choice in _text_n_best(options, n):
+            packed = base
+            for at, rank, own, word in reversed(list(zip(chosen, choice, lists, words))):
+                if rank:
+                    other, end = _packed(lattice.ids(word, own[rank][1])), int(ends[at])
+                    packed = packed[: end - int(self.sizes[codes[at]])] + other + packed[end:]
+            yield total - loss, packed
+
+
+def segmentations(lattice, text, n):
+    """The n best segmentations of a text: (score, packed ids)."""
+    normalized = lattice.normalize(text)
+    words = [word[1:] for word in _WORD_START.split(normalized)] if normalized else []
+    return _Text(lattice, words).n_best(np.arange(len(words)), n)
 
 
 def _encoding(path, n, with_ids):
@@ -216,12 +331,12 @@ def _encoding(path, n, with_ids):
                 lists = _words(normalized)
                 offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
                 coded = lists.flatten().dictionary_encode()
-                distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().tolist()
+                known, codes = _Text(lattice, coded.dictionary.to_pylist()), coded.indices.to_numpy()
                 rows = []
                 for row, doc_id in enumerate(part.column("doc_id").to_pylist()):
-                    words = [distinct[code] for code in codes[offsets[row] : offsets[row + 1]]] if normalized[row] else []
+                    own = codes[offsets[row] : offsets[row + 1]] if normalized[row] else codes[:0]
                     raw = texts[row].encode()
-                    for rank, (score, packed) in enumerate(segmentations(lattice, None, n, words), 1):
+                    for rank, (score, packed) in enumerate(known.n_best(own, n), 1):
                         rows.append(
                             (
                                 doc_id, rank, score, len(packed) // 4, zlib.crc32(packed), lattice.decode(packed) == raw,
