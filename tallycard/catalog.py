@@ -156,6 +156,17 @@ def stream_authorize(bank):
     return spark.read.parquet(f"{folder}/sink")
 
 
+@_query
+def stream_declined(bank):
+    spark, folder = bank["transactions"].sparkSession, _scratch(bank, "stream")
+    replay(bank["transactions"], f"{folder}/landing", day_ranges(bank["transactions"], 2))
+    stream = landed(spark, f"{folder}/landing", schemas.TRANSACTIONS)
+    judged = authorize_stream(stream, bank["cards"], bank["customers"], reasons=True)
+    drain(judged, f"{folder}/sink", f"{folder}/checkpoint")
+    declined = spark.read.parquet(f"{folder}/sink").where("status = 'declined'")
+    return declined.select("transaction_id", "card_id", "amount", "transaction_type", "decline_reason")
+
+
 @_query
 def stream_authorize_batches(bank):
     spark = bank["transactions"].sparkSession
@@ -233,6 +244,15 @@ def lambda_cards_updated(bank):
     return lambda_job.run(spark, bank, _scratch(bank, "lambda"), slices=2)["cards_updated"]
 
 
+@_query
+def whole_job_from_csv(bank):
+    spark, folder = bank["transactions"].sparkSession, _scratch(bank, "whole")
+    for name, table in bank.items():
+        write_csv(table, f"{folder}/csv/{name}")
+    csv = {name: f"{folder}/csv/{name}" for name in bank}
+    return lambda_job.whole(spark, csv, folder, slices=1)["customers_updated"]
+
+
 # Checks, codecs, serving
 
 

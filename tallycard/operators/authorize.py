@@ -8,10 +8,13 @@ from tallycard.operators.ledger import run_ledger
 from tallycard.operators.rules import VOID, accounts, always_booked, precheck
 
 
-_REASON_FROM = ("card_id", "location", "transaction_type")
+# Columns that the reasons are made of, of the transaction and of its account.
+REASON_FROM = (
+    "rule", "cents", "limit_cents", "customer_id", "home_address", "card_id", "location", "transaction_type"
+)
 
 
-def _outcome(columns, reasons):
+def outcome(columns, reasons):
     """Final columns from `approved` and `balance_cents`."""
     out = [
         *columns,
@@ -75,17 +78,13 @@ def authorize(
     columns = list(columns or transactions.columns)
     keep = columns + ["kind"]
     if reasons:
-        keep += [
-            name
-            for name in ("rule", "cents", "limit_cents", "customer_id", "home_address", *_REASON_FROM)
-            if name not in keep
-        ]
+        keep += [name for name in REASON_FROM if name not in keep]
 
     def light(rows):
         return run_ledger(precheck(rows, held), keep)
 
     def finish(rows):
-        return rows.select(*_outcome(columns, reasons))
+        return rows.select(*outcome(columns, reasons))
 
     found = None if heavy_rows is None else heavy.find(transactions, heavy_rows)
     if found is None:

@@ -219,6 +219,10 @@ def oracle_sql():
         "stream_authorize_batches": _sql("SELECT * FROM authorised", *_FOLD),
         "stream_authorize": _sql("SELECT * FROM authorised", *_FOLD),
         "declined_transactions": _sql(_DECLINED, *_FOLD),
+        "stream_declined": _sql(_DECLINED, *_FOLD),
+        "whole_job_from_csv": _sql(
+            "SELECT * EXCLUDE (credit_score_change) FROM scored ORDER BY customer_id", *_ALL
+        ),
         "approve_pending": _sql("SELECT * FROM approved", *_SETTLED),
         "batch_transactions": _sql("SELECT * FROM approved", *_SETTLED),
         "last_pending_balance": _sql("SELECT * FROM last_pending", *_SETTLED),

@@ -4,7 +4,8 @@ from tallycard import schemas
 from tallycard.operators.checks import completeness, off_cent_amounts
 from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.plans.batch import settle_day
-from tallycard.sources.files import write_table
+from tallycard.sources.files import ingest_csv, write_table
+from tallycard.sources.publish import publish
 from tallycard.streaming.authorize import authorize_batches, authorised_batches
 from tallycard.streaming.replay import day_ranges, landed, replay
 
@@ -55,6 +56,21 @@ def authorise_history(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
     return authorised_batches(spark, sink)
 
 
+def whole(spark, csv, folder, slices=3, heavy_rows=HEAVY_ROWS):
+    """From CSV files to published views, in a new `folder`.
+
+    `csv` names the file or folder of each table in `schemas.TABLES`. All of them are ingested before anything is
+    processed; a bad value in any stops the job there. Returns the published views by name; they are named
+    after the results.
+    """
+    bank = {
+        name: ingest_csv(spark, csv[name], schema, f"{folder}/ingested/{name}")
+        for name, schema in schemas.TABLES.items()
+    }
+    results = run(spark, bank, f"{folder}/run", slices, heavy_rows)
+    return {name: publish(df, name) for name, df in results.items()}
+
+
 def run(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
     """Run all phases over the bank tables in a new `folder`; returns the stored results by name.
 

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 # Quotes inside a field are doubled, as spreadsheets and most CSV writers do.
 _READ = {"header": "true", "quote": '"', "escape": '"'}
+SINGLE_FILE_ROWS = 5_000_000
 CSV_DIALECT = _READ | {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
@@ -35,7 +36,12 @@ def ingest_csv(spark, csv_path, schema, table_path):
 
 
 def write_csv(df, path, single_file=False):
-    """Export as CSV with header. `single_file` is for small tables: it writes in one task."""
+    """Export as CSV with header.
+
+    `single_file` writes in one task, so it takes tables up to SINGLE_FILE_ROWS rows only.
+    """
+    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
+        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not go into a single file")
     out = df.coalesce(1) if single_file else df
     out.write.mode("errorifexists").options(**CSV_DIALECT).csv(path)
 

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from tallycard.functions.money import from_cents
-from tallycard.operators.authorize import authorize
+from tallycard.operators.authorize import REASON_FROM, authorize, outcome
 from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.operators.ledger import ORDER
 from tallycard.operators.rules import BOOKED, VOID, accounts, precheck
@@ -71,17 +70,18 @@ class PendingBalances(StatefulProcessor):
         pass
 
 
-def authorize_stream(transactions, cards, customers):
+def authorize_stream(transactions, cards, customers, reasons=False):
     """Streaming twin of `operators.authorize.authorize`.
 
     Within a micro-batch a card's rows are taken in (timestamp, transaction_id) order; a row that comes
     in a later micro-batch follows those before it. The accounts are a plain table that is joined per
     micro-batch: broadcast if Spark finds it small, else shuffled, which a table bucketed by card saves.
+    `reasons` adds `decline_reason`.
     """
-    keep = transactions.columns + ["kind"]
-    rows = precheck(transactions, accounts(cards, customers)).select(
-        *keep, "cents", "limit_cents", "opening_cents"
-    )
+    keep = [*transactions.columns, "kind", "cents", "limit_cents", "opening_cents"]
+    if reasons:
+        keep += [name for name in REASON_FROM if name not in keep]
+    rows = precheck(transactions, accounts(cards, customers)).select(*keep)
     schema = T.StructType(
         rows.schema.fields
         + [T.StructField("approved", T.BooleanType()), T.StructField("balance_cents", T.LongType())]
@@ -89,11 +89,7 @@ def authorize_stream(transactions, cards, customers):
     walked = rows.groupBy("card_id").transformWithState(
         PendingBalances(schema.names), schema, outputMode="append", timeMode="none"
     )
-    return walked.select(
-        *transactions.columns,
-        F.when(F.col("approved"), "pending").otherwise("declined").alias("status"),
-        F.when(F.col("kind") != VOID, from_cents(F.col("balance_cents"))).alias("pending_balance"),
-    )
+    return walked.select(*outcome(transactions.columns, reasons))
 
 
 @contextmanager
@@ -132,14 +128,18 @@ def drain(stream, sink, checkpoint, form="parquet"):
     return _run(stream.sparkSession, writer, checkpoint)
 
 
-def authorize_batches(transactions, cards, customers, sink, checkpoint, heavy_rows=HEAVY_ROWS):
+def authorize_batches(
+    transactions, cards, customers, sink, checkpoint, heavy_rows=HEAVY_ROWS, reasons=False
+):
     """Authorise what the source holds, one run of `authorize` per micro-batch.
 
     The result of micro-batch n is `sink/batch=n`. The balances after it, of all cards, are a table next
     to the checkpoint; the following micro-batch opens with them. A micro-batch that is repeated after a
-    failure replaces its own tables only, so each transaction counts once.
+    failure replaces its own tables only, so each transaction counts once. `reasons` adds `decline_reason`.
+
+    Returns the number of transactions processed.
     """
-    spark = transactions.sparkSession
+    spark, processed = transactions.sparkSession, {}
 
     def settled(number):
         balances = spark.read.parquet(f"{checkpoint}-balances/{number}")
@@ -148,13 +148,17 @@ def authorize_batches(transactions, cards, customers, sink, checkpoint, heavy_ro
     def authorise(batch, number):
         opened = settled(number - 1) if number else cards
         out = f"{sink}/batch={number}"
-        authorize(batch, opened, customers, heavy_rows=heavy_rows).write.mode("overwrite").parquet(out)
+        judged = authorize(batch, opened, customers, heavy_rows=heavy_rows, reasons=reasons)
+        judged.write.mode("overwrite").parquet(out)
         after = settle_balances(opened, card_totals(spark.read.parquet(out)))
+        # By number, as a micro-batch may be repeated. Counted in the files' footers.
+        processed[number] = spark.read.parquet(out).count()
         after.select("card_id", F.col("current_balance").alias("pending_balance")).write.mode(
             "overwrite"
         ).parquet(f"{checkpoint}-balances/{number}")
 
     _run(spark, transactions.writeStream.foreachBatch(authorise), checkpoint)
+    return sum(processed.values())
 
 
 def authorised_batches(spark, sink):

@@ -132,6 +132,10 @@ def test_published_table_may_depend_on_itself(spark, rows):
     publish(spark.range(3).selectExpr("id", "id * 10 AS v"), "served")
     publish(spark.table("served").selectExpr("id", "v + 1 AS v"), "served")
     assert rows(spark.table("served")) == [(0, 1), (1, 11), (2, 21)]
+    publish(spark.table("served"), "served")
+    publish(spark.range(1), "served_v")
+    versions = [t.name for t in spark.catalog.listTables() if t.name.startswith("served_v0")]
+    assert len(versions) == 2 and rows(spark.table("served")) == [(0, 1), (1, 11), (2, 21)]
 
 
 @pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,1024]", None])

@@ -231,3 +231,21 @@ def test_parts_of_a_cent_stop_the_job(spark, folder):
     tables["transactions"] = tables["transactions"].withColumn("amount", odd)
     with pytest.raises(lambda_job.OffCent, match="0.004"):
         lambda_job.run(spark, tables, folder, slices=1)
+
+
+def test_streams_tell_why_and_how_many(spark, folder, rows):
+    tables = fixtures.Bank(spark, DATA)
+    transactions, cards, customers = (tables[n] for n in ("transactions", "cards", "customers"))
+    expected = rows(authorize(transactions, cards, customers, reasons=True))
+    replay(transactions, f"{folder}/in", day_ranges(transactions, 1))
+    stream = landed(spark, f"{folder}/in", schemas.TRANSACTIONS)
+    found = authorize_stream(stream, cards, customers, reasons=True)
+    drain(found, f"{folder}/out", f"{folder}/checkpoint")
+    assert rows(spark.read.parquet(f"{folder}/out")) == expected
+    sink = f"{folder}/batches"
+    stream = landed(spark, f"{folder}/in", schemas.TRANSACTIONS)
+    count = authorize_batches(stream, cards, customers, sink, f"{folder}/checkpoint-2", reasons=True)
+    assert count == len(expected)
+    assert rows(authorised_batches(spark, sink)) == expected
+    stream = landed(spark, f"{folder}/in", schemas.TRANSACTIONS)
+    assert authorize_batches(stream, cards, customers, sink, f"{folder}/checkpoint-2", reasons=True) == 0
