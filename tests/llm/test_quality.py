@@ -1,0 +1,66 @@
+import re
+from collections import Counter
+
+from tallycard.llm import quality
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+PLAIN = " ".join(f"the word{n % 7}{chr(97 + n % 26)} of thing{n} and" for n in range(40))
+TEXTS = [
+    (1, PLAIN, "en"), (2, PLAIN + " end", "en"), (3, None, "en"), (4, "", None), (5, " \t\n\x0b\x0c\r ", "en"),
+    (6, "a b c " * 40, "en"), (7, "one\ntwo\none\n \none\r\n", "xx"), (8, "%%% ### " * 60 + PLAIN, "en"),
+    (9, PLAIN.upper() + "!!", "en"), (10, "a b a b a b", "en"), (11, "é" * 400, "fr"), (None, PLAIN, "en"),
+    (12, "x" * 50_000, "en"), (13, "\u00a0\u2003".join("abc") * 30, None), (1, PLAIN, "en"),
+]
+
+
+def made(spark, rows):
+    schema = "doc_id long, text string, lang string, row string, words int, kept string"
+    return spark.createDataFrame([(*row, "clash", 1, "no") for row in rows], schema)
+
+
+def brute(text):
+    text = text or ""
+    words = WORDS.findall(text)
+    lines = [line for line in text.split("\n") if WORDS.search(line)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = set()
+    for at in range(len(words) - 2):
+        if windows[tuple(words[at : at + 3])] > 1:
+            covered |= {at, at + 1, at + 2}
+    n, repeated = len(words), len(covered)
+    return (
+        n, sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), repeated,
+        n < 50 or 100 * repeated > 50 * n,
+    )
+
+
+def test_counts_equal_brute_force(spark):
+    found = quality.judged(made(spark, TEXTS)).select("row.doc_id", "row.text", "*").collect()
+    assert len(found) == len(TEXTS)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    for row in found:
+        assert tuple(row[name] for name in names) == brute(row["text"]), row["doc_id"]
+        assert not (row["kept"] and row["base_failed"])
+
+
+def test_what_diverges_goes_and_plain_text_stays(spark):
+    plain = [(n, PLAIN + f" tail{n}", "en") for n in range(20, 60)]
+    odd = [(1, "%%% ### " * 40 + PLAIN, "en"), (2, " ".join(f"ZQ{n}!!" for n in range(300)), "en")]
+    docs = made(spark, plain + odd)
+    kept = quality.good_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(row["doc_id"] for row in kept.collect()) == list(range(20, 60))
+
+
+def test_distance_is_jensen_shannons(spark):
+    df = spark.sql("SELECT array(1D, 0D) AS a, array(0D, 1D) AS b, array(0.5D, 0.5D) AS c, CAST(NULL AS array<double>) AS n")
+    row = df.select(
+        quality.distance(df.a, df.b), quality.distance(df.a, df.a), quality.distance(df.a, df.c), quality.distance(df.n, df.a)
+    ).first()
+    assert (row[0], row[1], row[3]) == (1.0, 0.0, None)
+    assert abs(row[2] - 0.5579) < 1e-4
+
+
+def test_no_documents(spark):
+    assert quality.judged(made(spark, [])).collect() == []
+    assert quality.good_documents(made(spark, [])).collect() == []
