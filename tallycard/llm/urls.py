@@ -72,16 +72,19 @@ def symbols(url):
 
 
 def grams(numbers):
-    """Array with each symbol and the ORDER ones before it, as a number in base SYMBOLS."""
+    """Array with each symbol and the ORDER ones before it, as a number in base SYMBOLS.
 
-    def gram(at):
-        code = F.lit(0)
-        for back in range(ORDER, -1, -1):
-            code = code * SYMBOLS + F.when(at >= back, F.get(numbers, at - back)).otherwise(0)
+    `numbers` has to be a column of its own, as each element reads several of it.
+    """
+
+    def gram(symbol, at):
+        code = symbol
+        for back in range(1, ORDER + 1):
+            before = F.when(at >= back, F.get(numbers, at - back)).otherwise(0)
+            code = code + before * SYMBOLS**back
         return code
 
-    places = F.transform(numbers, lambda _, at: at)
-    return F.transform(places, gram)
+    return F.transform(numbers, gram)
 
 
 def counted(parts):
@@ -89,7 +92,8 @@ def counted(parts):
 
     At most SYMBOLS ** (ORDER + 1) rows.
     """
-    found = parts.select("rule_verdict", F.explode(grams(symbols(F.col("url")))).alias("gram"))
+    read = parts.select("rule_verdict", symbols(F.col("url")).alias("numbers"))
+    found = read.select("rule_verdict", F.explode(grams(F.col("numbers"))).alias("gram"))
     verdict = F.coalesce("rule_verdict", F.lit(""))
     return found.groupBy("gram").agg(
         F.count_if(verdict == "allow").alias("accepted"),
@@ -130,7 +134,8 @@ def scored(parts, ratios):
     counted, their number. The model is broadcast: its size has a bound.
     """
     names = parts.columns
-    found = parts.select("*", F.explode_outer(grams(symbols(F.col("url")))).alias("gram"))
+    read = parts.select("*", symbols(F.col("url")).alias("numbers"))
+    found = read.select(*names, F.explode_outer(grams(F.col("numbers"))).alias("gram"))
     summed = (
         found.join(F.broadcast(ratios), "gram", "left")
         .groupBy(*names)
