@@ -9,8 +9,9 @@ batch operator, which splits cards with many rows over tasks.
 """
 
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -22,6 +23,9 @@ from tallycard.operators.rules import BOOKED, VOID, accounts, precheck
 from tallycard.operators.settle import card_totals, settle_balances
 from tallycard.sources.files import CSV_DIALECT
 
+# Micro-batches after which the balances of all cards touched so far are written once more.
+COMPACT_EVERY = 16
+
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state."
     "RocksDBStateStoreProvider",
@@ -133,29 +137,37 @@ def authorize_batches(
 ):
     """Authorise what the source holds, one run of `authorize` per micro-batch.
 
-    The result of micro-batch n is `sink/batch=n`. The balances after it, of all cards, are a table next
-    to the checkpoint; the following micro-batch opens with them. A micro-batch that is repeated after a
+    The result of micro-batch n is `sink/batch=n`. The balances it leaves on the cards it touched are a table next
+    to the checkpoint, every COMPACT_EVERY micro-batches those of all cards touched so far; the following
+    micro-batch opens with the last balance of each card. A micro-batch that is repeated after a
     failure replaces its own tables only, so each transaction counts once. `reasons` adds `decline_reason`.
 
     Returns the number of transactions processed.
     """
     spark, processed = transactions.sparkSession, {}
 
-    def settled(number):
-        balances = spark.read.parquet(f"{checkpoint}-balances/{number}")
-        return settle_balances(cards, balances)
+    def balances(number):
+        """The balances after micro-batch `number`, of all cards touched by then."""
+        since = range(number - number % COMPACT_EVERY, number + 1)
+        tables = [
+            spark.read.parquet(f"{checkpoint}-balances/{n}").withColumn("number", F.lit(n)) for n in since
+        ]
+        last = F.max_by("pending_balance", "number").alias("pending_balance")
+        return reduce(DataFrame.unionByName, tables).groupBy("card_id").agg(last)
 
     def authorise(batch, number):
-        opened = settled(number - 1) if number else cards
+        opened = settle_balances(cards, balances(number - 1)) if number else cards
         out = f"{sink}/batch={number}"
         judged = authorize(batch, opened, customers, heavy_rows=heavy_rows, reasons=reasons)
         judged.write.mode("overwrite").parquet(out)
-        after = settle_balances(opened, card_totals(spark.read.parquet(out)))
+        touched = card_totals(spark.read.parquet(out)).select("card_id", "pending_balance")
+        touched = touched.where(F.col("pending_balance").isNotNull())
+        if number and number % COMPACT_EVERY == 0:
+            others = balances(number - 1).join(touched, "card_id", "left_anti")
+            touched = touched.unionByName(others)
         # By number, as a micro-batch may be repeated. Counted in the files' footers.
         processed[number] = spark.read.parquet(out).count()
-        after.select("card_id", F.col("current_balance").alias("pending_balance")).write.mode(
-            "overwrite"
-        ).parquet(f"{checkpoint}-balances/{number}")
+        touched.write.mode("overwrite").parquet(f"{checkpoint}-balances/{number}")
 
     _run(spark, transactions.writeStream.foreachBatch(authorise), checkpoint)
     return sum(processed.values())

@@ -249,3 +249,21 @@ def test_streams_tell_why_and_how_many(spark, folder, rows):
     assert rows(authorised_batches(spark, sink)) == expected
     stream = landed(spark, f"{folder}/in", schemas.TRANSACTIONS)
     assert authorize_batches(stream, cards, customers, sink, f"{folder}/checkpoint-2", reasons=True) == 0
+
+
+def test_micro_batches_write_the_cards_they_touch(spark, folder, rows, monkeypatch):
+    monkeypatch.setattr(streaming, "COMPACT_EVERY", 2)
+    cards = bank.cards(spark, *[(n, 10, 1000.0, 0.0) for n in range(5)])
+    customers = bank.customers(spark, (10, bank.HOME))
+    given = [[(1, 0, 400.0), (2, 1, 10.0)], [(3, 0, 300.0)], [(4, 2, 5.0)], [(5, 0, 400.0), (6, 1, 5.0)]]
+    for batch in given:
+        bank.transactions(spark, *batch).coalesce(1).write.mode("append").parquet(f"{folder}/in/as_read")
+        stream = landed(spark, f"{folder}/in", schemas.TRANSACTIONS)
+        count = authorize_batches(stream, cards, customers, f"{folder}/out", f"{folder}/checkpoint")
+        assert count == len(batch)
+    written = [rows(spark.read.parquet(f"{folder}/checkpoint-balances/{n}")) for n in range(4)]
+    assert written == [
+        [(0, 400.0), (1, 10.0)], [(0, 700.0)], [(0, 700.0), (1, 10.0), (2, 5.0)], [(0, 700.0), (1, 15.0)],
+    ]
+    found = rows(authorised_batches(spark, f"{folder}/out"), "transaction_id", "status")
+    assert found == [(n, "declined" if n == 5 else "pending") for n in range(1, 7)]
