@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from conftest import DATA
+from tallycard import catalog, oracle
 from oracle_compare import compare, database
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not there")
@@ -16,13 +17,13 @@ def con():
     return database(DATA)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, con, name):
     assert compare(spark, con, DATA, name) is None
 
 
 def test_each_query_has_its_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry(spark):
