@@ -10,26 +10,26 @@ def components(links, purpose="components"):
 
     Each round hangs neighbours onto the smallest node near them, first the larger ones, then all. Minima are
     reduced before the shuffle, so a node with very many links sends one row per task. The links of a round are
-    stored, and the rounds end when one changes nothing; their number grows with the logarithm of the size.
+    stored, and the rounds end when all nodes hang on a root; their number grows with the logarithm of the size.
     """
-    links, seen = kept(_ordered(links), purpose), None
-    while True:
+    links = kept(_ordered(links), purpose)
+    while not _are_stars(links):
         large = _star(links, both_ways=True).persist()
         links = kept(_ordered(_star(large, both_ways=False)), purpose)
         large.unpersist()
-        before, seen = seen, _fingerprint(links)
-        if before == seen:
-            break
     roots = links.select(F.col("b").alias("root")).distinct()
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         roots.select(F.col("root").alias("node"), "root")
     )
 
 
-def _fingerprint(links):
-    """Number of links and the sum of their hashes: the same before and after a round that changes nothing."""
-    hashed = F.xxhash64("a", "b").cast("decimal(38,0)")
-    return tuple(links.agg(F.count(F.lit(1)), F.sum(hashed)).first())
+def _are_stars(links):
+    """Whether each node hangs on one other, on which others hang and which hangs on none."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.where((F.col("up") > 1) | (F.col("up") + F.col("down") > 1)).limit(1).count()
 
 
 def _ordered(links):
