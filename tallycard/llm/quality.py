@@ -46,18 +46,27 @@ def words_of(text):
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def class_counts(text):
-    """Array of the numbers of characters of each of CLASSES; `other` has, among others, letters beyond ASCII."""
-    # Each step works on what the one before has left over, which is short.
-    no_lower = F.regexp_replace(text, "[a-z]+", "")
-    no_space = F.translate(no_lower, SPACES, "")
-    no_stop = F.translate(no_space, ".,;:!?'\"()-", "")
-    no_upper = F.regexp_replace(no_stop, "[A-Z]+", "")
-    no_digit = F.translate(no_upper, "0123456789", "")
-    rest = F.translate(no_digit, SYMBOLS, "")
-    left = [_chars(part) for part in (text, no_lower, no_space, no_stop, no_upper, no_digit, rest)]
-    lower, space, stop, upper, digit, symbol = (a - b for a, b in zip(left, left[1:]))
-    return F.array(lower, upper, digit, space, stop, symbol, left[-1])
+def with_classes(rows):
+    """Adds `classes`: numbers of the characters of `text` in each of CLASSES; `other` has the letters beyond ASCII.
+
+    Each step works on what the one before has left over, which is short, and is a column, as two steps read it.
+    """
+    steps = {
+        "lower": F.regexp_replace("text", "[a-z]+", ""),
+        "space": F.translate("_lower", SPACES, ""),
+        "stop": F.translate("_space", ".,;:!?'\"()-", ""),
+        "upper": F.regexp_replace("_stop", "[A-Z]+", ""),
+        "digit": F.translate("_upper", "0123456789", ""),
+        "symbol": F.translate("_digit", SYMBOLS, ""),
+    }
+    before, counts = "text", {}
+    for name, left in steps.items():
+        rows = rows.withColumn(f"_{name}", left)
+        counts[name] = _chars(F.col(before)) - _chars(F.col(f"_{name}"))
+        before = f"_{name}"
+    counts["other"] = _chars(F.col(before))
+    rows = rows.withColumn("classes", F.array(*[counts[name] for name in CLASSES]))
+    return rows.drop(*[f"_{name}" for name in steps])
 
 
 def _language(name="lang"):
@@ -65,15 +74,17 @@ def _language(name="lang"):
 
 
 def references(docs):
-    """One row per language: lang, class_shares, top_words, top_shares (one more than words, for all others)."""
+    """One row per language: lang, class_shares, top_words, top_shares (one more than words, for all others), and
+    top_length, the length of the longest of top_words."""
     texts = docs.select(_language().alias("lang"), text_of().alias("text"))
-    classes = texts.select("lang", class_counts(F.col("text")).alias("c")).groupBy("lang").agg(
-        *[F.sum(F.col("c")[at]).alias(name) for at, name in enumerate(CLASSES)]
+    classes = with_classes(texts).groupBy("lang").agg(
+        *[F.sum(F.col("classes")[at]).alias(name) for at, name in enumerate(CLASSES)]
     )
     said = texts.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
-    # A long word stands for all long ones.
+    # Null stands for all long words.
     short = F.when(F.char_length("word") <= TOP_LENGTH, F.col("word"))
     counts = said.groupBy("lang", short.alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    counts = kept(counts, "quality-words")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("all_words"))
     frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = (
@@ -85,21 +96,30 @@ def references(docs):
     )
     joined = classes.join(top, "lang", "left").join(totals, "lang", "left")
     ns = F.coalesce(F.col("top.n"), F.array().cast("array<bigint>"))
-    listed = F.aggregate(ns, F.lit(0).cast(_LONG), lambda a, b: a + b)
-    return joined.select(
+    rest = F.coalesce(F.col("all_words"), F.lit(0).cast(_LONG)) - _total(ns)
+    counted = joined.select(
         "lang",
-        _shares(F.array(*CLASSES)).alias("class_shares"),
+        F.array(*CLASSES).alias("class_shares"),
         F.coalesce(F.col("top.word"), F.array().cast("array<string>")).alias("top_words"),
-        _shares(
-            F.concat(ns, F.array(F.coalesce(F.col("all_words"), F.lit(0).cast(_LONG)) - listed))
-        ).alias("top_shares"),
+        F.concat(ns, F.array(rest)).alias("top_shares"),
+        F.coalesce(F.array_max(F.transform("top.word", lambda w: F.char_length(w))), F.lit(0)).alias("top_length"),
     )
+    return with_shares(counted, "class_shares", "top_shares")
 
 
-def _shares(counts):
-    """Counts over their sum; null if that is 0."""
-    total = F.aggregate(counts, F.lit(0).cast(_LONG), lambda a, b: a + b)
-    return F.when(total > 0, F.transform(counts, lambda n: n / total))
+def _total(counts):
+    return F.aggregate(counts, F.lit(0).cast(_LONG), lambda a, b: a + b)
+
+
+def with_shares(rows, *names):
+    """Columns of counts turned into their shares; null where all are 0."""
+    rows = rows.withColumns({f"_{name}": _total(F.col(name)) for name in names})
+
+    def shares(name):
+        total = F.col(f"_{name}")
+        return F.when(total > 0, F.transform(name, lambda n: n / total))
+
+    return rows.withColumns({name: shares(name) for name in names}).drop(*[f"_{name}" for name in names])
 
 
 def distance(ours, theirs):
@@ -112,19 +132,20 @@ def distance(ours, theirs):
         return part(a, (a + b) / 2) + part(b, (a + b) / 2)
 
     total = F.aggregate(F.zip_with(ours, theirs, both), F.lit(0.0), lambda a, b: a + b)
-    return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
+    # Null stays null; rounding may leave a little less than 0.
+    return F.sqrt(F.when(total < 0, F.lit(0.0)).otherwise(total / 2))
 
 
 def _measured(texts):
-    """Adds the base counts to rows with `text`. Steps that read a value several times get it as a column."""
-    text = F.col("text")
-    lines = F.filter(F.split(text, "\n"), lambda line: F.translate(line, SPACES, "") != "")
+    """Adds the base counts to rows with `text` and `classes`. Values that several steps read are columns."""
+    text, classes = F.col("text"), F.col("classes")
+    lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
     rows = texts.select(
         "*",
         words_of(text).alias("words"),
         lines.alias("lines"),
-        _chars(F.translate(text, SPACES, "")).alias("word_chars"),
-        (_chars(text) - _chars(F.translate(text, SYMBOLS, ""))).alias("n_symbols"),
+        (_chars(text) - classes[CLASSES.index("space")]).alias("word_chars"),
+        classes[CLASSES.index("symbol")].alias("n_symbols"),
     )
     # The hash of the window that begins at each word.
     window = F.when(
@@ -167,27 +188,24 @@ def judged(docs):
         found = F.broadcast(found)
     rows = docs.select(F.struct("*").alias("row"), _language().alias("lang"), text_of().alias("text"))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    measured = _measured(rows).join(found, "lang", "left")
-    seen = F.transform("top_words", lambda w: F.size("words") - F.size(F.array_remove(F.col("words"), w)))
-    listed = F.aggregate("seen", F.lit(0), lambda a, b: a + b)
+    measured = _measured(with_classes(rows)).join(found, "lang", "left")
+    # Only short words are looked up.
+    short = F.filter("words", lambda w: F.char_length(w) <= F.col("top_length"))
+    measured = measured.withColumn("short", short).drop("words")
+    seen = F.transform("top_words", lambda w: F.size("short") - F.size(F.array_remove(F.col("short"), w)))
     counted = measured.select(
         "*",
         base_failed.alias("base_failed"),
-        F.when(F.col("n_words") >= MIN_WORDS, seen).alias("seen"),
-        F.when(F.char_length("text") >= MIN_CHARS, class_counts(F.col("text"))).alias("classes"),
-    ).drop("words", "text")
+        F.when(F.col("n_words") >= MIN_WORDS, seen.cast("array<bigint>")).alias("seen"),
+        (F.char_length("text") >= MIN_CHARS).alias("long_enough"),
+    ).drop("short", "text")
     counted = counted.withColumns(
         {
-            "word_shares": _shares(
-                F.transform(
-                    F.concat("seen", F.array(F.col("n_words").cast("int") - listed)),
-                    lambda n: n.cast(_LONG),
-                )
-            ),
-            "shares": _shares(F.col("classes")),
+            "word_shares": F.concat("seen", F.array(F.col("n_words") - _total(F.col("seen")))),
+            "shares": F.when(F.col("long_enough"), F.col("classes")),
         }
     )
-    distances = counted.withColumns(
+    distances = with_shares(counted, "word_shares", "shares").withColumns(
         {
             "char_distance": F.round(distance(F.col("shares"), F.col("class_shares")), 4),
             "word_distance": F.round(distance(F.col("word_shares"), F.col("top_shares")), 4),
@@ -212,4 +230,7 @@ def judged(docs):
 
 def good_documents(docs):
     """The rows of `docs` that the rules keep."""
-    return judged(docs).where("kept").select("row.*")
+    rows = judged(docs).select("row", "kept")
+    # A filter would be pushed down to the text and evaluate all of the above anew, lambda by lambda.
+    once = F.filter(F.array("row"), lambda _: F.col("kept"))
+    return rows.select(F.explode(once).alias("row")).select("row.*")
