@@ -60,7 +60,7 @@ def decline_reason():
 
 
 def authorize(
-    transactions, cards, customers, reasons=False, heavy_rows=heavy.HEAVY_ROWS, columns=None
+    transactions, cards, customers, reasons=False, heavy_rows=heavy.HEAVY_ROWS, columns=None, found=None
 ):
     """Adds `status` (pending / declined) and `pending_balance` after each row.
 
@@ -71,8 +71,9 @@ def authorize(
     `columns` names the transaction columns to keep, by default all: fewer are cheaper, as Spark cannot
     see which ones the Python step passes on for nothing.
 
-    Cards with more than `heavy_rows` rows are split over tasks; finding them costs one look at the
-    `card_id` column. Pass None where no card can be that long.
+    Cards with more than `heavy_rows` rows are split over tasks; finding them runs a job over the `card_id`
+    column when this is called. A job that authorises the same rows more than once passes what `heavy.find`
+    gave it as `found`. Pass `heavy_rows=None` where no card can be that long.
     """
     held = accounts(cards, customers)
     columns = list(columns or transactions.columns)
@@ -86,7 +87,8 @@ def authorize(
     def finish(rows):
         return rows.select(*outcome(columns, reasons))
 
-    found = None if heavy_rows is None else heavy.find(transactions, heavy_rows)
+    if found is None and heavy_rows is not None:
+        found = heavy.find(transactions, heavy_rows)
     if found is None:
         return finish(light(transactions))
     # The accounts of the heavy cards are as few as these cards, so the join moves none of their rows.

@@ -26,8 +26,6 @@ from tallycard.sources.scratch import scratch_dir
 HEAVY_ROWS = 5_000_000
 # A card of HEAVY_ROWS rows is expected this often in the sample that looks for such cards.
 SAMPLE_ROWS = 1_000
-# Bounds the sample and the ranges the driver keeps for the range partitioning.
-MAX_SEGMENTS = 10_000
 # Cards and segments (a few numbers each, or an account) that are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -42,7 +40,6 @@ class HeavyCards:
     cards: DataFrame
     count: int
     segments: int
-    folder: str
 
     def small(self, side):
         """A side with at most a row per heavy card and segment boundary, broadcast if that is few."""
@@ -85,8 +82,8 @@ def find(transactions, heavy_rows=HEAVY_ROWS):
     return HeavyCards(
         cards=transactions.sparkSession.read.parquet(f"{folder}/cards"),
         count=count,
-        segments=min(max(2, math.ceil(rows / share / heavy_rows)), MAX_SEGMENTS),
-        folder=folder,
+        # The driver keeps one boundary per segment, so 10^12 heavy rows are 200,000 boundaries.
+        segments=max(2, math.ceil(rows / share / heavy_rows)),
     )
 
 
@@ -142,9 +139,9 @@ def _chain_card(walks):
     return pd.DataFrame(out, columns=["card_id", "segment", "entry_cents", "known"])
 
 
-def _entries(found, rows):
+def _entries(found, rows, folder):
     """The true opening balance of every segment."""
-    spark, folder = rows.sparkSession, found.folder
+    spark = rows.sparkSession
     live = rows.where(F.col("kind") != VOID)
     todo, number = _first_guess(live), 0
     while True:
@@ -168,16 +165,17 @@ def run_heavy_ledger(checked, keep, found):
     a physical partitioning; they read the columns they need.
     """
     spark = checked.sparkSession
+    folder = scratch_dir(spark, "heavy-ledger")
     facts = ["card_id", *ORDER, "kind", "cents", "limit_cents", "opening_cents"]
     columns = list(dict.fromkeys(list(keep) + facts))
     (
         checked.select(*columns)
         .repartitionByRange(found.segments, "card_id", *ORDER)
         .withColumn("segment", F.spark_partition_id())
-        .write.parquet(f"{found.folder}/rows")
+        .write.parquet(f"{folder}/rows")
     )
-    rows = spark.read.parquet(f"{found.folder}/rows")
-    entries = _entries(found, rows.select("segment", *facts))
+    rows = spark.read.parquet(f"{folder}/rows")
+    entries = _entries(found, rows.select("segment", *facts), folder)
     # Rows without an account have no entry and keep a NULL balance.
     opened = found.opened(rows, entries, "left")
     return run_ledger(opened, keep, ("card_id", "segment"), "entry_cents")

@@ -4,9 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import bank
+from tallycard import fixtures
 from tallycard.operators import heavy
 from tallycard.operators.authorize import authorize
 
+from conftest import DATA
+
 
 @pytest.fixture
 def rounds(monkeypatch):
@@ -104,3 +107,13 @@ def test_heavy_card_without_account(spark, rows):
     whole = rows(authorize(transactions, cards, customers, heavy_rows=None))
     assert rows(authorize(transactions, cards, customers, heavy_rows=20)) == whole
     assert len(whole) == 300
+
+
+def test_heavy_cards_are_found_once_for_several_runs(spark, rows):
+    tables = fixtures.Bank(spark, DATA)
+    given = [tables[name] for name in ("transactions", "cards", "customers")]
+    found = heavy.find(tables["transactions"], 12)
+    assert found is not None and found.segments > 2
+    expected = rows(authorize(*given, heavy_rows=None))
+    assert rows(authorize(*given, found=found)) == expected
+    assert rows(authorize(*given, found=found)) == expected
