@@ -32,8 +32,8 @@ import pyarrow.compute as pc
 from tallycard.llm.tables import slices, text_of
 
 MARK = "▁"
-SLICE_BYTES = 8 << 20
-KEPT_WORDS = 600_000
+SLICE_BYTES = 4 << 20
+KEPT_WORDS = 900_000
 KEPT_LISTS = 50_000
 # Words up to this length are looked at together, so many at a time.
 LONG_WORD = 32
@@ -181,18 +181,18 @@ class PieceLattice:
         letters = np.zeros((len(words), wide), dtype=np.int64)
         letters[np.arange(wide) < sizes[:, None]] = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
         best = np.full((len(words), wide + 1), -NO_LOSS, dtype=np.int64)
-        second, back = best.copy(), np.zeros((len(words), wide + 1), dtype=np.int64)
-        piece = np.full((len(words), wide + 1), -1, dtype=np.int64)
+        # The last step of the best way to each letter: where it begins, and the piece's number and one, or 0.
+        second, last = best.copy(), np.zeros((len(words), wide + 1), dtype=np.int32)
         best[:, 0] = 0
 
         def step(rows, start, end, score, number):
-            one, other = best[rows, start] + score, second[rows, start] + score
-            held = best[rows, end]
-            better = one > held
-            second[rows, end] = np.maximum(np.maximum(second[rows, end], other), np.where(better, held, one))
-            best[rows, end] = np.where(better, one, held)
-            back[rows, end] = np.where(better, start, back[rows, end])
-            piece[rows, end] = np.where(better, number, piece[rows, end])
+            one, held = best[rows, start] + score, best[rows, end]
+            rest = np.maximum(second[rows, start] + score, np.minimum(one, held))
+            second[rows, end] = np.maximum(second[rows, end], rest)
+            better = np.flatnonzero(one > held)
+            rows = rows[better]
+            best[rows, end] = one[better]
+            last[rows, end] = number[better] + 1 << 6 | start
 
         for start in range(wide):
             rows = np.flatnonzero(sizes > start)
@@ -216,18 +216,18 @@ class PieceLattice:
         row = np.arange(len(words))
         score, loss = best[row, sizes], best[row, sizes] - second[row, sizes]
         loss = np.where(second[row, sizes] < -NO_LOSS // 2, NO_LOSS, loss)
-        back, piece = back.tolist(), piece.tolist()
-        for word, size, total, lost, backs, numbers in zip(
-            words, sizes.tolist(), score.tolist(), loss.tolist(), back, piece
-        ):
-            ids, at = [], size
+        known, byte_ids = self.known, self.byte_ids
+        for word, at, total, lost, steps in zip(words, sizes.tolist(), score.tolist(), loss.tolist(), last.tolist()):
+            ids = []
             while at:
-                if numbers[at] >= 0:
-                    ids.append(numbers[at])
+                number = steps[at] >> 6
+                if number:
+                    ids.append(number - 1)
                 else:
-                    ids += [self.byte_ids[byte] for byte in reversed(word[at - 1].encode())]
-                at = backs[at]
-            self.known[word] = (total, _packed(ids[::-1]), lost)
+                    ids += [byte_ids[byte] for byte in reversed(word[at - 1].encode())]
+                at = steps[at] & 63
+            ids.reverse()
+            known[word] = (total, _packed(ids), lost)
 
     def decode(self, packed):
         """The bytes of a text from the packed ids of all of it; the space before its first word goes."""
@@ -297,7 +297,7 @@ class _Text:
         self.sizes = np.array([len(packed) for packed in self.packed], dtype=np.int64)
 
     def n_best(self, codes, n):
-        """(score, packed ids) of the text of these words."""
+        """(score, packed ids, whether they decode like those of the best) of the text of these words."""
         lattice = self.lattice
         base, total = b"".join(map(self.packed.__getitem__, codes.tolist())), int(self.scores[codes].sum())
         chosen = _least(self.losses[codes], n - 1)
@@ -306,19 +306,20 @@ class _Text:
         options = [[own[0][0] - score for score, _ in own] for own in lists]
         ends = np.cumsum(self.sizes[codes])
         for loss, choice in _text_n_best(options, n):
-            packed = base
+            packed, alike = base, True
             for at, rank, own, word in reversed(list(zip(chosen, choice, lists, words))):
                 if rank:
                     other, end = _packed(lattice.ids(word, own[rank][1])), int(ends[at])
                     packed = packed[: end - int(self.sizes[codes[at]])] + other + packed[end:]
-            yield total - loss, packed
+                    alike = alike and lattice.decode(other) == lattice.decode(self.packed[codes[at]])
+            yield total - loss, packed, alike
 
 
 def segmentations(lattice, text, n):
     """The n best segmentations of a text: (score, packed ids)."""
     normalized = lattice.normalize(text)
     words = [word[1:] for word in _WORD_START.split(normalized)] if normalized else []
-    return _Text(lattice, words).n_best(np.arange(len(words)), n)
+    return [found[:2] for found in _Text(lattice, words).n_best(np.arange(len(words)), n)]
 
 
 def _encoding(path, n, with_ids):
@@ -336,10 +337,12 @@ def _encoding(path, n, with_ids):
                 for row, doc_id in enumerate(part.column("doc_id").to_pylist()):
                     own = codes[offsets[row] : offsets[row + 1]] if normalized[row] else codes[:0]
                     raw = texts[row].encode()
-                    for rank, (score, packed) in enumerate(known.n_best(own, n), 1):
+                    for rank, (score, packed, alike) in enumerate(known.n_best(own, n), 1):
+                        # The best comes first; the others differ from it in a few words.
+                        restored = lattice.decode(packed) == raw if rank == 1 else restored and alike
                         rows.append(
                             (
-                                doc_id, rank, score, len(packed) // 4, zlib.crc32(packed), lattice.decode(packed) == raw,
+                                doc_id, rank, score, len(packed) // 4, zlib.crc32(packed), restored,
                                 np.frombuffer(packed, dtype="<u4") if with_ids else None,
                             )
                         )
