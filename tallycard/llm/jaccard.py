@@ -40,7 +40,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallycard.llm.components import components
-from tallycard.llm.tables import blocks, kept, slices, text_of
+from tallycard.llm.tables import blocks, kept, release, slices, text_of
 
 # Defaults: words of a shingle, and two documents link if 100 * intersection >= percent * union.
 SHINGLE = 4
@@ -52,7 +52,7 @@ MOST_SHINGLES = 1_500_000
 LEAST_WEIGHT = 366
 # Columns of the matrix at a time.
 STRIPE = 4096
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # Up to so many ids are broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -126,6 +126,7 @@ def _as_long(values):
 
 def _sketching(size, percent):
     def task(batches):
+        release()
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 sets = list(shingle_sets(part.column("text"), size))

@@ -13,7 +13,6 @@ Defined results
 * An empty table gives an empty result.
 """
 
-import functools
 import struct
 import zlib
 
@@ -24,11 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallycard.llm.bytewords import LOWER_WORD, shown
-from tallycard.llm.tables import blocks, kept, slices, text_of
+from tallycard.llm.tables import blocks, held, kept, slices, text_of
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 SHARD_PIECES = 1 << 16
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -133,10 +132,9 @@ class WordEncoder:
                 yield b"".join(map(ids_of, codes[offsets[row] : offsets[row + 1]]))
 
 
-@functools.lru_cache(maxsize=1)
 def word_encoder(path):
     """One encoder for all tasks of a Python worker."""
-    return WordEncoder(path)
+    return held(WordEncoder, path)
 
 
 def _cutting(path, capacity, end_id, with_ids):

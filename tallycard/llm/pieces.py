@@ -19,7 +19,6 @@ Defined results
 * Rows are independent of each other; an empty table gives an empty result.
 """
 
-import functools
 import heapq
 import re
 import struct
@@ -29,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tallycard.llm.tables import slices, text_of
+from tallycard.llm.tables import held, slices, text_of
 
 MARK = "▁"
 SLICE_BYTES = 4 << 20
@@ -239,10 +238,9 @@ def _packed(ids):
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@functools.lru_cache(maxsize=1)
 def piece_lattice(path):
     """One lattice for all tasks of a Python worker."""
-    return PieceLattice(path)
+    return held(PieceLattice, path)
 
 
 def _words(normalized):

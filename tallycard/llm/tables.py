@@ -47,3 +47,20 @@ def slices(batch, column, most):
         held += length
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+_HELD = {}
+
+
+def held(make, argument):
+    """`make(argument)`, one for all tasks of a Python worker until another one is asked for."""
+    key = (make.__module__, make.__qualname__, argument)
+    if key not in _HELD:
+        release()
+        _HELD[key] = make(argument)
+    return _HELD[key]
+
+
+def release():
+    """Drop what earlier tasks of this worker have left."""
+    _HELD.clear()

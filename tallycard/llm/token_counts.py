@@ -16,7 +16,6 @@ Defined results
 * Rows are independent of each other: repeated rows, null ids and other columns change nothing.
 """
 
-import functools
 import json
 import re
 
@@ -24,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallycard.llm.bytewords import SPACE, SPACED_WORD, shown
-from tallycard.llm.tables import slices, text_of
+from tallycard.llm.tables import held, slices, text_of
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 KEPT_PIECES = 1_000_000
 # A place where the splitting always cuts: a single space with other characters on both sides.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -150,10 +150,9 @@ class PrefixCounter:
         return total
 
 
-@functools.lru_cache(maxsize=1)
 def prefix_counter(path):
     """One counter for all tasks of a Python worker."""
-    return PrefixCounter(path)
+    return held(PrefixCounter, path)
 
 
 def chunks_of(texts):
@@ -210,7 +209,7 @@ def count_tokens(docs, path, keep=("doc_id",), text="text", with_table=False):
     rows = docs.select(*keep, text_of(text).alias("text"))
     schema = rows.select(*keep).schema.add("n_bytes", "long").add("n_tokens", "long")
     if with_table:
-        schema = schema.add("prefix_tokens", "array<int>")
+        schema = schema.add("prefix_tokens", T.ArrayType(T.IntegerType()))
     return rows.mapInArrow(_counting(path, keep, with_table), schema)
 
 

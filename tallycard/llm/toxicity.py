@@ -8,7 +8,7 @@ word's feature vector is its normalised kernel with each landmark, whitened by t
 round takes those by the machine so far and fits again (multiple instances). A document's score is a logistic curve, fitted
 on the same sample, of the margins of its TOP worst words and of the number and share of its words on the toxic side.
 
-The sample is bounded: at most TRAIN_DOCS documents of each label, those with the smallest hash of the id, and of them the
+The sample is bounded, and one task fits it: at most TRAIN_DOCS documents of each label, those with the smallest hash of the id, and of them the
 ones of at most TRAIN_CHARS characters. Scoring reads whole texts; each distinct word of a batch is looked at once.
 
 Defined results
@@ -19,7 +19,6 @@ Defined results
   to learn from, every score is 0.
 """
 
-import functools
 import itertools
 import pickle
 
@@ -29,9 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallycard.llm.tables import slices, text_of
+from tallycard.llm.tables import held, release, slices, text_of
 
-TRAIN_DOCS = 2000
+TRAIN_DOCS = 1500
 TRAIN_CHARS = 8000
 LANDMARKS = 64
 # What a landmark needs: so many different places in toxic sentences, so many times the share it has of others, and
@@ -44,8 +43,9 @@ DECAY = 0.6
 PIECE = 16
 BEGIN = "\x02"
 TOP = 3
-SLICE_BYTES = 4 << 20
-KEPT_WORDS = 400_000
+SLICE_BYTES = 2 << 20
+KEPT_WORDS = 250_000
+TOGETHER = 1 << 14
 
 
 def kernel(left, right, decay=DECAY, order=ORDER):
@@ -297,7 +297,10 @@ def fit(texts, toxic, n_landmarks=LANDMARKS, rounds=8):
     values, vectors = np.linalg.eigh(landmarks(landmarks.words))
     whitening = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
     pieces = [pieces_of(word) for word in words]
-    known = landmarks(list(itertools.chain.from_iterable(pieces))) @ whitening
+    flat = list(itertools.chain.from_iterable(pieces))
+    known = np.empty((len(flat), len(chosen)), dtype=np.float32)
+    for at in range(0, len(flat), TOGETHER):
+        known[at : at + TOGETHER] = landmarks(flat[at : at + TOGETHER]) @ whitening
     firsts = np.cumsum([0] + [len(own) for own in pieces])
     # A document is the pieces of its words, each word as often as it comes.
     ends = np.searchsorted(owners, np.arange(len(split)), side="right")
@@ -353,20 +356,30 @@ def sample(docs, labels, most=TRAIN_DOCS, most_chars=TRAIN_CHARS):
     return texts.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").select("text", "toxic")
 
 
+def _fitting(batches):
+    release()
+    texts, toxic = [], []
+    for batch in batches:
+        texts += batch.column("text").to_pylist()
+        toxic += batch.column("toxic").to_pylist()
+    model = fit(texts, toxic)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+
 def train(docs, labels):
-    """A Model from the bounded sample, fitted on the driver; None if there is nothing to learn from."""
-    rows = sample(docs, labels).distinct().orderBy("text", "toxic").toPandas()
-    return fit(rows["text"].tolist(), rows["toxic"].tolist())
+    """A Model from the bounded sample, fitted in one task; None if there is nothing to learn from."""
+    rows = sample(docs, labels).distinct().repartition(1).sortWithinPartitions("text", "toxic")
+    found = rows.mapInArrow(_fitting, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
 
 
-@functools.lru_cache(maxsize=1)
-def _loaded(pickled):
+def _unpickled(pickled):
     return pickle.loads(pickled)
 
 
 def _scoring(pickled, keep):
     def task(batches):
-        model = _loaded(pickled)
+        model = held(_unpickled, pickled)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 texts = part.column("text")
