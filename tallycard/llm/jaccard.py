@@ -51,7 +51,8 @@ SKETCH = 10
 MOST_SHINGLES = 1_500_000
 LEAST_WEIGHT = 366
 # Columns of the matrix at a time.
-STRIPE = 4096
+STRIPE = 2048
+ROWS = 256
 SLICE_BYTES = 2 << 20
 # Up to so many ids are broadcast.
 BROADCAST_IDS = 1_000_000
@@ -227,7 +228,12 @@ def linked(sets, percent=PERCENT):
             common += stripe @ stripe.T
         else:
             common[np.ix_(rows, rows)] += stripe @ stripe.T
-    near = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    near = np.empty(common.shape, dtype=bool)
+    # A few rows at a time, as whole numbers of 64 bits take more than the matrix.
+    for start in range(0, len(sets), ROWS):
+        some = common[start : start + ROWS].astype(np.int64)
+        either = sizes[start : start + ROWS, None] + sizes[None, :] - some
+        near[start : start + ROWS] = 100 * some >= percent * either
     return _hung(near)
 
 
