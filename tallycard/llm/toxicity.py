@@ -43,7 +43,7 @@ DECAY = 0.6
 PIECE = 16
 BEGIN = "\x02"
 TOP = 3
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 KEPT_WORDS = 250_000
 TOGETHER = 1 << 14
 
