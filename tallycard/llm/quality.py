@@ -5,6 +5,11 @@ shares of its `TOP_WORDS` most frequent words and of all others. A document is c
 Jensen-Shannon distance (base 2, from 0 to 1), for classes and for words. It fails if a distance is above
 its bound, where the text is long enough for the histogram to mean something.
 
+What `judged` gives in `kept` has one bound for words of all texts. `good_documents` also has the bound of the text's
+length: by chance alone, the squared distance of a text of n words from its own language is about 6 / n, while a text
+in another language, or of no words at all, is no farther off than the share of the common words allows (0.36 to 0.37
+for a share of a quarter), which is below MAX_WORD_DISTANCE.
+
 Only DataFrame functions are used. All counts are made within a document's row; the references are sums that
 are reduced before the shuffle, so a language or source with most of the rows sends a few rows per task.
 
@@ -30,6 +35,9 @@ MIN_WORDS = 50
 MIN_CHARS = 200
 MAX_CHAR_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.43
+# The squared distance that a text's subject and style may cause, and, over its number of words, chance.
+WORD_SPREAD = 0.04
+WORD_NOISE = 8.0
 # References are broadcast up to this number of languages; beyond it the join is Spark's choice.
 BROADCAST_LANGUAGES = 2_000
 
@@ -228,9 +236,15 @@ def judged(docs):
     )
 
 
+def word_bound(n_words):
+    """The greatest word distance of a text of so many words in its own language."""
+    return F.least(F.lit(MAX_WORD_DISTANCE), F.sqrt(F.lit(WORD_SPREAD) + F.lit(WORD_NOISE) / n_words))
+
+
 def good_documents(docs):
-    """The rows of `docs` that the rules keep."""
-    rows = judged(docs).select("row", "kept")
+    """The rows of `docs` that the rules keep, that of the word distance by the text's length among them."""
+    strange = F.coalesce(F.col("word_distance") > word_bound(F.col("n_words")), F.lit(False))
+    rows = judged(docs).select("row", (F.col("kept") & ~strange).alias("kept"))
     # A filter would be pushed down to the text and evaluate all of the above anew, lambda by lambda.
     once = F.filter(F.array("row"), lambda _: F.col("kept"))
     return rows.select(F.explode(once).alias("row")).select("row.*")

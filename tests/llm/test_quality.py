@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -52,6 +53,28 @@ def test_what_diverges_goes_and_plain_text_stays(spark):
     assert sorted(row["doc_id"] for row in kept.collect()) == list(range(20, 60))
 
 
+def test_texts_of_another_language_or_of_no_words_go(spark):
+    rng = random.Random(3)
+    common = {lang: [f"{lang}{chr(97 + n // 6)}{chr(97 + n % 6)}" for n in range(32)] for lang in ("xa", "xb", "xc")}
+
+    def prose(lang, n):
+        weights = [1 / (place + 2) for place in range(32)]
+        some = rng.choices(common.get(lang, [""]), weights if lang in common else None, k=n)
+        rare = ["".join(rng.choice("abcdefghijklm") for _ in range(rng.randrange(5, 9))) for _ in range(n)]
+        return " ".join(a if lang in common and rng.random() < 0.25 else b for a, b in zip(some, rare))
+
+    clean = [(n, prose(lang, size), lang) for n, (lang, size) in enumerate(
+        (lang, size) for lang in ("xa", "xb") for size in (55, 80, 120, 200, 400, 1000) * 10
+    )]
+    strange = [(1000 + n, prose(lang, 200 + 50 * n), "xa") for n, lang in enumerate(["xb", "xc", "none"])]
+    docs = made(spark, clean + strange)
+    distances = {row["doc_id"]: row["word_distance"] for row in
+                 quality.judged(docs).select("row.doc_id", "word_distance").collect()}
+    assert all(distances[doc_id] < quality.MAX_WORD_DISTANCE for doc_id, _, _ in strange)
+    kept = {row["doc_id"] for row in quality.good_documents(docs).collect()}
+    assert kept == {doc_id for doc_id, _, _ in clean}
+
+
 def test_distance_is_jensen_shannons(spark):
     df = spark.sql("SELECT array(1D, 0D) AS a, array(0D, 1D) AS b, array(0.5D, 0.5D) AS c, CAST(NULL AS array<double>) AS n")
     row = df.select(
