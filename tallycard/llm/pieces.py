@@ -59,7 +59,10 @@ class PieceLattice:
                 byte_ids[int(piece[3:5], 16)] = number
                 self.bytes_of[number] = bytes([int(piece[3:5], 16)])
             elif not (model.is_control(number) or model.is_unknown(number) or model.is_unused(number)):
-                self.arcs[piece] = (int(model.get_score(number)), number)
+                score = model.get_score(number)
+                if score != int(score):
+                    raise ValueError(f"{path}: the score of a piece is not a whole number")
+                self.arcs[piece] = (int(score), number)
                 self.bytes_of[number] = piece.replace(MARK, " ").encode()
         if any(MARK in piece.lstrip(MARK) for piece in self.arcs):
             raise ValueError(f"{path}: some pieces reach over the beginning of a word")

@@ -70,3 +70,16 @@ def test_documents(spark, lattice):
 def test_a_mark_in_the_text_comes_back_as_a_space(spark):
     row = pieces.encode(docs(spark, ["a▁b"]), PATH, n=1).first()
     assert not row["restored"]
+
+
+def test_scores_that_are_not_whole_are_an_error(tmp_path):
+    import sentencepiece
+
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdef") for _ in range(rng.randrange(2, 6))) for _ in range(300)]
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter([" ".join(rng.choices(words, k=8)) for _ in range(300)]), model_type="unigram",
+        model_prefix=str(tmp_path / "unigram"), vocab_size=60, hard_vocab_limit=False, num_threads=1, minloglevel=2,
+    )
+    with pytest.raises(ValueError, match="whole number"):
+        pieces.PieceLattice(str(tmp_path / "unigram.model"))
