@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallycard import session
-from tallycard.llm import chat, jaccard, packing, pieces, quality, repeats, token_counts, topk, toxicity, urls
+from tallycard.llm import alignment, chat, jaccard, packing, pieces, quality, repeats, token_counts, topk, toxicity, urls
 from tallycard.llm.tables import table
 
 _REGISTRY = {}
@@ -87,3 +87,12 @@ def op10_chat_formatting(spark, folder):
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
     return chat.digest(chat.examples(turns.unionByName(extra)))
+
+
+@_query
+def op11_token_alignment(spark, folder):
+    paths = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    aligned = alignment.align(table(spark, folder, "documents"), *paths, keep=["doc_id"])
+    written = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    found = alignment.with_counts(aligned.withColumn("groups_sha256", written).drop("groups"))
+    return found.select("row.doc_id", *[name for name in found.columns if name != "row"])
