@@ -15,6 +15,29 @@ WITH v AS (
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10
 """
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS r
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id
+  WHERE NOT alike AND 100 * s.score BETWEEN 80 * positive_score AND 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE r <= 5
+"""
+
 _CHAT = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -213,4 +236,5 @@ def oracle_sql():
         "op7_url_filter": _URLS,
         "op8_ngram_jaccard_join": _JACCARD,
         "op10_chat_formatting": _CHAT,
+        "op13_hard_negatives": _NEGATIVES,
     }

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tallycard import session
-from tallycard.llm import alignment, chat, jaccard, packing, pieces, quality, repeats, token_counts, topk, toxicity, urls
+from tallycard.llm import alignment, chat, jaccard, negatives, packing, permutations, pieces, quality, repeats, token_counts, topk, toxicity, urls
 from tallycard.llm.tables import table
 
 _REGISTRY = {}
@@ -96,3 +96,19 @@ def op11_token_alignment(spark, folder):
     written = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
     found = alignment.with_counts(aligned.withColumn("groups_sha256", written).drop("groups"))
     return found.select("row.doc_id", *[name for name in found.columns if name != "row"])
+
+
+@_query
+def op12_nearest_neighbours(spark, folder):
+    """The 20 nearest other vectors for each whose id is divisible by 20."""
+    rows = permutations.usable(table(spark, folder, "embeddings"))
+    return permutations.neighbours(rows.where(F.col("id") % 20 == 0), rows, 20)
+
+
+@_query
+def op13_hard_negatives(spark, folder):
+    """Rows whose id is divisible by 7 have the next label; anchors are those whose id is divisible by 100."""
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = negatives.quantised(table(spark, folder, "embeddings").withColumn("label", moved))
+    return negatives.hard_negatives(rows.where(F.col("id") % 100 == 0), rows)
