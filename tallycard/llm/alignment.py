@@ -6,6 +6,9 @@ or itself if no token of the other reaches further. Pointers are then replaced b
 to, for all tokens at once, until nothing changes; the steps double each time. What a token points to at last is the
 last token of its group and labels it. Texts of a slice are laid end to end, since both tokenizers end with a text.
 
+Where both tokenizers always cut at a single space between other characters (checked when they are read), each
+distinct chunk between such spaces is encoded once.
+
 Each two tokens that overlap are a link. Links are counted for pairs of ids over all documents. Pairs that are
 common, at most `COMMON_PAIRS` by count, are broadcast to the links; the others are joined by shuffle, and none
 of them has more than a small share of the links.
@@ -21,17 +24,24 @@ Defined results
 * The groups of one text, written out, have to fit in a string of Spark (2 GB), so a text may have about 300 MB.
 """
 
+import json
 import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallycard.llm.bytewords import LETTERS
 from tallycard.llm.tables import held, kept, slices, text_of
+from tallycard.llm.token_counts import chunk_codes
 
 SLICE_BYTES = 1 << 20
+KEPT_CHUNKS = 200_000
+MARK = "▁"
+# Letters that normalising would change.
+_PROBE = " a  ﬁ Å e\u0301 \u3000\t\n x "
 # Pairs of ids whose counts are broadcast: this many at most, counted before.
 COMMON_PAIRS = 1 << 18
 # What follows a token in `groups`: another one of its side, the other side, another group, nothing.
@@ -46,39 +56,65 @@ class Tokens:
 
     def __init__(self, path):
         if path.endswith(".model"):
-            import sentencepiece
-
-            model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.encode = lambda texts: model.encode(texts, num_threads=1)
-            self.raw = [self._piece(model, number) for number in range(model.vocab_size())]
+            self._read_pieces(path)
         else:
-            # Tasks run side by side as it is.
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            model = Tokenizer.from_file(path)
-            model.encode_special_tokens = True
-            self.encode = lambda texts: [
-                found.ids for found in model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-            ]
-            byte_of = {letter: byte for byte, letter in LETTERS.items()}
-            self.raw = [b""] * (1 + max(model.get_vocab().values()))
-            for token, number in model.get_vocab().items():
-                if not set(token) <= byte_of.keys():
-                    raise ValueError(f"{path} has a token that is not in byte letters: {token!r}")
-                self.raw[number] = bytes(byte_of[letter] for letter in token)
+            self._read_byte_level(path)
         self.lengths = np.array([len(raw) for raw in self.raw], dtype=np.int64)
         self.names = np.array([f"{number}{mark}" for number in range(len(self.raw)) for mark in _MARKS], dtype=object)
+        self.known = {}
+
+    def _read_pieces(self, path):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.encode = lambda texts: model.encode(texts, num_threads=1)
+        self.raw = [self._piece(model, number) for number in range(model.vocab_size())]
+        # No piece reaches over the beginning of a word, and texts are read as they are.
+        self.by_chunk = model.normalize(_PROBE) == (" " + _PROBE).replace(" ", MARK) and not any(
+            MARK in model.id_to_piece(number).lstrip(MARK) for number in range(model.vocab_size())
+        )
 
     @staticmethod
     def _piece(model, number):
         if model.is_control(number):
             return b""
         piece = model.id_to_piece(number)
-        return bytes([int(piece[1:-1], 16)]) if model.is_byte(number) else piece.replace("▁", " ").encode()
-
-    def gives_back(self, ids, raw):
-        return b"".join(map(self.raw.__getitem__, ids)) == raw
+        return bytes([int(piece[1:-1], 16)]) if model.is_byte(number) else piece.replace(MARK, " ").encode()
+
+    def _read_byte_level(self, path):
+        # Tasks run side by side as it is.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(path)
+        model.encode_special_tokens = True
+        self.encode = lambda texts: [
+            found.ids for found in model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        ]
+        byte_of = {letter: byte for byte, letter in LETTERS.items()}
+        self.raw = [b""] * (1 + max(model.get_vocab().values()))
+        for token, number in model.get_vocab().items():
+            if not set(token) <= byte_of.keys():
+                raise ValueError(f"{path} has a token that is not in byte letters: {token!r}")
+            self.raw[number] = bytes(byte_of[letter] for letter in token)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        splitter = spec["pre_tokenizer"] or {}
+        # The splitting by kinds of characters always cuts at a single space.
+        self.by_chunk = spec["normalizer"] is None and splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True)
+
+    def learn(self, chunks):
+        """Ids of each chunk, or None where they do not give it back."""
+        new = [chunk for chunk in chunks if chunk not in self.known]
+        if len(self.known) + len(new) > KEPT_CHUNKS:
+            self.known, new = {}, chunks
+        for chunk, ids in zip(new, self.encode(new)):
+            given_back = b"".join(map(self.raw.__getitem__, ids)) == (" " + chunk).encode()
+            self.known[chunk] = ids if given_back else None
+        found = [self.known[chunk] for chunk in chunks]
+        if len(self.known) > KEPT_CHUNKS:
+            self.known = {}
+        return found
 
 
 class Both:
@@ -86,21 +122,38 @@ class Both:
         self.a, self.b = map(Tokens, paths)
 
 
-def _encoded(both, texts):
-    """Ids of the texts by both tokenizers; none where one of them does not give the text back."""
-    pairs = []
-    for text, a, b in zip(texts, both.a.encode(texts), both.b.encode(texts)):
-        raw = (" " + text).encode()
-        usable = text and both.a.gives_back(a, raw) and both.b.gives_back(b, raw)
-        pairs.append((a, b) if usable else ((), ()))
-    return [ids for ids, _ in pairs], [ids for _, ids in pairs]
+def _chunks(both, texts):
+    """Chunks of an Arrow array of texts that both tokenizers read one by one, each with a space before it.
 
+    Distinct chunks, the chunks of all texts as places among them, and where each text's begin and end.
+    """
+    if both.a.by_chunk and both.b.by_chunk:
+        return chunk_codes(texts)
+    places = np.arange(len(texts) + 1)
+    return texts.to_pylist(), places[:-1], places
+
+
+def _joined(lists, codes, bounds):
+    """The ids of the chunks `codes` one after the other, and where each text's begin and end."""
+    sizes = np.array([len(ids) for ids in lists], dtype=np.int64)
+    flat = np.array([number for ids in lists for number in ids], dtype=np.int64)
+    starts, counts = (np.cumsum(sizes) - sizes)[codes], sizes[codes]
+    ends = np.concatenate(([0], np.cumsum(counts)))
+    places = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], counts)
+    return flat[places], ends[bounds]
 
-def _flat(lists):
-    """All ids, and where each list begins and ends."""
-    bounds = np.concatenate(([0], np.cumsum([len(ids) for ids in lists], dtype=np.int64)))
-    flat = np.fromiter((number for ids in lists for number in ids), dtype=np.int64, count=int(bounds[-1]))
-    return flat, bounds
+
+def _encoded(both, texts):
+    """(ids, bounds) of the texts for each tokenizer; no ids where one of them does not give the text back."""
+    chunks, codes, bounds = _chunks(both, texts)
+    lists_a, lists_b = both.a.learn(chunks), both.b.learn(chunks)
+    lost = np.array([a is None or b is None for a, b in zip(lists_a, lists_b)], dtype=bool)
+    counts, empty = np.diff(bounds), pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    text = np.repeat(np.arange(len(counts)), counts)
+    usable = ~empty & (np.bincount(text[lost[codes]], minlength=len(counts)) == 0)
+    codes = codes[usable[text]]
+    bounds = np.concatenate(([0], np.cumsum(np.where(usable, counts, 0))))
+    return [_joined([ids or () for ids in lists], codes, bounds) for lists in (lists_a, lists_b)]
 
 
 def group_ends(ends_a, ends_b):
@@ -166,9 +219,8 @@ def _summed(texts, a, b, rows):
 
 
 def aligned_texts(both, texts):
-    """Arrow columns of ALIGNED for a list of texts."""
-    lists_a, lists_b = _encoded(both, texts)
-    (ids_a, bounds_a), (ids_b, bounds_b) = _flat(lists_a), _flat(lists_b)
+    """Arrow columns of ALIGNED for an Arrow array of texts."""
+    (ids_a, bounds_a), (ids_b, bounds_b) = _encoded(both, texts)
     lengths_a = both.a.lengths[ids_a]
     ends_a, ends_b = np.cumsum(lengths_a), np.cumsum(both.b.lengths[ids_b])
     label_a, label_b = group_ends(ends_a, ends_b)
@@ -195,7 +247,7 @@ def _aligning(paths):
         both = held(Both, paths)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                columns = aligned_texts(both, part.column("text").to_pylist())
+                columns = aligned_texts(both, part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("row"), *columns], names=["row", *names])
 
     return task
