@@ -50,7 +50,7 @@ def _judged(bank):
 
 def _totals(bank):
     """Per-card totals, from only those columns of the transactions that they need."""
-    authorised = _authorised(bank, columns=settle.TOTALS_FROM)
+    authorised = _authorised(bank, columns=settle.TOTALS_FROM, mark_last=True)
     return settle.card_totals(settle.approve_pending(authorised))
 
 
@@ -219,7 +219,7 @@ def credit_limit_revision(bank):
 
 
 def _settled(bank):
-    authorised = _authorised(bank, columns=settle.TOTALS_FROM)
+    authorised = _authorised(bank, columns=settle.TOTALS_FROM, mark_last=True)
     return batch.settle_day(authorised, bank["cards"], bank["customers"])
 
 

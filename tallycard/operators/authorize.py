@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tallycard.functions.money import from_cents, money_text
 from tallycard.operators import heavy
-from tallycard.operators.ledger import run_ledger
+from tallycard.operators.ledger import LAST, run_ledger
 from tallycard.operators.rules import VOID, accounts, always_booked, precheck
 
 
@@ -60,7 +60,7 @@ def decline_reason():
 
 
 def authorize(
-    transactions, cards, customers, reasons=False, heavy_rows=heavy.HEAVY_ROWS, columns=None, found=None
+    transactions, cards, customers, reasons=False, heavy_rows=heavy.HEAVY_ROWS, columns=None, found=None, mark_last=False
 ):
     """Adds `status` (pending / declined) and `pending_balance` after each row.
 
@@ -74,6 +74,8 @@ def authorize(
     Cards with more than `heavy_rows` rows are split over tasks; finding them runs a job over the `card_id`
     column when this is called. A job that authorises the same rows more than once passes what `heavy.find`
     gave it as `found`. Pass `heavy_rows=None` where no card can be that long.
+
+    `mark_last` adds `last_of_card`, true for the last row of each card, from which `settle` makes totals without sorting.
     """
     held = accounts(cards, customers)
     columns = list(columns or transactions.columns)
@@ -81,11 +83,13 @@ def authorize(
     if reasons:
         keep += [name for name in REASON_FROM if name not in keep]
 
+    last = F.lit(True) if mark_last else None
+
     def light(rows):
-        return run_ledger(precheck(rows, held), keep)
+        return run_ledger(precheck(rows, held), keep, last=last)
 
     def finish(rows):
-        return rows.select(*outcome(columns, reasons))
+        return rows.select(*outcome(columns, reasons), *[LAST] * mark_last)
 
     if found is None and heavy_rows is not None:
         found = heavy.find(transactions, heavy_rows)
@@ -94,7 +98,7 @@ def authorize(
     # The accounts of the heavy cards are as few as these cards, so the join moves none of their rows.
     split = precheck(found.only(transactions), found.small(found.only(held)))
     rest = light(found.without(transactions))
-    return finish(rest.unionByName(heavy.run_heavy_ledger(split, keep, found)))
+    return finish(rest.unionByName(heavy.run_heavy_ledger(split, keep, found, mark_last)))
 
 
 def declined_report(transactions, cards, customers, **options):

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallycard.operators.ledger import ORDER, run_ledger
+from tallycard.operators.ledger import LAST, ORDER, run_ledger
 from tallycard.operators.rules import BOOKED, GUARDED, VOID
 from tallycard.sources.scratch import scratch_dir
 
@@ -51,9 +51,9 @@ class HeavyCards:
     def without(self, df):
         return self._match(df, self.cards, "left_anti")
 
-    def opened(self, rows, entries, how):
+    def opened(self, rows, entries, how, extra=("entry_cents",)):
         """Rows of segments with the balance their segment opens with."""
-        return self._match(rows, entries, how, ("card_id", "segment"), ("entry_cents",))
+        return self._match(rows, entries, how, ("card_id", "segment"), extra)
 
     def _match(self, df, side, how, names=("card_id",), extra=()):
         """Join on columns of equal names; NULL matches NULL."""
@@ -108,14 +108,14 @@ def _walk(found, rows, entries, number):
     """Per segment: the closing balance, and the range of opening balances with equal decisions."""
     keep = ["card_id", "segment", "entry_cents", "opening_cents", "kind", "cents", "limit_cents"]
     opened = found.opened(rows, entries, "inner")
-    walked = run_ledger(opened, keep + list(ORDER), ("card_id", "segment"), "entry_cents")
+    walked = run_ledger(opened, keep, ("card_id", "segment"), "entry_cents", last=F.lit(True))
     guarded, balance = F.col("kind") == GUARDED, F.col("balance_cents")
     room = F.when(guarded & F.col("approved"), F.col("limit_cents") - balance)
     excess = F.when(guarded & ~F.col("approved"), balance + F.col("cents") - F.col("limit_cents"))
     return walked.groupBy("card_id", "segment").agg(
         F.first("entry_cents").alias("entry_cents"),
         F.first("opening_cents").alias("opening_cents"),
-        F.max_by("balance_cents", F.struct(*ORDER)).alias("exit_cents"),
+        F.max(F.when(F.col(LAST), F.col("balance_cents"))).alias("exit_cents"),
         F.min(room).alias("up"),
         (F.min(excess) - 1).alias("down"),
         F.lit(number).alias("number"),
@@ -140,12 +140,12 @@ def _chain_card(walks):
 
 
 def _entries(found, rows, folder):
-    """The true opening balance of every segment."""
+    """The true opening balance of every segment. Each round reads the rows of those segments that are still open."""
     spark = rows.sparkSession
     live = rows.where(F.col("kind") != VOID)
-    todo, number = _first_guess(live), 0
+    todo, number, still = _first_guess(live), 0, live
     while True:
-        _walk(found, live, todo, number).write.parquet(f"{folder}/walks/{number}")
+        _walk(found, still, todo, number).write.parquet(f"{folder}/walks/{number}")
         walks = spark.read.parquet(*[f"{folder}/walks/{n}" for n in range(number + 1)])
         chained = f"{folder}/chain/{number}"
         kind = walks.schema["card_id"].dataType.simpleString()
@@ -153,29 +153,35 @@ def _entries(found, rows, folder):
         walks.groupBy("card_id").applyInPandas(_chain_card, schema).write.parquet(chained)
         entries = spark.read.parquet(chained)
         todo, number = entries.where(~F.col("known")), number + 1
-        if todo.isEmpty():
+        open_ones = [row["segment"] for row in todo.select("segment").distinct().collect()]
+        if not open_ones:
             return entries
+        still = live.where(F.col("segment").isin(open_ones))
 
 
-def run_heavy_ledger(checked, keep, found):
+def run_heavy_ledger(checked, keep, found, mark_last=False):
     """`run_ledger` for the prechecked rows of heavy cards.
 
     Range partitioning on (card, order) cuts a card wherever a partition is full, whatever its share
-    of the rows. The rows are written once with their segment, so later steps rely on data and not on
-    a physical partitioning; they read the columns they need.
+    of the rows. The rows are written once by segment, so later steps rely on data and not on
+    a physical partitioning; they read the columns and segments they need.
     """
     spark = checked.sparkSession
     folder = scratch_dir(spark, "heavy-ledger")
     facts = ["card_id", *ORDER, "kind", "cents", "limit_cents", "opening_cents"]
     columns = list(dict.fromkeys(list(keep) + facts))
-    (
+    cut = (
         checked.select(*columns)
         .repartitionByRange(found.segments, "card_id", *ORDER)
         .withColumn("segment", F.spark_partition_id())
-        .write.parquet(f"{folder}/rows")
     )
-    rows = spark.read.parquet(f"{folder}/rows")
+    cut.write.partitionBy("segment").parquet(f"{folder}/rows")
+    rows = spark.read.schema(cut.schema).parquet(f"{folder}/rows")
     entries = _entries(found, rows.select("segment", *facts), folder)
     # Rows without an account have no entry and keep a NULL balance.
-    opened = found.opened(rows, entries, "left")
-    return run_ledger(opened, keep, ("card_id", "segment"), "entry_cents")
+    if not mark_last:
+        opened = found.opened(rows, entries, "left")
+        return run_ledger(opened, keep, ("card_id", "segment"), "entry_cents")
+    final = F.max("segment").over(Window.partitionBy("card_id")) == F.col("segment")
+    opened = found.opened(rows, entries.withColumn("final", final), "left", ("entry_cents", "final"))
+    return run_ledger(opened, keep, ("card_id", "segment"), "entry_cents", last=F.coalesce("final", F.lit(False)))

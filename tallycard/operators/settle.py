@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tallycard import schemas
 from tallycard.functions.bands import revised_limit, score_change, utilisation
 from tallycard.functions.money import cents, exact, from_cents
-from tallycard.operators.ledger import ORDER
+from tallycard.operators.ledger import LAST, ORDER
 
 
-# Columns of the transactions which the per-card totals need next to status and pending balance.
-TOTALS_FROM = ("card_id", "amount") + ORDER
+# Columns of the transactions which the per-card totals need next to status, pending balance and the mark of the last row.
+TOTALS_FROM = ("card_id", "amount")
 
 
 def approve_pending(transactions):
@@ -22,8 +22,13 @@ def approve_pending(transactions):
     return transactions.withColumn("status", approved)
 
 
-def _last_pending():
-    """Pending balance after the last row in (timestamp, transaction_id) order."""
+def _last_pending(transactions):
+    """Pending balance after the last row in (timestamp, transaction_id) order.
+
+    Where the ledger has marked that row, totals are hashed; else they are sorted by card.
+    """
+    if LAST in transactions.columns:
+        return F.max(F.when(F.col(LAST), F.col("pending_balance")))
     return F.max_by("pending_balance", F.struct(*ORDER))
 
 
@@ -33,7 +38,7 @@ def _approved_cents():
 
 def last_pending_balance(transactions):
     """Pending balance of each card after its last transaction."""
-    return transactions.groupBy("card_id").agg(_last_pending().alias("pending_balance"))
+    return transactions.groupBy("card_id").agg(_last_pending(transactions).alias("pending_balance"))
 
 
 def approved_sum(transactions):
@@ -51,7 +56,7 @@ def card_totals(transactions):
     card with most of the rows is no heavier than others.
     """
     return transactions.groupBy("card_id").agg(
-        _last_pending().alias("pending_balance"),
+        _last_pending(transactions).alias("pending_balance"),
         from_cents(_approved_cents()).alias("recalculated_pending"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from tallycard.operators import settle
 from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.operators.authorize import authorize
+from tallycard.operators.ledger import LAST
 
 
 @dataclass
@@ -22,7 +23,8 @@ class Settlement:
 def settle_day(authorised, cards, customers, stage=None):
     """Approve, reconcile, settle, re-score and re-limit, in this order.
 
-    Where `batch_transactions` is not wanted, `authorised` needs the columns `settle.TOTALS_FROM` only.
+    Where `batch_transactions` is not wanted, `authorised` needs the columns `settle.TOTALS_FROM` only. It either has the
+    mark of the last row of each card (`mark_last`) or the columns of their order.
 
     `stage(df, name)` may write a table and return it read back. It is called on the small tables that
     several results share, so that a job which stores all results aggregates the transactions once.
@@ -33,7 +35,7 @@ def settle_day(authorised, cards, customers, stage=None):
     settled = stage(settle.settle_balances(cards, totals), "settled_cards")
     scored = stage(settle.adjust_scores(customers, settled), "scored_customers")
     return Settlement(
-        batch_transactions=approved,
+        batch_transactions=approved.drop(LAST),
         discrepancies=settle.reconcile(totals, cards),
         cards_updated=settle.final_cards(settle.revise_limits(settled, scored)),
         customers_updated=settle.final_customers(scored),
@@ -42,7 +44,7 @@ def settle_day(authorised, cards, customers, stage=None):
 
 def process(transactions, cards, customers, heavy_rows=HEAVY_ROWS, stage=None):
     """Authorise raw transactions, then settle them."""
-    authorised = authorize(transactions, cards, customers, heavy_rows=heavy_rows)
+    authorised = authorize(transactions, cards, customers, heavy_rows=heavy_rows, mark_last=True)
     if stage:
         authorised = stage(authorised, "authorised")
     return settle_day(authorised, cards, customers, stage)

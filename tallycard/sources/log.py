@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tallycard import schemas
 from tallycard.functions.messages import as_message, decode
 from tallycard.operators.days import transactions_between
-from tallycard.operators.ledger import ORDER
+from tallycard.operators.heavy import HEAVY_ROWS
+from tallycard.streaming.replay import waves
 
 
 def to_messages(transactions):
@@ -23,13 +24,21 @@ def from_messages(messages):
     return decode(messages, schemas.TRANSACTIONS)
 
 
-def publish(transactions, servers, topic):
-    """Send transactions in time order within each card."""
-    ordered = transactions.repartition("card_id").sortWithinPartitions(*ORDER)
-    writer = to_messages(ordered).write.format("kafka")
+def send(messages, servers, topic):
+    writer = messages.write.format("kafka")
     writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
+def publish(transactions, servers, topic, heavy_rows=HEAVY_ROWS):
+    """Send transactions in time order within each card.
+
+    One task sends a card's rows, but not more than about `heavy_rows` of them in one job; what is left of the card follows
+    in the next one.
+    """
+    for wave in waves(transactions, heavy_rows):
+        send(to_messages(wave), servers, topic)
+
+
 def replay(transactions, servers, topic, ranges):
     """Send ranges of days, oldest first; each is sent in full before the next one starts."""
     for first, last in ranges:

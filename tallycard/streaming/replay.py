@@ -3,12 +3,19 @@
 A slice is fully written before the next one starts, so a file stream reads them in this order.
 """
 
+import time
 from itertools import accumulate
 
 from pyspark.sql import functions as F
 
+from tallycard.operators import heavy
 from tallycard.operators.days import day_counts, transactions_between
+from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.operators.ledger import ORDER
+from tallycard.sources.scratch import scratch_dir
+
+# A column of the stored rows of heavy cards.
+SEGMENT = "replay_segment"
 
 
 def day_ranges(transactions, count):
@@ -34,18 +41,86 @@ def _layout(folder, by_card):
     return f"{folder}/{'by_card' if by_card else 'as_read'}"
 
 
-def replay(transactions, folder, ranges, by_card=False):
+def waves(transactions, heavy_rows=HEAVY_ROWS):
+    """The rows as frames to be written one after the other, in which no card has more than about `heavy_rows` rows.
+
+    In a frame each card's rows are in one partition, in order, and they come before those in the next frame. Where no card
+    is that heavy, there is one frame. Otherwise the rows of heavy cards are cut by (card, time, id) into segments
+    and stored; a card's first segment goes with the light cards, its second one into the next frame, and so on. So there are as
+    many frames as segments of the heaviest card, and each frame's work is spread over the cards it holds.
+    """
+    found = heavy.find(transactions, heavy_rows)
+    if found is None:
+        yield _by_card(transactions)
+        return
+    spark, path = transactions.sparkSession, scratch_dir(transactions.sparkSession, "waves")
+    cut = (
+        found.only(transactions)
+        .repartitionByRange(found.segments, "card_id", *ORDER)
+        .withColumn(SEGMENT, F.spark_partition_id())
+        .sortWithinPartitions(SEGMENT, "card_id", *ORDER)
+    )
+    cut.write.partitionBy(SEGMENT).parquet(path)
+    stored = spark.read.schema(cut.schema).parquet(path)
+    later = _continued(stored)
+    continued = F.broadcast(_heads(stored, later))
+    same = F.col(SEGMENT).eqNullSafe(F.col("of_segment")) & F.col("card_id").eqNullSafe(F.col("of_card"))
+    first = stored.join(continued, same, "left_anti").drop(SEGMENT)
+    yield _by_card(found.without(transactions).unionByName(first))
+    for wave in sorted(set(later.values())):
+        own = [segment for segment, number in later.items() if number == wave]
+        rows = stored.where(F.col(SEGMENT).isin(own)).join(continued, same, "left_semi")
+        yield rows.repartition(len(own), SEGMENT).sortWithinPartitions("card_id", *ORDER).drop(SEGMENT)
+
+
+def _by_card(rows):
+    return rows.repartition("card_id").sortWithinPartitions("card_id", *ORDER)
+
+
+def _ends(stored):
+    """The first and the last card of each segment. NULL is before all others."""
+    card = F.struct(F.col("card_id").isNotNull().alias("known"), F.col("card_id").alias("card"))
+    return stored.groupBy(SEGMENT).agg(F.min(card).alias("first"), F.max(card).alias("last"))
+
+
+def _continued(stored):
+    """Segments that begin with more rows of a card that earlier ones hold: segment -> how many of them do.
+
+    The driver sees two cards for each segment.
+    """
+    later, before, last_wave = {}, None, 0
+    for row in _ends(stored).orderBy(SEGMENT).collect():
+        wave = last_wave + 1 if row["first"] == before else 0
+        if wave:
+            later[row[SEGMENT]] = wave
+        before, last_wave = row["last"], wave if row["first"] == row["last"] else 0
+    return later
+
+
+def _heads(stored, later):
+    """The first cards of the continued segments."""
+    ends = _ends(stored.where(F.col(SEGMENT).isin(list(later))))
+    return ends.select(F.col(SEGMENT).alias("of_segment"), F.col("first.card").alias("of_card"))
+
+
+def replay(transactions, folder, ranges, by_card=False, heavy_rows=HEAVY_ROWS, tick=1.0):
     """Append each range of days to the landing folder, one job after the other.
 
     Without `by_card` a slice is written as it is read; a micro-batch then takes whole slices. With
-    `by_card` all rows of a card in a slice are in one file, sorted, so that a micro-batch may end
-    after any file without putting a card's rows out of order.
+    `by_card` the rows of a card in a slice are in one file, sorted, so that a micro-batch may end
+    after any file without putting a card's rows out of order. A card with more than about `heavy_rows` rows in a slice is in
+    several files, which are written one after the other (`waves`), at least `tick` seconds apart: a file
+    stream reads them by the time they were written at, and some stores keep no more than its seconds.
     """
     for first, last in ranges:
         part = transactions_between(transactions, first, last)
-        if by_card:
-            part = part.repartition("card_id").sortWithinPartitions("card_id", *ORDER)
-        part.write.mode("append").parquet(_layout(folder, by_card))
+        if not by_card:
+            part.write.mode("append").parquet(_layout(folder, by_card))
+            continue
+        for number, wave in enumerate(waves(part, heavy_rows)):
+            if number:
+                time.sleep(tick)
+            wave.write.mode("append").parquet(_layout(folder, by_card))
 
 
 def landed(spark, folder, schema, by_card=False, max_bytes=256 * 2**20, max_files=None):

@@ -4,6 +4,7 @@ import datetime
 import re
 
 from tallycard import schemas
+from tallycard.operators.rules import BOOKED
 
 NOON = datetime.datetime(2024, 1, 5, 12)
 HOME = "4 Elm Rd, Delta, WA 31472"
@@ -34,6 +35,13 @@ def transactions(spark, *rows):
     return spark.createDataFrame(full, schemas.TRANSACTIONS)
 
 
+def step(balance, kind, cents, limit):
+    """One transaction against a balance, in the rules' kinds: (approved, balance after it)."""
+    total = balance + cents
+    approved = kind >= BOOKED and total <= limit
+    return approved, total if approved or kind == BOOKED else balance
+
+
 def zip_of(address):
     found = re.search(r",\s[A-Z]{2}\s(\d{5})$", (address or "").strip())
     return found.group(1) if found else ""

@@ -8,9 +8,9 @@ from hypothesis import strategies as st
 
 import bank
 from tallycard.operators.authorize import authorize, declined_report, unknown_card_declines
+from tallycard.operators import ledger
 from tallycard.operators.ledger import settle
 from tallycard.operators.rules import BLOCKED, BOOKED, GUARDED
-from tallycard.streaming.authorize import step
 
 
 def judge(spark, cases, limit=1000.0, balance=0.0, home=bank.HOME):
@@ -163,7 +163,7 @@ def test_settle_equals_the_walk_row_by_row(cards, batch):
         balance = total = opening
         for number, (what, amount) in enumerate(rows):
             total += amount if what >= BOOKED else 0
-            approved, balance = step(balance, what, amount, bound)
+            approved, balance = bank.step(balance, what, amount, bound)
             starts.append(number == 0)
             kind.append(what)
             cents.append(amount)
@@ -178,6 +178,50 @@ def test_settle_equals_the_walk_row_by_row(cards, batch):
     assert found == expected
 
 
+def long_card(name, count, seed=0):
+    """(kind, cents, limit) of one card with many rows."""
+    rng, at = np.random.default_rng(seed), np.arange(count)
+    if name == "always at the limit":
+        return np.full(count, GUARDED), 700 + rng.integers(0, 9000, count), 500_000
+    if name == "refunds keep pace":
+        refund = at % 7 == 0
+        return np.where(refund, BOOKED, GUARDED), np.where(refund, -30_000, rng.integers(1000, 10_000, count)), 500_000
+    if name == "rare refunds":
+        refund = rng.random(count) < 0.002
+        return np.where(refund, BOOKED, GUARDED), np.where(refund, -200_000, rng.integers(100, 5000, count)), 500_000
+    if name == "credits that are declined":
+        return np.full(count, GUARDED), rng.integers(-5000, 5000, count), -20_000
+    kind = rng.choice([BLOCKED, BOOKED, GUARDED], count, p=[0.1, 0.1, 0.8])
+    return kind, rng.integers(-2000, 9000, count), 500_000
+
+
+LONG = ["always at the limit", "refunds keep pace", "rare refunds", "credits that are declined", "all kinds"]
+
+
+@pytest.mark.parametrize("name", LONG)
+@pytest.mark.parametrize("near, stretch, block", [(48, 512, 64), (0, 1, 64), (3, 5, 2), (10**9, 40, 64)])
+def test_runs_equal_the_walk_row_by_row(monkeypatch, name, near, stretch, block):
+    for name_of, value in (("NEAR", near), ("STRETCH", stretch), ("BLOCK", block), ("SHORT", 0)):
+        monkeypatch.setattr(ledger, name_of, value)
+    for count in (1, 63, 64, 65, 3000):
+        kind, cents, limit = long_card(name, count)
+        balance, expected = 100, []
+        for what, amount in zip(kind.tolist(), cents.tolist()):
+            approved, balance = bank.step(balance, what, amount, limit)
+            expected.append((approved, balance))
+        booked = 100 + np.cumsum(np.where(kind >= BOOKED, cents, 0))
+        for batch in (count, 1000):
+            shift, found = 0, []
+            for at in range(0, count, batch):
+                part = slice(at, at + batch)
+                starts = np.arange(count)[part] == 0
+                approved, after, shift = settle(
+                    starts, kind[part], cents[part], booked[part], np.full(count, limit)[part], shift
+                )
+                found += zip(approved.tolist(), after.tolist())
+            assert found == expected
+
+
 def wild(seed, count, hot=0):
     """Random rows on 12 cards; a share of `hot` of them on card 1."""
     random.seed(seed)

@@ -117,3 +117,20 @@ def test_heavy_cards_are_found_once_for_several_runs(spark, rows):
     expected = rows(authorize(*given, heavy_rows=None))
     assert rows(authorize(*given, found=found)) == expected
     assert rows(authorize(*given, found=found)) == expected
+
+
+def test_rounds_read_open_segments_only(spark, rows, monkeypatch):
+    tables = one_card(spark, "(hash(id) % 200000) / 100")
+    seen, walk = [], heavy._walk
+
+    def watched(found, rows, entries, number):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        seen.append((entries.select("segment").distinct().count(), "PartitionFilters: [isnotnull(segment" in plan or "PartitionFilters: [segment" in plan))
+        return walk(found, rows, entries, number)
+
+    whole = rows(authorize(*tables, heavy_rows=None))
+    monkeypatch.setattr(heavy, "_walk", watched)
+    assert rows(authorize(*tables, heavy_rows=100)) == whole
+    assert len(seen) > 1 and not seen[0][1]
+    assert all(pruned for _, pruned in seen[1:])
+    assert sum(count for count, _ in seen[1:]) < seen[0][0] * (len(seen) - 1)

@@ -1,9 +1,14 @@
 import pytest
+from pyspark.sql import functions as F
+
 import bank
-from tallycard import schemas
+from tallycard import fixtures, schemas
 from tallycard.operators import settle
+from tallycard.operators.authorize import authorize
 from tallycard.plans import batch
 
+from conftest import DATA
+
 
 def authorised(spark, *rows):
     """(id, card_id, amount, status, pending_balance[, minute])"""
@@ -135,3 +140,39 @@ def test_totals_beyond_the_old_bound(spark, rows):
     (customer, balance, limit, usage), = rows(settle.credit_utilisation(cards))
     assert (customer, balance, limit) == (10, 1e17 + 100, 1e17 + 1000)
     assert usage == pytest.approx(100.0)
+
+
+def _plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_totals_of_marked_rows_are_hashed_without_a_sort(spark, rows):
+    tables = fixtures.Bank(spark, DATA)
+    given = [tables[name] for name in ("transactions", "cards", "customers")]
+    plain = settle.card_totals(settle.approve_pending(authorize(*given)))
+    marked = authorize(*given, columns=settle.TOTALS_FROM, mark_last=True)
+    totals = settle.card_totals(settle.approve_pending(marked))
+    assert rows(totals) == rows(plain)
+    split = authorize(*given, columns=settle.TOTALS_FROM, mark_last=True, heavy_rows=6)
+    assert rows(settle.card_totals(settle.approve_pending(split))) == rows(plain)
+    last = settle.last_pending_balance(marked)
+    assert rows(last) == rows(plain, "card_id", "pending_balance")
+    plan = _plan(last)
+    assert "SortAggregate" not in plan
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    # The only sorts belong to the join and the ledger's window, below the Python step.
+    assert "Sort" not in final[: final.index("MapInArrow")]
+
+
+def test_one_row_of_each_card_is_marked(spark):
+    tables = fixtures.Bank(spark, DATA)
+    given = [tables[name] for name in ("transactions", "cards", "customers")]
+    for heavy_rows in (None, 5):
+        marked = authorize(*given, mark_last=True, heavy_rows=heavy_rows).where("pending_balance IS NOT NULL")
+        found = marked.groupBy("card_id").agg(
+            F.count_if("last_of_card").alias("marked"),
+            F.max_by("last_of_card", F.struct("timestamp", "transaction_id")).alias("right"),
+        )
+        assert found.where("marked <> 1 OR NOT right").count() == 0
+        assert found.count() > 100

@@ -267,3 +267,120 @@ def test_micro_batches_write_the_cards_they_touch(spark, folder, rows, monkeypat
     ]
     found = rows(authorised_batches(spark, f"{folder}/out"), "transaction_id", "status")
     assert found == [(n, "declined" if n == 5 else "pending") for n in range(1, 7)]
+
+
+def hot_and_cold(spark, rows=1200):
+    """Half of the rows on card 1, a sixth on card 2, a few without a card, others on light cards."""
+    card = F.expr("CASE WHEN id % 2 = 0 THEN 1 WHEN id % 3 = 0 THEN 2 WHEN id % 100 = 1 THEN NULL ELSE 10 + id % 37 END")
+    numbered = spark.range(rows).withColumn("card", card.cast("bigint"))
+    transactions = numbered.select(
+        F.col("id").alias("transaction_id"),
+        F.col("card").alias("card_id"),
+        F.lit("m, \"n\"").alias("merchant_name"),
+        F.expr("timestamp_ntz '2024-01-01 00:00:00.000007' + make_interval(0, 0, 0, 0, 0, id div 20)").alias("timestamp"),
+        F.expr("CAST(7 + id % 90 AS DOUBLE)").alias("amount"),
+        F.lit(bank.NEAR).alias("location"),
+        F.expr("IF(id % 11 = 0, 'refund', 'purchase')").alias("transaction_type"),
+        F.expr("IF(id % 5 = 0, CAST(id AS STRING), NULL)").alias("related_transaction_id"),
+    )
+    held = [(n, 10, 5000.0, 100.0) for n in [1, 2, *range(10, 47)]]
+    return transactions, bank.cards(spark, *held), bank.customers(spark, (10, bank.HOME))
+
+
+def test_a_hot_card_lands_in_many_files_and_micro_batches(spark, folder, rows):
+    transactions, cards, customers = hot_and_cold(spark)
+    replay(transactions, f"{folder}/in", day_ranges(transactions, 1), by_card=True, heavy_rows=100, tick=0.01)
+    landing = spark.read.parquet(f"{folder}/in/by_card").withColumn("file", F.input_file_name())
+    assert rows(landing.drop("file")) == rows(transactions)
+    files = landing.groupBy("card_id").agg(F.countDistinct("file").alias("files"), F.max("amount").alias("amount"))
+    counts = {row["card_id"]: row["files"] for row in files.collect()}
+    assert counts[1] >= 5 and counts[2] >= 2 and counts[None] == 1 and counts[12] == 1
+    assert landing.where("card_id = 1").groupBy("file").count().agg(F.max("count")).first()[0] <= 200
+    stream = landed(spark, f"{folder}/in", schemas.TRANSACTIONS, by_card=True, max_files=1)
+    judged = authorize_stream(stream, cards, customers, buckets=4)
+    assert drain(judged, f"{folder}/out", f"{folder}/checkpoint") == 1200
+    assert rows(spark.read.parquet(f"{folder}/out")) == rows(authorize(transactions, cards, customers))
+
+
+def test_waves_keep_the_order_of_each_card(spark, monkeypatch):
+    from tallycard.sources import log
+
+    transactions, *_ = hot_and_cold(spark, 600)
+    sent = []
+
+    def send(messages, servers, topic):
+        partition = F.spark_partition_id().alias("partition")
+        sent.append(messages.withColumn("partition", partition).collect())
+
+    monkeypatch.setattr(log, "send", send)
+    log.publish(transactions, "nowhere", "topic", heavy_rows=50)
+    assert len(sent) >= 5
+    seen = {}
+    for wave in sent:
+        partitions = {}
+        for row in wave:
+            partitions.setdefault(row["key"], set()).add(row["partition"])
+            number = int(row["value"].split('"transaction_id":')[1].split(",")[0])
+            seen.setdefault(row["key"], []).append(number)
+        assert all(len(held) == 1 for held in partitions.values())
+    assert all(numbers == sorted(numbers) for numbers in seen.values())
+    assert sorted(number for numbers in seen.values() for number in numbers) == list(range(600))
+
+
+def test_the_fold_equals_plain_rules():
+    """Random cards over several rounds, against the rules in plain floats."""
+    import numpy as np
+
+    from tallycard.operators.rules import BLOCKED, BOOKED, GUARDED, VOID
+
+    rng = np.random.default_rng(5)
+    known, plain = streaming.Balances(), {}
+    for _ in range(6):
+        n = 900
+        card, kind = rng.integers(0, 12, n), rng.choice([VOID, BLOCKED, BOOKED, GUARDED], n, p=[0.05, 0.1, 0.15, 0.7])
+        cents, number = rng.integers(-3000, 5000, n), rng.permutation(n)
+        moment = rng.integers(0, 50, n)
+        limit, opening = card * 2000 + 1000, card * 10
+        order, approved, balance, cards, after = streaming.fold(known, card, moment, number, kind, cents, limit, opening)
+        expected, touched = [], set()
+        for at in sorted(np.flatnonzero(kind != VOID), key=lambda at: (card[at], moment[at], number[at])):
+            own = int(card[at])
+            before = plain.get(own, int(opening[at]))
+            ok = kind[at] >= BOOKED and before + cents[at] <= limit[at]
+            if ok or kind[at] == BOOKED:
+                before, _ = before + int(cents[at]), touched.add(own)
+                plain[own] = before
+            expected.append((at, ok, before))
+        assert list(zip(order, approved, balance)) == expected
+        assert dict(zip(cards.tolist(), after.tolist())) == {own: plain[own] for own in touched}
+        known = streaming.Balances(*known.updated(cards, after))
+    assert known.cards.tolist() == sorted(plain)
+
+
+def test_texts_and_times_pass_unchanged(spark, folder, rows):
+    odd = [
+        (1, 1, 'quote " comma , \\ slash \n line \u2603', "0001-01-01 00:00:00.000001"), (2, 1, "", "9999-12-31 23:59:59.999999"),
+        (3, 1, None, None), (2**62, 1, "null", "2024-03-31 02:30:00"), (-(2**62), 1, "NaN", "1582-10-10 00:00:00"),
+    ]
+    made = spark.createDataFrame(
+        [(n, card, text, when) for n, card, text, when in odd], "transaction_id long, card_id long, merchant_name string, at string"
+    ).selectExpr(
+        "transaction_id", "card_id", "merchant_name", "CAST(at AS timestamp_ntz) AS timestamp", "0.1D AS amount",
+        f"'{bank.NEAR}' AS location", "'purchase' AS transaction_type", "merchant_name AS related_transaction_id",
+    ).to(schemas.TRANSACTIONS)
+    cards, customers = bank.cards(spark, (1, 10, 1000.0, 100.0)), bank.customers(spark, (10, bank.HOME))
+    made.write.parquet(f"{folder}/in/as_read")
+    stream = authorize_stream(landed(spark, f"{folder}/in", made.schema), cards, customers)
+    drain(stream, f"{folder}/out", f"{folder}/checkpoint")
+    assert rows(spark.read.parquet(f"{folder}/out")) == rows(authorize(made, cards, customers))
+
+
+def test_many_micro_batches_are_counted(spark, folder):
+    transactions, cards, customers = hot_and_cold(spark, 120)
+    transactions.repartition(40).write.parquet(f"{folder}/in/by_card")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        stream = landed(spark, f"{folder}/in", schemas.TRANSACTIONS, by_card=True, max_files=4)
+        assert drain(stream, f"{folder}/out", f"{folder}/checkpoint") == 120
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
