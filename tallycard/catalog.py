@@ -264,7 +264,7 @@ def primary_key_check(bank):
 @_query
 def completeness_check(bank):
     key = schemas.PRIMARY_KEYS["transactions"]
-    return checks.completeness(bank["transactions"], _authorised(bank, columns=(key,)), key)
+    return checks.completeness(bank["transactions"], _authorised(bank, columns=(key, "timestamp")), key)
 
 
 @_query

@@ -25,6 +25,27 @@ def as_message(schema):
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
+_BROKEN = "_broken"
+
+
+def decode_with_broken(messages, schema, column="value"):
+    """Typed columns, and next to them `broken`: the text of a message that does not fit the schema, else NULL.
+
+    What is no JSON object, a missing message, and a value of a wrong type are broken. Fields that are missing are NULL.
+    """
+    text = F.col(column).cast("string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    parsed = F.from_json(text, T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())]), options)
+    # A text that is no object at all may come back as a row of NULL.
+    is_object = F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
+    fits = F.col("message").isNotNull() & F.col(f"message.{_BROKEN}").isNull() & F.col("is_object")
+    read = messages.select(text.alias("text"), is_object.alias("is_object"), parsed.alias("message"))
+    return read.select(
+        *[F.col(f"message.{name}").alias(name) for name in schema.names],
+        F.when(~fits, F.coalesce("text", F.lit(""))).alias("broken"),
+    )
+
+
 def decode(messages, schema, column="value"):
     """Typed columns back from a JSON text (or bytes) column."""
     parsed = F.from_json(F.col(column).cast("string"), schema, {"mode": "FAILFAST"})

@@ -1,8 +1,8 @@
 """Money columns: DOUBLE at the edges, exact inside.
 
 Sums and comparisons run on whole cents (BIGINT) or DECIMAL(38,2), so their results depend neither
-on the order of addition nor on binary fractions. Amounts finer than a cent are out of contract;
-`off_cent` finds them. What is no number of cents at all, as NaN, stops the job; it never becomes
+on the order of addition nor on binary fractions. Amounts finer than a cent are out of contract:
+`off_cent` finds them, and transactions with a real part of a cent are declined. What is no number of cents at all, as NaN, stops the job; it never becomes
 another amount.
 """
 
@@ -43,6 +43,12 @@ def off_cent(amount):
     return F.coalesce(from_cents(whole) != amount, amount.isNotNull())
 
 
+def has_part_of_cent(amount):
+    """True where an amount is finer than a cent by more than sums of binary fractions are off (a millionth)."""
+    noise = F.greatest(F.lit(1e-6), F.abs(amount) * 1e-14)
+    return F.abs(from_cents(F.rint(amount * 100)) - amount) > noise
+
+
 def money_text(whole):
     """Shortest text with at least one decimal: 690000 -> 6900.0, 123456 -> 1234.56."""
     plain = (whole.cast("decimal(20,0)") / F.lit(100)).cast("decimal(20,2)").cast("string")

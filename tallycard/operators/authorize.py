@@ -10,7 +10,7 @@ from tallycard.operators.rules import VOID, accounts, always_booked, precheck
 
 # Columns that the reasons are made of, of the transaction and of its account.
 REASON_FROM = (
-    "rule", "cents", "limit_cents", "customer_id", "home_address", "card_id", "location", "transaction_type"
+    "rule", "amount", "cents", "limit_cents", "customer_id", "home_address", "card_id", "location", "transaction_type"
 )
 
 
@@ -27,7 +27,7 @@ def outcome(columns, reasons):
 def decline_reason():
     """Why a row was declined; NULL if it was not. Going over the limit beats the other reasons.
 
-    The wording is fixed, but for unknown limits and balances.
+    The wording is fixed, but for unknown limits and balances and for amounts finer than a cent.
     """
     total = F.col("balance_cents") + F.when(always_booked(), F.lit(0)).otherwise(F.col("cents"))
     limit = money_text(F.col("limit_cents"))
@@ -53,6 +53,7 @@ def decline_reason():
         .when(F.col("rule") == "limit", text("Credit limit of card ID ", shown("card_id"), " unknown"))
         .when(F.col("rule") == "balance", text("Balance of card ID ", shown("card_id"), " unknown"))
         .when(F.col("rule") == "amount", "Amount missing")
+        .when(F.col("rule") == "fraction", text("Amount ", shown("amount"), " is finer than a cent"))
         .when(total > F.col("limit_cents"), over)
         .when(F.col("rule") == "half", half)
         .otherwise(distance)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tallycard.functions.money import cents
+from tallycard.functions.money import cents, has_part_of_cent
 from tallycard.functions.places import zip_code, zips_close
 
 # The types which move a balance whatever the rules say. Case matters.
@@ -68,7 +68,8 @@ def precheck(transactions, accounts):
     """Transactions with their account, the cents to book and the `kind` of booking.
 
     `rule` names the stateless rule that declined a row. The distance rule counts only where the
-    half-limit rule passed.
+    half-limit rule passed. An amount that is finer than a cent is declined, whatever its type: cents are all a balance
+    holds, and no amount becomes another one.
     """
     rule = (
         F.when(F.col("has_card").isNull(), "card")
@@ -76,6 +77,7 @@ def precheck(transactions, accounts):
         .when(cents(F.col("credit_limit")).isNull(), "limit")
         .when(cents(F.col("current_balance")).isNull(), "balance")
         .when(cents(F.col("amount")).isNull(), "amount")
+        .when(has_part_of_cent(F.col("amount")), "fraction")
         .when(breaks_half_limit(), "half")
         .when(breaks_distance(), "distance")
     )

@@ -2,6 +2,7 @@
 
 from tallycard import schemas
 from tallycard.operators.checks import completeness, off_cent_amounts
+from tallycard.operators.days import DAY
 from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.plans.batch import settle_day
 from tallycard.sources.files import ingest_csv, write_table
@@ -39,14 +40,16 @@ def require_whole_cents(transactions):
 def authorise_history(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
     """Replay all transactions in `slices` ranges of days and authorise each as it has landed.
 
-    A slice is one micro-batch, so it may have any size and any card may dominate it.
+    A slice is one micro-batch, so it may have any size and any card may dominate it. Of transactions that are stored by
+    day, each slice reads the folders of its own days, so each row is read once.
     """
-    transactions = bank["transactions"].select(*schemas.TRANSACTIONS.names)
+    by_day = [DAY] if DAY in bank["transactions"].columns else []
+    transactions = bank["transactions"].select(*schemas.TRANSACTIONS.names, *by_day)
     landing, sink = f"{folder}/landing", f"{folder}/stream_transactions"
     for days in day_ranges(transactions, slices):
         replay(transactions, landing, [days])
         authorize_batches(
-            landed(spark, landing, transactions.schema),
+            landed(spark, landing, schemas.TRANSACTIONS),
             bank["cards"],
             bank["customers"],
             sink,
@@ -64,7 +67,7 @@ def whole(spark, csv, folder, slices=3, heavy_rows=HEAVY_ROWS):
     after the results.
     """
     bank = {
-        name: ingest_csv(spark, csv[name], schema, f"{folder}/ingested/{name}")
+        name: ingest_csv(spark, csv[name], schema, f"{folder}/ingested/{name}", by_day=name == "transactions")
         for name, schema in schemas.TABLES.items()
     }
     results = run(spark, bank, f"{folder}/run", slices, heavy_rows)

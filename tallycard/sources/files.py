@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+from tallycard.operators.days import DAY, with_day
+
 # Quotes inside a field are doubled, as spreadsheets and most CSV writers do.
 _READ = {"header": "true", "quote": '"', "escape": '"'}
 SINGLE_FILE_ROWS = 5_000_000
@@ -29,10 +31,16 @@ def read_csv(spark, path, schema):
     return rows.select(*schema.names)
 
 
-def ingest_csv(spark, csv_path, schema, table_path):
-    """Load a CSV file into a parquet table: all of it, or, where a row is bad, nothing."""
-    read_csv(spark, csv_path, schema).write.mode("errorifexists").parquet(table_path)
-    return spark.read.schema(schema).parquet(table_path)
+def ingest_csv(spark, csv_path, schema, table_path, by_day=False):
+    """Load a CSV file into a parquet table: all of it, or, where a row is bad, nothing.
+
+    `by_day` stores transactions in a folder for each day, so that readers of some days read no other. Rows are dealt by day
+    first, with large days over several tasks, so a day has few files.
+    """
+    rows = read_csv(spark, csv_path, schema)
+    if not by_day:
+        return write_table(rows, table_path)
+    return write_table(with_day(rows).hint("rebalance", DAY), table_path, [DAY])
 
 
 def write_csv(df, path, single_file=False):

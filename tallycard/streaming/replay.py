@@ -9,7 +9,7 @@ from itertools import accumulate
 from pyspark.sql import functions as F
 
 from tallycard.operators import heavy
-from tallycard.operators.days import day_counts, transactions_between
+from tallycard.operators.days import DAY, day_counts, transactions_between
 from tallycard.operators.heavy import HEAVY_ROWS
 from tallycard.operators.ledger import ORDER
 from tallycard.sources.scratch import scratch_dir
@@ -113,7 +113,7 @@ def replay(transactions, folder, ranges, by_card=False, heavy_rows=HEAVY_ROWS, t
     stream reads them by the time they were written at, and some stores keep no more than its seconds.
     """
     for first, last in ranges:
-        part = transactions_between(transactions, first, last)
+        part = transactions_between(transactions, first, last).drop(DAY)
         if not by_card:
             part.write.mode("append").parquet(_layout(folder, by_card))
             continue

@@ -326,3 +326,16 @@ def test_numbers_beyond_four_bytes(spark, rows, heavy_rows):
         authorize(made, cards, customers, heavy_rows=heavy_rows), "transaction_id", "card_id", "status"
     )
     assert found == [(first + n, card, "pending" if n < 3 else "declined") for n in range(6)]
+
+
+def test_parts_of_a_cent_are_declined(spark):
+    """No amount becomes another one: a hundred purchases of 0.004 leave the balance alone, and say why."""
+    tiny = [(n, 1, 0.004) for n in range(100)]
+    made = bank.transactions(spark, *tiny, (100, 1, 0.3), (101, 1, -0.001, "refund"), (102, 1, 0.1 + 0.2))
+    cards, customers = bank.cards(spark, (1, 10, 1000.0, 100.0)), bank.customers(spark, (10, bank.HOME))
+    judged = authorize(made, cards, customers, reasons=True).orderBy("transaction_id")
+    found = list(map(tuple, judged.select("transaction_id", "status", "pending_balance", "decline_reason").collect()))
+    assert found == [
+        *[(n, "declined", 100.0, "Amount 0.004 is finer than a cent") for n in range(100)], (100, "pending", 100.3, None),
+        (101, "declined", 100.3, "Amount -0.001 is finer than a cent"), (102, "pending", 100.6, None),
+    ]

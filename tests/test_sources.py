@@ -44,7 +44,7 @@ def test_csv_columns_are_matched_by_name(spark, folder):
     assert (row["customer_id"], row["address"], row["credit_score"]) == (7, bank.HOME, 700)
 
 
-@pytest.mark.parametrize("bad", ["x,1,1,c,06/26,1,1,2022-05-24", "3,1,1,c,06/26,much,1,2022-05-24"])
+@pytest.mark.parametrize("bad", ["x,1,1,c,11/27,1,1,2020-02-17", "3,1,1,c,11/27,much,1,2020-02-17"])
 def test_bad_csv_row_loads_nothing(spark, folder, bad):
     path = _file(folder, CARDS + [bad])
     with pytest.raises(Exception, match="FAILED_READ_FILE"):

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 import bank
 from tallycard import fixtures, schemas
+from tallycard.operators import checks
 from tallycard.operators.authorize import authorize
-from tallycard.operators.days import day_counts
+from tallycard.operators.days import day_counts, transactions_between
 from tallycard.plans import lambda_job
-from tallycard.sources.files import read_csv
+from tallycard.sources.files import ingest_csv, read_csv, write_csv
 from tallycard.streaming import authorize as streaming
 from tallycard.streaming.authorize import (
     authorize_batches,
@@ -384,3 +385,81 @@ def test_many_micro_batches_are_counted(spark, folder):
         assert drain(stream, f"{folder}/out", f"{folder}/checkpoint") == 120
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_broken_messages_are_set_apart(spark, folder, rows):
+    from pyspark.sql import types as T
+
+    from tallycard.sources.log import to_messages
+    from tallycard.streaming.intake import take_in, taken_in
+
+    transactions = fixtures.transactions(spark, DATA).limit(200).persist()
+    good = to_messages(transactions).select("value")
+    odd = ["", "no json", "[1, 2]", "7", '{"transaction_id": "x", "card_id": 1}', '{"transaction_id": 1, "amount": "much"}', "{"]
+
+    def send(frame):
+        frame.write.mode("append").parquet(f"{folder}/in")
+
+    def go():
+        stream = spark.readStream.schema("value string").parquet(f"{folder}/in")
+        paths = (f"{folder}/{name}" for name in ("out", "broken", "checkpoint"))
+        return take_in(stream, schemas.TRANSACTIONS, *paths)
+
+    send(good)
+    assert go() == (200, 0)
+    send(spark.createDataFrame([(text,) for text in odd] + [(None,)], "value string"))
+    assert go() == (0, 8)
+    send(good.limit(10))
+    assert go() == (10, 0) and go() == (0, 0)
+    broken = T.StructType([T.StructField("broken", T.StringType())])
+    assert rows(taken_in(spark, broken, f"{folder}/broken")) == sorted([(text,) for text in odd] + [("",)], key=repr)
+    found = taken_in(spark, schemas.TRANSACTIONS, f"{folder}/out")
+    assert found.count() == 210 and rows(found.distinct()) == rows(transactions)
+    transactions.unpersist()
+
+
+def test_each_slice_reads_its_own_days(spark, folder, rows):
+    tables = dict(fixtures.Bank(spark, DATA))
+    transactions = tables["transactions"].withColumn("timestamp", F.expr("IF(transaction_id = 7, NULL, timestamp)"))
+    write_csv(transactions, f"{folder}/csv")
+    by_day = ingest_csv(spark, f"{folder}/csv", schemas.TRANSACTIONS, f"{folder}/table", by_day=True)
+    assert by_day.columns == [*schemas.TRANSACTIONS.names, "day"]
+    assert rows(by_day.drop("day")) == rows(transactions)
+    ranges = day_ranges(by_day, 3)
+    assert ranges == day_ranges(transactions, 3)
+    read = 0
+    for first, last in ranges:
+        part = transactions_between(by_day, first, last)
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+        assert rows(part.drop("day")) == rows(transactions_between(transactions, first, last))
+        read += part.count()
+    assert read == transactions.count()
+    tables["transactions"] = by_day
+    found = lambda_job.authorise_history(spark, tables, f"{folder}/job", slices=2)
+    assert rows(found) == rows(authorize(transactions, tables["cards"], tables["customers"]))
+
+
+@pytest.mark.parametrize("change, words", [
+    ("lost", "short"), ("doubled", "over"), ("swapped", "short and over"), ("moved", "ok"), ("none", "ok"),
+])
+def test_fingerprints_find_what_keys_find(spark, change, words):
+    transactions = fixtures.transactions(spark, DATA).select("transaction_id", "timestamp").persist()
+    processed = {
+        "lost": transactions.where("transaction_id <> 7"),
+        "doubled": transactions.unionByName(transactions.where("transaction_id IN (7, 32)")),
+        "swapped": transactions.withColumn("transaction_id", F.expr("IF(transaction_id = 7, -1, transaction_id)")),
+        "moved": transactions.withColumn("timestamp", F.expr("IF(transaction_id = 7, NULL, timestamp)")),
+        "none": transactions,
+    }[change]
+    counts = checks.completeness(transactions, processed, "transaction_id").first().asDict()
+    by_key = checks._by_key(transactions, processed, "transaction_id").first().asDict()
+    assert counts["result"] == words and {name: counts[name] for name in by_key} == by_key
+    assert (counts["expected"], counts["processed"]) == (transactions.count(), processed.count())
+    odd = checks.day_differences(transactions, processed, "transaction_id").where("differ").count()
+    assert odd == {"lost": 1, "doubled": 2, "swapped": 1, "moved": 2, "none": 0}[change]
+    if change == "none":
+        found = checks.completeness(transactions, processed, "transaction_id")
+        found.collect()
+        assert "hashpartitioning(transaction_id" not in found._jdf.queryExecution().executedPlan().toString()
+    transactions.unpersist()
