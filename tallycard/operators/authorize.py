@@ -61,7 +61,8 @@ def decline_reason():
 
 
 def authorize(
-    transactions, cards, customers, reasons=False, heavy_rows=heavy.HEAVY_ROWS, columns=None, found=None, mark_last=False
+    transactions, cards, customers, reasons=False, heavy_rows=heavy.HEAVY_ROWS, columns=None, found=None, mark_last=False,
+    held=None,
 ):
     """Adds `status` (pending / declined) and `pending_balance` after each row.
 
@@ -76,9 +77,11 @@ def authorize(
     column when this is called. A job that authorises the same rows more than once passes what `heavy.find`
     gave it as `found`. Pass `heavy_rows=None` where no card can be that long.
 
+    `held` are the accounts, as `rules.accounts` makes them, where they are stored; cards and customers are not read then.
+
     `mark_last` adds `last_of_card`, true for the last row of each card, from which `settle` makes totals without sorting.
     """
-    held = accounts(cards, customers)
+    held = accounts(cards, customers) if held is None else held
     columns = list(columns or transactions.columns)
     keep = columns + ["kind"]
     if reasons:

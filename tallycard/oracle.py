@@ -216,6 +216,7 @@ def oracle_sql():
         ),
         "authorize_transactions": _sql("SELECT * FROM authorised", *_FOLD),
         "authorize_split_cards": _sql("SELECT * FROM authorised", *_FOLD),
+        "authorize_by_card": _sql("SELECT * FROM authorised", *_FOLD),
         "stream_authorize_batches": _sql("SELECT * FROM authorised", *_FOLD),
         "stream_authorize": _sql("SELECT * FROM authorised", *_FOLD),
         "declined_transactions": _sql(_DECLINED, *_FOLD),
