@@ -189,10 +189,17 @@ WITH h AS (
       WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
       WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
     FROM h)
+), said AS (
+  SELECT *, substr(md5(url), 1, 1) IN ('0', '1', '2') AS held_out,
+    CASE WHEN contains(url, '://') THEN
+      regexp_replace(host, '(^|\.)(com|example|net|org)(\.(com|example|net|org))*$', '')
+      || regexp_replace(path, '^(/de/|/en/|/fr/)', '/') || regexp_extract(url, '(?s)^.*?://[^/?#]*[^?#]*(.*)$', 1)
+    ELSE url END AS said
+  FROM u
 ), plain AS (
-  SELECT no, decided, regexp_replace(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
+  SELECT no, CASE WHEN NOT held_out THEN decided END AS decided, regexp_replace(translate(said, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
     'abcdefghijklmnopqrstuvwxyz000000000'), '[^a-z0./-]', '~', 'g') AS chars
-  FROM u
+  FROM said
 ), symbols AS (
   SELECT no, decided, pos, strpos('abcdefghijklmnopqrstuvwxyz0./-~', chars[pos]) AS x
   FROM plain, unnest(range(1, length(chars) + 1)) r(pos)
@@ -208,13 +215,13 @@ WITH h AS (
 ratios AS (SELECT gram, CAST(round(1000000 * (ln(good_p) - ln(bad_p))) AS BIGINT) AS ratio FROM m3
 ), scores AS (
   SELECT u.*, coalesce(s.difference, 0) AS difference
-  FROM u LEFT JOIN (
+  FROM said u LEFT JOIN (
     SELECT no, CAST((sum(ratio) - ((sum(ratio) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS difference
     FROM grams JOIN ratios USING (gram) GROUP BY no) s ON s.no = u.no
 ), bins AS (
   SELECT greatest(-2000, least(2000, CAST(floor(difference / 10000.0::DOUBLE) AS BIGINT))) AS bin,
     count(*) FILTER (decided = 'allow') AS good, count(*) FILTER (decided = 'block') AS bad
-  FROM scores WHERE decided IS NOT NULL GROUP BY 1
+  FROM scores WHERE decided IS NOT NULL AND held_out GROUP BY 1
 ), errors AS (
   SELECT bin, coalesce(sum(good) OVER o, 0)::DOUBLE / sum(good) OVER ()::DOUBLE
     + (sum(bad) OVER () - coalesce(sum(bad) OVER o, 0))::DOUBLE / sum(bad) OVER ()::DOUBLE AS error

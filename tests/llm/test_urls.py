@@ -31,7 +31,7 @@ def test_hosts_paths_and_rules(spark):
 
 
 def brute(rows, least=4, strength=8.0):
-    """difference per url, and the threshold, from (url, decided)."""
+    """difference per text, from (text, the verdict that it teaches)."""
     letters = urls.ALPHABET
 
     def symbols(url):
@@ -70,16 +70,51 @@ def brute(rows, least=4, strength=8.0):
     return difference
 
 
+def said(url):
+    """What the models read of a URL, for the rules' hosts and paths."""
+    if "://" not in (url or ""):
+        return url or ""
+    rest = url.split("://", 1)[1]
+    cut = min([rest.find(mark) for mark in "/?#" if mark in rest] or [len(rest)])
+    host, rest = rest[:cut].translate({code: code + 32 for code in range(65, 91)}), rest[cut:]
+    labels = host.split(".")
+    while labels and labels[-1] in ("net", "example", "com", "org"):
+        labels.pop()
+    for begin in ("/en/", "/de/", "/fr/"):
+        if rest.startswith(begin):
+            rest = rest[len(begin) - 1 :]
+            break
+    return ".".join(labels) + rest
+
+
 def test_differences_equal_brute_force(spark):
     pages = table(spark, DATA, "pages").limit(60)
-    values = [row["url"] for row in pages.collect()] + [None, "", "x://ÄÖ.example/Ü?1", "x://ÄÖ.example/Ü?1"]
+    values = [row["url"] for row in pages.collect()] + [
+        None, "", "x://ÄÖ.example/Ü?1", "x://ÄÖ.example/Ü?1", "no scheme", "x://example.com", "x://org.spam.example.org/en/?a://b",
+    ]
     parts = urls.ruled(made(spark, values).select("page_id", "url"))
-    decided = {row["page_id"]: row["rule_verdict"] for row in parts.collect()}
-    difference = brute([(url, decided[n]) for n, url in enumerate(values)])
+    rows = parts.withColumn("held_out", urls.held_out()).collect()
+    assert [row["said"] for row in rows] == [said(row["url"]) for row in rows]
+    taught = [(row["said"], None if row["held_out"] else row["rule_verdict"]) for row in rows]
+    assert any(row["held_out"] and row["rule_verdict"] for row in rows)
+    difference = brute(taught)
     found = urls.judge(made(spark, values)).collect()
     assert len(found) == len(values)
     for row in found:
-        assert abs(row["difference"] - difference(values[row["page_id"]])) <= 1
+        assert abs(row["difference"] - difference(said(values[row["page_id"]]))) <= 1
+
+
+def test_the_domain_does_not_decide(spark):
+    """Accepted URLs are about gardens and rejected ones about casinos; URLs that no rule decides are judged by that."""
+    words = {"org/fr": ["garden-rose", "tulip", "botany"], "net/de": ["casino-win", "jackpot", "poker"]}
+    values = []
+    for place, kinds in words.items():
+        end, begin = place.split("/")
+        values += [f"https://a.{kind}.example.{end}/{begin}/{kind}/{n}.html" for n in range(40) for kind in kinds]
+    undecided = [f"https://a.{kind}.example.com/en/{kind}/7.html" for kinds in words.values() for kind in kinds]
+    found = urls.judge(made(spark, values + undecided)).orderBy("page_id").collect()[len(values) :]
+    assert [row["verdict"] for row in found] == ["allow"] * 3 + ["block"] * 3
+    assert all(row["rule"] is None for row in found)
 
 
 def test_without_both_kinds_of_urls_all_others_are_allowed(spark):
