@@ -59,15 +59,16 @@ def authorise_history(spark, bank, folder, slices=3, heavy_rows=HEAVY_ROWS):
     return authorised_batches(spark, sink)
 
 
-def whole(spark, csv, folder, slices=3, heavy_rows=HEAVY_ROWS):
+def whole(spark, csv, folder, slices=3, heavy_rows=HEAVY_ROWS, by_day=False):
     """From CSV files to published views, in a new `folder`.
 
     `csv` names the file or folder of each table in `schemas.TABLES`. All of them are ingested before anything is
-    processed; a bad value in any stops the job there. Returns the published views by name; they are named
+    processed; a bad value in any stops the job there. `by_day` stores the transactions by day, which pays where a day has
+    rows for files of its own: each slice then reads its own days only. Returns the published views by name; they are named
     after the results.
     """
     bank = {
-        name: ingest_csv(spark, csv[name], schema, f"{folder}/ingested/{name}", by_day=name == "transactions")
+        name: ingest_csv(spark, csv[name], schema, f"{folder}/ingested/{name}", by_day=by_day and name == "transactions")
         for name, schema in schemas.TABLES.items()
     }
     results = run(spark, bank, f"{folder}/run", slices, heavy_rows)
