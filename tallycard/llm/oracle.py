@@ -90,7 +90,7 @@ WITH t AS (
 ), said AS (SELECT doc_id, lang, unnest(words) AS word FROM t
 ), ranked AS (
   SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place
-  FROM said WHERE length(word) <= 8 GROUP BY lang, word
+  FROM said GROUP BY lang, word
 ), top AS (SELECT lang, word, n FROM ranked WHERE place <= 32
 ), totals AS (SELECT lang, count(*) AS n FROM said GROUP BY lang
 ), word_ref AS (
@@ -129,7 +129,8 @@ WITH t AS (
     LEFT JOIN distances x ON x.doc_id = c.doc_id AND x.kind = 'char'
     LEFT JOIN distances y ON y.doc_id = c.doc_id AND y.kind = 'word'
 )
-SELECT *, NOT base_failed AND coalesce(char_distance, 0) <= 0.30 AND coalesce(word_distance, 0) <= 0.43 AS kept FROM base
+SELECT *, NOT base_failed AND coalesce(char_distance, 0) <= 0.30 AND coalesce(word_distance, 0) <=
+  least(0.43::DOUBLE, sqrt(0.04::DOUBLE + 8.0::DOUBLE / greatest(n_words, 1))) AS kept FROM base
 """
 
 _JACCARD = r"""

@@ -148,9 +148,9 @@ def _cutting(path, capacity, end_id, with_ids):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         held = ids[at : at + 4 * capacity]
-                        listed = np.frombuffer(held, dtype="<u4") if with_ids else None
+                        listed = np.frombuffer(held, dtype="<i4") if with_ids else None
                         rows.append((doc_id, piece, at // 4, len(held) // 4, zlib.crc32(held), listed))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
                 columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
                 names = [*(field.name for field in _schema(False)), "ids"]
                 yield pa.RecordBatch.from_arrays(columns[: 5 + with_ids], names=names[: 5 + with_ids])
@@ -163,7 +163,7 @@ def _schema(with_ids):
         ("doc_id", "piece", "start", "length", "ids_crc32"),
         (T.LongType(), T.IntegerType(), T.LongType(), T.LongType(), T.LongType()),
     )]
-    return T.StructType(fields + [T.StructField("ids", T.ArrayType(T.LongType()))] * with_ids)
+    return T.StructType(fields + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids)
 
 
 def cut(docs, path, capacity=2048, end_id=0, with_ids=False):
@@ -202,6 +202,13 @@ def pack(pieces, capacity=2048, shard_pieces=SHARD_PIECES):
 
 
 def pack_documents(docs, path, capacity=2048, end_id=0, shard_pieces=SHARD_PIECES, with_ids=False):
-    """All documents cut and packed. Each is encoded once; the pieces are stored before they are dealt."""
-    pieces = kept(cut(docs, path, capacity, end_id, with_ids), "pieces")
-    return pack(pieces, capacity, shard_pieces)
+    """All documents cut and packed. Each is encoded once; the pieces are stored before they are dealt.
+
+    With `with_ids` each piece has its `ids`. They are joined to the packed pieces, so no shard holds any.
+    """
+    pieces = cut(docs, path, capacity, end_id, with_ids)
+    if not with_ids:
+        return pack(kept(pieces, "pieces"), capacity, shard_pieces)
+    pieces = kept(pieces.withColumn("no", F.monotonically_increasing_id()), "pieces")
+    packed = pack(pieces.drop("ids"), capacity, shard_pieces)
+    return packed.join(pieces.select("no", "ids"), "no").drop("no")

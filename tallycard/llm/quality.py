@@ -5,10 +5,9 @@ shares of its `TOP_WORDS` most frequent words and of all others. A document is c
 Jensen-Shannon distance (base 2, from 0 to 1), for classes and for words. It fails if a distance is above
 its bound, where the text is long enough for the histogram to mean something.
 
-What `judged` gives in `kept` has one bound for words of all texts. `good_documents` also has the bound of the text's
-length: by chance alone, the squared distance of a text of n words from its own language is about 6 / n, while a text
-in another language, or of no words at all, is no farther off than the share of the common words allows (0.36 to 0.37
-for a share of a quarter), which is below MAX_WORD_DISTANCE.
+The bound for words depends on the text's length: by chance alone, the squared distance of a text of n words from its own
+language is about 6 / n, while a text in another language, or of no words at all, is no farther off than the share of the
+common words allows (0.36 to 0.37 for a share of a quarter).
 
 Only DataFrame functions are used. All counts are made within a document's row; the references are sums that
 are reduced before the shuffle, so a language or source with most of the rows sends a few rows per task.
@@ -29,8 +28,6 @@ from tallycard.llm.tables import kept, text_of
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 TOP_WORDS = 32
-# A frequent word is no longer than this.
-TOP_LENGTH = 8
 MIN_WORDS = 50
 MIN_CHARS = 200
 MAX_CHAR_DISTANCE = 0.30
@@ -89,15 +86,12 @@ def references(docs):
         *[F.sum(F.col("classes")[at]).alias(name) for at, name in enumerate(CLASSES)]
     )
     said = texts.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
-    # Null stands for all long words.
-    short = F.when(F.char_length("word") <= TOP_LENGTH, F.col("word"))
-    counts = said.groupBy("lang", short.alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    counts = said.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     counts = kept(counts, "quality-words")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("all_words"))
     frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = (
-        counts.where(F.col("word").isNotNull())
-        .withColumn("place", F.row_number().over(frequent))
+        counts.withColumn("place", F.row_number().over(frequent))
         .where(F.col("place") <= TOP_WORDS)
         .groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("top"))
@@ -188,6 +182,11 @@ def _measured(texts):
     ).drop("placed")
 
 
+def word_bound(n_words):
+    """The greatest word distance of a text of so many words in its own language."""
+    return F.least(F.lit(MAX_WORD_DISTANCE), F.sqrt(F.lit(WORD_SPREAD) + F.lit(WORD_NOISE) / F.greatest(n_words, F.lit(1))))
+
+
 def judged(docs):
     """The columns of `docs` in `row`, and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     char_distance, word_distance, kept."""
@@ -197,7 +196,7 @@ def judged(docs):
     rows = docs.select(F.struct("*").alias("row"), _language().alias("lang"), text_of().alias("text"))
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = _measured(with_classes(rows)).join(found, "lang", "left")
-    # Only short words are looked up.
+    # Only words as short as the frequent ones are looked up.
     short = F.filter("words", lambda w: F.char_length(w) <= F.col("top_length"))
     measured = measured.withColumn("short", short).drop("words")
     seen = F.transform("top_words", lambda w: F.size("short") - F.size(F.array_remove(F.col("short"), w)))
@@ -220,7 +219,7 @@ def judged(docs):
         }
     )
     diverges = F.coalesce(F.col("char_distance") > MAX_CHAR_DISTANCE, F.lit(False)) | F.coalesce(
-        F.col("word_distance") > MAX_WORD_DISTANCE, F.lit(False)
+        F.col("word_distance") > word_bound(F.col("n_words")), F.lit(False)
     )
     return distances.select(
         "row",
@@ -236,15 +235,9 @@ def judged(docs):
     )
 
 
-def word_bound(n_words):
-    """The greatest word distance of a text of so many words in its own language."""
-    return F.least(F.lit(MAX_WORD_DISTANCE), F.sqrt(F.lit(WORD_SPREAD) + F.lit(WORD_NOISE) / n_words))
-
-
 def good_documents(docs):
-    """The rows of `docs` that the rules keep, that of the word distance by the text's length among them."""
-    strange = F.coalesce(F.col("word_distance") > word_bound(F.col("n_words")), F.lit(False))
-    rows = judged(docs).select("row", (F.col("kept") & ~strange).alias("kept"))
+    """The rows of `docs` that the rules keep."""
+    rows = judged(docs).select("row", "kept")
     # A filter would be pushed down to the text and evaluate all of the above anew, lambda by lambda.
     once = F.filter(F.array("row"), lambda _: F.col("kept"))
     return rows.select(F.explode(once).alias("row")).select("row.*")

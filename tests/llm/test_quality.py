@@ -68,9 +68,10 @@ def test_texts_of_another_language_or_of_no_words_go(spark):
     )]
     strange = [(1000 + n, prose(lang, 200 + 50 * n), "xa") for n, lang in enumerate(["xb", "xc", "none"])]
     docs = made(spark, clean + strange)
-    distances = {row["doc_id"]: row["word_distance"] for row in
-                 quality.judged(docs).select("row.doc_id", "word_distance").collect()}
+    judged = quality.judged(docs).select("row.doc_id", "word_distance", "kept").collect()
+    distances = {row["doc_id"]: row["word_distance"] for row in judged}
     assert all(distances[doc_id] < quality.MAX_WORD_DISTANCE for doc_id, _, _ in strange)
+    assert {row["doc_id"] for row in judged if row["kept"]} == {doc_id for doc_id, _, _ in clean}
     kept = {row["doc_id"] for row in quality.good_documents(docs).collect()}
     assert kept == {doc_id for doc_id, _, _ in clean}
 
@@ -87,3 +88,14 @@ def test_distance_is_jensen_shannons(spark):
 def test_no_documents(spark):
     assert quality.judged(made(spark, [])).collect() == []
     assert quality.good_documents(made(spark, [])).collect() == []
+
+
+def test_long_words_are_common_words_too(spark):
+    """A language all of whose frequent words have nine letters and more."""
+    common = [f"{chr(97 + n % 26)}{chr(98 + n // 26)}verylongword" for n in range(32)]
+    texts = [(n, " ".join(common[(n + at) % 32] if at % 2 else f"rare{n}x{at}" for at in range(400)), "zz") for n in range(30)]
+    docs = made(spark, texts + [(99, " ".join(f"strange{at}q" for at in range(400)), "zz")])
+    row = quality.references(docs).where("lang = 'zz'").first()
+    assert sorted(row["top_words"]) == sorted(common)
+    judged = {row["doc_id"]: row["kept"] for row in quality.judged(docs).select("row.doc_id", "kept").collect()}
+    assert not judged.pop(99) and all(judged.values())
