@@ -93,7 +93,7 @@ def test_no_documents(spark):
 def test_long_words_are_common_words_too(spark):
     """A language all of whose frequent words have nine letters and more."""
     common = [f"{chr(97 + n % 26)}{chr(98 + n // 26)}verylongword" for n in range(32)]
-    texts = [(n, " ".join(common[(n + at) % 32] if at % 2 else f"rare{n}x{at}" for at in range(400)), "zz") for n in range(30)]
+    texts = [(n, " ".join(common[(n + at // 2) % 32] if at % 2 else f"rare{n}x{at}" for at in range(400)), "zz") for n in range(30)]
     docs = made(spark, texts + [(99, " ".join(f"strange{at}q" for at in range(400)), "zz")])
     row = quality.references(docs).where("lang = 'zz'").first()
     assert sorted(row["top_words"]) == sorted(common)
