@@ -15,6 +15,7 @@ from tallycard.sources.by_card import store_by_card
 from tallycard.sources.files import read_csv, write_csv
 from tallycard.sources.scratch import scratch_dir
 from tallycard.streaming.authorize import authorize_stream, drain
+from tallycard.streaming.intake import take_in, taken_in
 from tallycard.streaming.replay import day_ranges, landed, replay
 
 # The day the day query asks for.
@@ -183,6 +184,31 @@ def stream_authorize_batches(bank):
     return lambda_job.authorise_history(spark, bank, _scratch(bank, "stream"), slices=2)
 
 
+@_query
+def stream_hot_cards(bank):
+    """Cards with many rows land in several files, in order, and are authorised over several micro-batches."""
+    spark, folder = bank["transactions"].sparkSession, _scratch(bank, "hot")
+    days = day_ranges(bank["transactions"], 1)
+    replay(bank["transactions"], f"{folder}/landing", days, by_card=True, heavy_rows=SPLIT_ROWS)
+    stream = landed(spark, f"{folder}/landing", schemas.TRANSACTIONS, by_card=True, max_files=40)
+    drain(authorize_stream(stream, bank["cards"], bank["customers"]), f"{folder}/sink", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/sink")
+
+
+@_query
+def messages_taken_in(bank):
+    """What a stream of messages leaves in the table if every fiftieth is cut off in the middle."""
+    spark, folder = bank["transactions"].sparkSession, _scratch(bank, "intake")
+    whole = F.col("value")
+    half = F.substring(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int"))
+    sent = bank["transactions"].select("transaction_id", as_message(schemas.TRANSACTIONS).alias("value"))
+    sent = sent.select(F.when(F.col("transaction_id") % 50 == 0, half).otherwise(whole).alias("value"))
+    sent.write.parquet(f"{folder}/messages")
+    stream = spark.readStream.schema(sent.schema).parquet(f"{folder}/messages")
+    take_in(stream, schemas.TRANSACTIONS, f"{folder}/sink", f"{folder}/broken", f"{folder}/checkpoint")
+    return taken_in(spark, schemas.TRANSACTIONS, f"{folder}/sink")
+
+
 # Batch
 
 

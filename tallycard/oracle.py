@@ -219,6 +219,8 @@ def oracle_sql():
         "authorize_by_card": _sql("SELECT * FROM authorised", *_FOLD),
         "stream_authorize_batches": _sql("SELECT * FROM authorised", *_FOLD),
         "stream_authorize": _sql("SELECT * FROM authorised", *_FOLD),
+        "stream_hot_cards": _sql("SELECT * FROM authorised", *_FOLD),
+        "messages_taken_in": _sql("SELECT * FROM transactions WHERE transaction_id % 50 <> 0"),
         "declined_transactions": _sql(_DECLINED, *_FOLD),
         "stream_declined": _sql(_DECLINED, *_FOLD),
         "whole_job_from_csv": _sql(
