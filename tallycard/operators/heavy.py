@@ -7,6 +7,9 @@ range runs up to the closest accepted row and down to the closest declined one.
 each card from its true opening balance through these ranges. Where it leaves them, the segment is
 walked again from the balance reached. The first such segment of a card is always given its true
 balance, so every round settles at least one more, and the result equals the walk of the whole card.
+
+A segment is a number in a column, not a task or a file: parts of the sorted rows, as many as their size asks for,
+hold one long segment each or many short ones.
 """
 
 import math
@@ -14,7 +17,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,18 +31,24 @@ HEAVY_ROWS = 5_000_000
 SAMPLE_ROWS = 1_000
 # Cards and segments (a few numbers each, or an account) that are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
+# Rows of a part at least, so that short segments do not make as many tasks and files.
+PART_ROWS = 100_000
 
+# A segment's part, which its rows are stored by: the upper bits of its number.
+PART = "segment_part"
+_PART_BITS = 33  # what `monotonically_increasing_id` leaves for the rows of a partition
 # Columns of the chain behind the card's own.
-_CHAIN = "segment int, entry_cents bigint, known boolean"
+_CHAIN = "segment bigint, entry_cents bigint, known boolean"
 
 
 @dataclass
 class HeavyCards:
-    """The heavy cards of a table, `count` of them, and the number of segments to cut them into."""
+    """The heavy cards of a table, `count` of them, and the number of segments to cut them into, of `rows_each`."""
 
     cards: DataFrame
     count: int
     segments: int
+    rows_each: int
 
     def small(self, side):
         """A side with at most a row per heavy card and segment boundary, broadcast if that is few."""
@@ -51,6 +60,27 @@ class HeavyCards:
     def without(self, df):
         return self._match(df, self.cards, "left_anti")
 
+    def parts(self, segments=None):
+        """How many tasks so many segments are worth, by default all."""
+        return max(1, math.ceil((segments or self.segments) * self.rows_each / max(self.rows_each, PART_ROWS)))
+
+    def cut(self, rows, path):
+        """The rows of heavy cards by (card, time, id), stored with the number of their `segment`.
+
+        Each `rows_each` consecutive rows of a part are a segment. Parts are bounded by range partitioning, whatever a
+        card's share of the rows; the numbers rise with (card, time, id).
+        """
+        part = F.shiftright("segment", _PART_BITS)
+        first = F.shiftleft(part, _PART_BITS)
+        cut = (
+            rows.repartitionByRange(self.parts(), "card_id", *ORDER)
+            .sortWithinPartitions("card_id", *ORDER)
+            .withColumn("segment", F.monotonically_increasing_id())
+            .withColumns({"segment": first + F.floor((F.col("segment") - first) / self.rows_each), PART: part})
+        )
+        cut.write.partitionBy(PART).parquet(path)
+        return rows.sparkSession.read.schema(cut.schema).parquet(path)
+
     def opened(self, rows, entries, how, extra=("entry_cents",)):
         """Rows of segments with the balance their segment opens with."""
         return self._match(rows, entries, how, ("card_id", "segment"), extra)
@@ -84,6 +114,7 @@ def find(transactions, heavy_rows=HEAVY_ROWS):
         count=count,
         # The driver keeps one boundary per segment, so 10^12 heavy rows are 200,000 boundaries.
         segments=max(2, math.ceil(rows / share / heavy_rows)),
+        rows_each=heavy_rows,
     )
 
 
@@ -122,25 +153,69 @@ def _walk(found, rows, entries, number):
     )
 
 
-def _chain_card(walks):
-    """Follow one card through its segments. A few rows per segment, none of its transactions."""
-    walks = walks.sort_values(["segment", "number"])
-    balance = int(walks["opening_cents"].iloc[0])
-    out = []
-    for segment, tries in walks.groupby("segment", sort=True):
-        shift = balance - tries["entry_cents"]
-        fits = tries[~(shift > tries["up"]) & ~(-shift > tries["down"])]
-        out.append((walks["card_id"].iloc[0], segment, balance, len(fits) > 0))
-        if len(fits):
-            balance += int(fits["exit_cents"].iloc[0] - fits["entry_cents"].iloc[0])
-        else:
-            # Not known yet. Walks tend to meet at the limit, so carry on from the last one's close.
-            balance = int(tries["exit_cents"].iloc[-1])
-    return pd.DataFrame(out, columns=["card_id", "segment", "entry_cents", "known"])
+class _Follower:
+    """Follows cards from their true opening balance through their segments, walk by walk in the order of (card, segment, number)."""
+
+    def __init__(self):
+        self.card, self.segment, self.out = None, None, []
+
+    def take(self, card, segment, entry, opening, leaves, up, down):
+        if self.segment is None or card != self.card:
+            self.close()
+            self.card, self.segment, self.balance, self.fit = card, segment, opening, None
+        elif segment != self.segment:
+            self.close()
+            self.segment, self.fit = segment, None
+        shift = self.balance - entry
+        if self.fit is None and (up is None or shift <= up) and (down is None or -shift <= down):
+            self.fit = leaves - entry
+        self.last = leaves
+
+    def close(self):
+        """The segment's last walk is taken."""
+        if self.segment is None:
+            return
+        known = self.fit is not None
+        self.out.append((self.card, self.segment, self.balance, known))
+        # Where it is not known yet: walks tend to meet at the limit, so carry on from the last one's close.
+        self.balance = self.balance + self.fit if known else self.last
+
+    def given(self, schema):
+        rows, self.out = self.out, []
+        columns = zip(*rows) if rows else [[]] * len(schema)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(column), field.type) for column, field in zip(columns, schema)], schema=schema
+        )
+
+
+_WALKED = ("card_id", "segment", "entry_cents", "opening_cents", "exit_cents", "up", "down")
+
+
+def _following(batches):
+    """The chain of the cards of a partition: a few numbers per segment, none of its transactions."""
+    follower, schema = _Follower(), None
+    for batch in batches:
+        kind = batch.schema.field("card_id").type
+        schema = pa.schema(
+            [("card_id", kind), ("segment", pa.int64()), ("entry_cents", pa.int64()), ("known", pa.bool_())]
+        )
+        for walk in zip(*[batch.column(name).to_pylist() for name in _WALKED]):
+            follower.take(*walk)
+        yield follower.given(schema)
+    if schema:
+        follower.close()
+        yield follower.given(schema)
+
+
+def _chain(walks):
+    """The balance that each segment of a card opens with, as far as the walks tell it."""
+    kind = walks.schema["card_id"].dataType.simpleString()
+    in_order = walks.repartition("card_id").sortWithinPartitions("card_id", "segment", "number")
+    return in_order.select(*_WALKED).mapInArrow(_following, f"card_id {kind}, {_CHAIN}")
 
 
 def _entries(found, rows, folder):
-    """The true opening balance of every segment. Each round reads the rows of those segments that are still open."""
+    """The true opening balance of every segment. Each round reads the parts that hold segments that are still open."""
     spark = rows.sparkSession
     live = rows.where(F.col("kind") != VOID)
     todo, number, still = _first_guess(live), 0, live
@@ -148,36 +223,27 @@ def _entries(found, rows, folder):
         _walk(found, still, todo, number).write.parquet(f"{folder}/walks/{number}")
         walks = spark.read.parquet(*[f"{folder}/walks/{n}" for n in range(number + 1)])
         chained = f"{folder}/chain/{number}"
-        kind = walks.schema["card_id"].dataType.simpleString()
-        schema = f"card_id {kind}, {_CHAIN}"
-        walks.groupBy("card_id").applyInPandas(_chain_card, schema).write.parquet(chained)
+        _chain(walks).write.parquet(chained)
         entries = spark.read.parquet(chained)
         todo, number = entries.where(~F.col("known")), number + 1
-        open_ones = [row["segment"] for row in todo.select("segment").distinct().collect()]
+        part = F.shiftright("segment", _PART_BITS).alias(PART)
+        open_ones = [row[PART] for row in todo.select(part).distinct().collect()]
         if not open_ones:
             return entries
-        still = live.where(F.col("segment").isin(open_ones))
+        still = live.where(F.col(PART).isin(open_ones))
 
 
 def run_heavy_ledger(checked, keep, found, mark_last=False):
     """`run_ledger` for the prechecked rows of heavy cards.
 
-    Range partitioning on (card, order) cuts a card wherever a partition is full, whatever its share
-    of the rows. The rows are written once by segment, so later steps rely on data and not on
-    a physical partitioning; they read the columns and segments they need.
+    The rows are written once with their segment, so later steps rely on data and not on
+    a physical partitioning; they read the columns and parts they need.
     """
-    spark = checked.sparkSession
-    folder = scratch_dir(spark, "heavy-ledger")
+    folder = scratch_dir(checked.sparkSession, "heavy-ledger")
     facts = ["card_id", *ORDER, "kind", "cents", "limit_cents", "opening_cents"]
     columns = list(dict.fromkeys(list(keep) + facts))
-    cut = (
-        checked.select(*columns)
-        .repartitionByRange(found.segments, "card_id", *ORDER)
-        .withColumn("segment", F.spark_partition_id())
-    )
-    cut.write.partitionBy("segment").parquet(f"{folder}/rows")
-    rows = spark.read.schema(cut.schema).parquet(f"{folder}/rows")
-    entries = _entries(found, rows.select("segment", *facts), folder)
+    rows = found.cut(checked.select(*columns), f"{folder}/rows")
+    entries = _entries(found, rows.select(PART, "segment", *facts), folder)
     # Rows without an account have no entry and keep a NULL balance.
     if not mark_last:
         opened = found.opened(rows, entries, "left")

@@ -134,3 +134,46 @@ def test_rounds_read_open_segments_only(spark, rows, monkeypatch):
     assert len(seen) > 1 and not seen[0][1]
     assert all(pruned for _, pruned in seen[1:])
     assert sum(count for count, _ in seen[1:]) < seen[0][0] * (len(seen) - 1)
+
+
+def test_short_segments_share_parts(spark, rows, folder, monkeypatch):
+    transactions, _, customers = one_card(spark, "7 + id % 90", count=2000)
+    several = transactions.withColumn("card_id", F.expr("transaction_id % 40"))
+    cards = bank.cards(spark, *[(n, 10, 900.0, 100.0) for n in range(40)])
+    for part_rows, most in ((heavy.PART_ROWS, 1), (100, 21)):
+        monkeypatch.setattr(heavy, "PART_ROWS", part_rows)
+        found = heavy.find(several, 14)
+        assert found.segments == 143
+        cut = found.cut(several, f"{folder}/{most}")
+        assert cut.select(heavy.PART).distinct().count() <= most
+        sizes = cut.groupBy("segment").count()
+        assert 143 <= sizes.count() <= 143 + most
+        assert sizes.agg(F.max("count")).first()[0] == 14
+        in_order = cut.orderBy("card_id", "timestamp", "transaction_id").select("segment").collect()
+        assert in_order == sorted(in_order)
+    whole = rows(authorize(several, cards, customers, heavy_rows=None))
+    assert rows(authorize(several, cards, customers, heavy_rows=14)) == whole
+
+
+def test_chain_goes_on_over_batches():
+    import pyarrow as pa
+
+    walks = [
+        # card, segment, entry, opening, exit, up, down
+        (1, 0, 100, 100, 150, None, None),
+        (1, 2, 150, 100, 400, 5, 5),
+        (1, 5, 390, 100, 500, 9, None),  # 400 is too far from 390
+        (1, 5, 399, 100, 450, 1, 0),
+        (1, 7, 9, 100, 77, 0, 0),  # and so is 451 from 9
+        (1, 9, 77, 100, 80, 0, 0),
+        (2, 9, 2**60, 2**60, 2**60 + 1, 0, 0),
+    ]
+    schema = pa.schema([(name, pa.int64()) for name in heavy._WALKED])
+    whole = pa.RecordBatch.from_pylist([dict(zip(heavy._WALKED, walk)) for walk in walks], schema=schema)
+    expected = [
+        (1, 0, 100, True), (1, 2, 150, True), (1, 5, 400, True), (1, 7, 451, False), (1, 9, 77, True), (2, 9, 2**60, True)
+    ]
+    for size in (1, 2, 3, 7):
+        batches = [whole.slice(at, size) for at in range(0, len(walks), size)]
+        out = [tuple(row.values()) for batch in heavy._following(batches) for row in batch.to_pylist()]
+        assert out == expected
