@@ -6,6 +6,7 @@ A slice is fully written before the next one starts, so a file stream reads them
 import time
 from itertools import accumulate
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallycard.operators import heavy
@@ -15,7 +16,9 @@ from tallycard.operators.ledger import ORDER
 from tallycard.sources.scratch import scratch_dir
 
 # A column of the stored rows of heavy cards.
-SEGMENT = "replay_segment"
+WAVE = "replay_wave"
+# A wave of so many segments or fewer has a file of each; more of them share files, of about `heavy.PART_ROWS` rows at most.
+WAVE_FILES = 64
 
 
 def day_ranges(transactions, count):
@@ -47,60 +50,41 @@ def waves(transactions, heavy_rows=HEAVY_ROWS):
     In a frame each card's rows are in one partition, in order, and they come before those in the next frame. Where no card
     is that heavy, there is one frame. Otherwise the rows of heavy cards are cut by (card, time, id) into segments
     and stored; a card's first segment goes with the light cards, its second one into the next frame, and so on. So there are as
-    many frames as segments of the heaviest card, and each frame's work is spread over the cards it holds.
+    many frames as segments of the heaviest card, and each frame's work is spread over the cards it holds, in files whose
+    number grows with the rows and not with the segments.
     """
     found = heavy.find(transactions, heavy_rows)
     if found is None:
         yield _by_card(transactions)
         return
-    spark, path = transactions.sparkSession, scratch_dir(transactions.sparkSession, "waves")
-    cut = (
-        found.only(transactions)
-        .repartitionByRange(found.segments, "card_id", *ORDER)
-        .withColumn(SEGMENT, F.spark_partition_id())
-        .sortWithinPartitions(SEGMENT, "card_id", *ORDER)
-    )
-    cut.write.partitionBy(SEGMENT).parquet(path)
-    stored = spark.read.schema(cut.schema).parquet(path)
-    later = _continued(stored)
-    continued = F.broadcast(_heads(stored, later))
-    same = F.col(SEGMENT).eqNullSafe(F.col("of_segment")) & F.col("card_id").eqNullSafe(F.col("of_card"))
-    first = stored.join(continued, same, "left_anti").drop(SEGMENT)
-    yield _by_card(found.without(transactions).unionByName(first))
-    for wave in sorted(set(later.values())):
-        own = [segment for segment, number in later.items() if number == wave]
-        rows = stored.where(F.col(SEGMENT).isin(own)).join(continued, same, "left_semi")
-        yield rows.repartition(len(own), SEGMENT).sortWithinPartitions("card_id", *ORDER).drop(SEGMENT)
-
-
-def _by_card(rows):
-    return rows.repartition("card_id").sortWithinPartitions("card_id", *ORDER)
-
-
-def _ends(stored):
-    """The first and the last card of each segment. NULL is before all others."""
-    card = F.struct(F.col("card_id").isNotNull().alias("known"), F.col("card_id").alias("card"))
-    return stored.groupBy(SEGMENT).agg(F.min(card).alias("first"), F.max(card).alias("last"))
-
-
-def _continued(stored):
-    """Segments that begin with more rows of a card that earlier ones hold: segment -> how many of them do.
-
-    The driver sees two cards for each segment.
+    folder = scratch_dir(transactions.sparkSession, "waves")
+    stored, held = _numbered(found, found.cut(found.only(transactions), f"{folder}/segments"), f"{folder}/waves")
+    yield _by_card(found.without(transactions).unionByName(stored.where(F.col(WAVE) == 0).drop(WAVE)))
+    for wave in range(1, len(held)):
+        files = max(min(held[wave], WAVE_FILES), found.parts(held[wave]))
+        yield _by_card(stored.where(F.col(WAVE) == wave).drop(WAVE), files)
+
+
+def _by_card(rows, files=None):
+    dealt = rows.repartition(files, "card_id") if files else rows.repartition("card_id")
+    return dealt.sortWithinPartitions("card_id", *ORDER)
+
+
+def _numbered(found, cut, path):
+    """The rows stored by the wave they belong to, and how many cards each wave holds.
+
+    A card's first segment belongs to wave 0, its second one to wave 1, and so on. The driver sees one number per wave.
     """
-    later, before, last_wave = {}, None, 0
-    for row in _ends(stored).orderBy(SEGMENT).collect():
-        wave = last_wave + 1 if row["first"] == before else 0
-        if wave:
-            later[row[SEGMENT]] = wave
-        before, last_wave = row["last"], wave if row["first"] == row["last"] else 0
-    return later
-
-
-def _heads(stored, later):
-    """The first cards of the continued segments."""
-    ends = _ends(stored.where(F.col(SEGMENT).isin(list(later))))
-    return ends.select(F.col(SEGMENT).alias("of_segment"), F.col("first.card").alias("of_card"))
+    segments = cut.select("card_id", "segment").distinct()
+    place = F.row_number().over(Window.partitionBy("card_id").orderBy("segment")) - 1
+    segments.withColumn(WAVE, place).write.parquet(f"{path}-of-segments")
+    segments = cut.sparkSession.read.parquet(f"{path}-of-segments")
+    held = dict(segments.groupBy(WAVE).agg(F.count(F.lit(1))).collect())
+    rows = found.opened(cut, segments, "inner", (WAVE,)).drop("segment", heavy.PART)
+    # By range, so that a file holds one wave or a few, and a large wave has many files.
+    dealt = rows.repartitionByRange(found.parts(), WAVE, "card_id")
+    dealt.write.partitionBy(WAVE).parquet(path)
+    return rows.sparkSession.read.schema(dealt.schema).parquet(path), [held[wave] for wave in range(len(held))]
 
 
 def replay(transactions, folder, ranges, by_card=False, heavy_rows=HEAVY_ROWS, tick=1.0):

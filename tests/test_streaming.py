@@ -303,6 +303,27 @@ def test_a_hot_card_lands_in_many_files_and_micro_batches(spark, folder, rows):
     assert rows(spark.read.parquet(f"{folder}/out")) == rows(authorize(transactions, cards, customers))
 
 
+def test_many_hot_cards_share_files(spark, folder, rows, monkeypatch):
+    from tallycard.streaming import replay as replaying
+
+    monkeypatch.setattr(replaying, "WAVE_FILES", 4, raising=False)
+    transactions, *_ = hot_and_cold(spark, 3000)
+    many = transactions.withColumn("card_id", F.col("transaction_id") % 150)
+    replay(many, f"{folder}/in", day_ranges(many, 1), by_card=True, heavy_rows=5, tick=1.0)
+    landing = spark.read.parquet(f"{folder}/in/by_card")
+    assert rows(landing) == rows(many)
+    named = landing.select("card_id", "transaction_id", "_metadata.file_path", "_metadata.file_modification_time")
+    # Four waves: the first by the session's shuffle partitions, the others in four files.
+    assert named.select("file_path").distinct().count() <= 8 + 3 * 4
+    per_file = named.groupBy("card_id", "file_path", "file_modification_time")
+    chunks = per_file.agg(F.count("*").alias("n"), F.min("transaction_id").alias("low"), F.max("transaction_id").alias("high"))
+    held = {}
+    for row in chunks.orderBy("file_modification_time").collect():
+        assert row["n"] <= 5
+        held.setdefault(row["card_id"], []).append((row["low"], row["high"]))
+    assert all(len(spans) == 4 and spans == sorted(spans) for spans in held.values())
+
+
 def test_waves_keep_the_order_of_each_card(spark, monkeypatch):
     from tallycard.sources import log
 
