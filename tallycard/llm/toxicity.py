@@ -147,7 +147,10 @@ class Model:
         new = [word for word in words if word not in known]
         pieces = [pieces_of(word) for word in new]
         flat = list(itertools.chain.from_iterable(pieces))
-        margins = np.clip(self.landmarks(flat) @ self.weights + self.bias, -1, 1)
+        margins = np.empty(len(flat))
+        for start in range(0, len(flat), TOGETHER):
+            part = slice(start, start + TOGETHER)
+            margins[part] = np.clip(self.landmarks(flat[part]) @ self.weights + self.bias, -1, 1)
         at = 0
         for word, own in zip(new, pieces):
             known[word] = float(margins[at : at + len(own)].max())
@@ -241,10 +244,13 @@ def _landmarks(words, codes, offsets, toxic, n):
     size = edge + 1
     around = before * size + after
     order = np.lexsort((around, codes, owner))
-    keys = np.stack([owner[order], codes[order], around[order]])
-    new = np.concatenate(([True], (np.diff(keys) != 0).any(axis=0))) if len(codes) else np.empty(0, bool)
+    new = np.zeros(len(codes), dtype=bool)
+    new[:1] = True
+    for key in (owner, codes, around):
+        own = key[order]
+        new[1:] |= own[1:] != own[:-1]
     counts = np.zeros((2, len(words)))
-    np.add.at(counts, (keys[0][new], keys[1][new]), 1)
+    np.add.at(counts, (owner[order[new]], codes[order[new]]), 1)
     (clean, bad), all_places = counts, np.maximum(counts.sum(axis=1), 1)
     rate = (clean + bad) / all_places.sum()
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -313,7 +319,9 @@ def fit(texts, toxic, n_landmarks=LANDMARKS, rounds=8):
     labels = np.where(toxic == 1, 1.0, -1.0)
     weights, bias = whitening @ np.ones(len(chosen)) / 2, -0.5
     for _ in range(rounds):
-        margins = known @ weights
+        # By slices, as the product is made of wider numbers than are held.
+        starts = range(0, len(known), TOGETHER)
+        margins = np.concatenate([known[at : at + TOGETHER] @ weights for at in starts])
         rows, owner = [], []
         for number, bag in enumerate(bags):
             worst = bag[np.argsort(-margins[bag], kind="stable")[:TOP]]
@@ -322,8 +330,11 @@ def fit(texts, toxic, n_landmarks=LANDMARKS, rounds=8):
         rows, owner = np.concatenate(rows), np.concatenate(owner)
         weights, bias = _svm(known[rows], labels[owner], weights, bias)
     model = Model(landmarks, whitening @ weights, float(bias))
-    joined = pa.array(texts, pa.string())
-    model.curve = _logistic(model.features(*words_of(joined)), labels)
+    # What the rounds read is dropped before the documents are read once more, a slice at a time.
+    del words, codes, split, pieces, flat, known, bags
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    parts = [model.features(*words_of(part.column("text"))) for part in slices(batch, "text", SLICE_BYTES)]
+    model.curve = _logistic(np.concatenate(parts), labels)
     model.known = {}
     return model
 
