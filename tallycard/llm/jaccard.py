@@ -9,7 +9,7 @@ no closer than that. So past k > r |x| pivots no more copies are needed, and two
 share a region.
 
 The order needs the frequencies of shingles. They are counted only among the smallest hashes of each document,
-a share SKETCH of its shingles: two linked documents have enough of those in common that the rarer ones of them are
+a share SKETCH of its shingles and LEAST_SKETCH at least: two linked documents have enough of those in common that the rarer ones of them are
 still certain to meet (`_sketch_size`, `_window_size`).
 
 Sizes are one more pivot: as the distance to the empty set tells nothing, the triangle inequality is taken for the
@@ -18,9 +18,10 @@ and the next.
 
 Regions that share documents are joined together as long as they stay small: each document is then sent to one
 place only. Larger clusters are cut into blocks, those of one region side by side. Blocks are joined within themselves, and
-once more cut by the components known then; of those, each two blocks that share a region meet, but for blocks of one
-and the same component. All pairs of a place are measured by one matrix product; what leaves it is at most one link for
-each document. Equal sets are one node from the start.
+a few nodes of each component found are joined too. Then blocks are cut once more by the components known; of those, each
+two blocks that share a region meet, but for blocks of one and the same component. Within a place some sets are hubs that take
+all that are near them, and a matrix product measures all pairs that may still join two components; what leaves a place is
+at most one link for each document. Equal sets are one node from the start.
 
 Defined results
 * Words are cut at space, tab to carriage return, and A-Z are lower-cased. With fewer words than a shingle has, the
@@ -31,6 +32,7 @@ Defined results
 """
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +49,18 @@ SHINGLE = 4
 PERCENT = 85
 # By how many more percent of its shingles than it may lack a document is compared for candidates.
 SKETCH = 10
+# Smaller sets are compared by all of their shingles: by a few, each would be copied to the pivots of common passages.
+LEAST_SKETCH = 32
 # What one place takes: shingles, and documents, as each counts for so many shingles at least.
 MOST_SHINGLES = 1_500_000
 LEAST_WEIGHT = 366
 # Columns of the matrix at a time.
 STRIPE = 2048
 ROWS = 256
+# Hubs go on while each takes one in so many of the sets left.
+HUBS = 16
+# Nodes of a known component that stand for it where components of different blocks meet.
+STAND_INS = 8
 SLICE_BYTES = 2 << 20
 # Up to so many ids are broadcast.
 BROADCAST_IDS = 1_000_000
@@ -95,30 +103,26 @@ def shingle_sets(texts, size=SHINGLE):
                 yield np.empty(0, dtype=np.uint64)
 
 
-def _most_missing(size, percent):
-    """How many shingles of a set of this size a linked one may lack."""
-    return size - -(-percent * size // 100)
-
-
 def _sketch_size(size, percent):
-    """How many of its smallest hashes a set of this size is compared by."""
-    return min(size, (100 - percent + SKETCH) * size // 100 + 2)
+    """How many of its smallest hashes a set of this size is compared by; an array of sizes gives an array."""
+    return np.minimum(size, np.maximum(LEAST_SKETCH, (100 - percent + SKETCH) * size // 100 + 2))
 
 
+@lru_cache(maxsize=100_000)
 def _shared(size, percent):
     """How many members the sketches of a set of this size and any linked one share at least.
 
     In a set that lacks m of the common shingles, the first (sketch - m) common ones are certainly in its sketch.
     """
-    least = -(-percent * size // 100)
-    found = min(_sketch_size(n, percent) - _most_missing(n, percent) for n in (size, least))
-    # Rounding makes the smallest over all sizes between at most two less.
-    return max(1, found - 2)
+    other = np.arange(-(-percent * size // 100), 100 * size // percent + 1)
+    common = -(-percent * (size + other) // (100 + percent))
+    found = [_sketch_size(n, percent) - n + common for n in (size, other)]
+    return max(1, int(np.minimum(*found).min(initial=size)))
 
 
 def _window_size(size, percent):
     """How many pivots a set of this size is copied to: by the rest alone it could not have enough in common."""
-    return _sketch_size(size, percent) - _shared(size, percent) + 1
+    return int(_sketch_size(size, percent)) - _shared(size, percent) + 1
 
 
 def _as_long(values):
@@ -185,19 +189,19 @@ def _whole_sets(size):
 
 def regions(nodes, percent):
     """Rows (region, node, n_shingles): the windows of the nodes, for regions that two nodes and more share."""
-    found = nodes.select("node", "n_shingles", "window", F.size("sketch").alias("all"), F.explode("sketch").alias("pivot"))
+    spare = F.size("sketch") - F.col("window")
+    found = nodes.select("node", "n_shingles", spare.alias("spare"), F.explode("sketch").alias("pivot"))
     frequent = found.groupBy("pivot").agg(F.count(F.lit(1)).alias("frequency")).where("frequency > 1")
     shared = found.join(frequent, "pivot")
     # A node's pivots that are all its own come first, and are not among these rows.
     rare_first = Window.partitionBy("node").orderBy("frequency", "pivot")
     own = F.count(F.lit(1)).over(Window.partitionBy("node"))
     placed = shared.select(
-        "pivot", "node", "n_shingles", "window",
-        (F.row_number().over(rare_first) + F.col("all") - own).alias("place"),
+        "pivot", "node", "n_shingles", "spare", own.alias("own"), F.row_number().over(rare_first).alias("nth")
     )
     # Sizes of linked nodes are in one band or in two that follow each other.
     band = F.floor(F.ln("n_shingles") / (1.0001 * math.log(100 / percent)))
-    windows = placed.where(F.col("place") <= F.col("window")).select(
+    windows = placed.where(F.col("nth") + F.col("spare") <= F.col("own")).select(
         "pivot", "node", "n_shingles", F.explode(F.array(band, band + 1)).alias("band")
     )
     windows = windows.select(F.xxhash64("pivot", "band").alias("region"), "node", "n_shingles")
@@ -207,7 +211,11 @@ def regions(nodes, percent):
 
 
 def linked(sets, percent=PERCENT):
-    """Links (position, position of the first of its component) among sets, as arrays of distinct hashes."""
+    """Links (position, position of the first of its component) among sets, as arrays of distinct hashes.
+
+    One set after the other is a hub that takes all that are near it, as long as few hubs take many. Then a matrix has
+    the pairs that may still join two components: those with a set that is neither a hub nor in the largest component.
+    """
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -216,25 +224,75 @@ def linked(sets, percent=PERCENT):
     # Numbered anew, without those that a single set has.
     numbers = np.cumsum(counts > 1) - 1
     codes, wide = numbers[codes], int(numbers[-1]) + 1 if len(numbers) else 0
+    root = np.full(len(sets), -1)
+    is_hub = np.zeros(len(sets), dtype=bool)
+    rest = np.arange(len(sets))
+    while len(rest):
+        hub = rest[0]
+        own = np.zeros(wide, dtype=bool)
+        own[codes[slice(*np.searchsorted(owner, (hub, hub + 1)))]] = True
+        some = np.bincount(owner[own[codes]], minlength=len(sets))
+        near = 100 * some >= percent * (sizes[hub] + sizes - some)
+        near[hub] = is_hub[hub] = True
+        known = np.unique(root[near & (root >= 0)])
+        root[near | np.isin(root, known)] = known[0] if len(known) else hub
+        before, rest = len(rest), np.flatnonzero(root < 0)
+        if (before - len(rest)) * HUBS < before:
+            break
+    # Pairs within the largest component need no look, and those of hubs had one.
+    root[rest] = rest
+    largest = np.bincount(root).argmax() if len(root) else 0
+    open_ = np.flatnonzero((root != largest) & ~is_hub)
+    if len(open_):
+        root = _joined(root, open_, _near_rest(sizes, owner, codes, wide, open_, percent))
+    moved = np.flatnonzero(root != np.arange(len(sets)))
+    return moved, root[moved]
+
+
+def _near_rest(sizes, owner, codes, wide, rest, percent):
+    """Which of all sets (columns) are near those at the positions `rest` (rows)."""
+    if len(rest) < len(sizes) < 2 * len(rest):
+        # The product of a matrix with itself takes half the time of one with another.
+        return _near_rest(sizes, owner, codes, wide, np.arange(len(sizes)), percent)[rest]
     order = np.argsort(codes, kind="stable")
     owner, codes = owner[order], codes[order]
-    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    row = np.full(len(sizes), -1)
+    row[rest] = np.arange(len(rest))
+    common = np.zeros((len(rest), len(sizes)), dtype=np.float32)
     for start in range(0, wide, STRIPE):
         low, high = np.searchsorted(codes, (start, start + STRIPE))
-        rows, which = np.unique(owner[low:high], return_inverse=True)
-        stripe = np.zeros((len(rows), min(STRIPE, wide - start)), dtype=np.float32)
+        columns, which = np.unique(owner[low:high], return_inverse=True)
+        stripe = np.zeros((len(columns), min(STRIPE, wide - start)), dtype=np.float32)
         stripe[which, codes[low:high] - start] = 1
-        if len(rows) == len(sets):
+        if len(rest) == len(columns) == len(sizes):
             common += stripe @ stripe.T
+        elif len(rest) == len(sizes):
+            common[np.ix_(columns, columns)] += stripe @ stripe.T
         else:
-            common[np.ix_(rows, rows)] += stripe @ stripe.T
+            rows = row[columns]
+            common[np.ix_(rows[rows >= 0], columns)] += stripe[rows >= 0] @ stripe.T
     near = np.empty(common.shape, dtype=bool)
     # A few rows at a time, as whole numbers of 64 bits take more than the matrix.
-    for start in range(0, len(sets), ROWS):
+    for start in range(0, len(rest), ROWS):
         some = common[start : start + ROWS].astype(np.int64)
-        either = sizes[start : start + ROWS, None] + sizes[None, :] - some
+        either = sizes[rest[start : start + ROWS], None] + sizes[None, :] - some
         near[start : start + ROWS] = 100 * some >= percent * either
-    return _hung(near)
+    return near
+
+
+def _joined(root, rest, near):
+    """`root` (each position's first of its component) when also those at `rest` (rows) are linked with those near them."""
+    points, point = np.unique(root, return_inverse=True)
+    order = np.argsort(point, kind="stable")
+    near = np.logical_or.reduceat(near[:, order], np.searchsorted(point[order], np.arange(len(points))), axis=1)
+    order = np.argsort(point[rest], kind="stable")
+    which, start = np.unique(point[rest][order], return_index=True)
+    among = np.eye(len(points), dtype=bool)
+    among[which] |= np.logical_or.reduceat(near[order], start, axis=0)
+    moved, roots = _hung(among | among.T)
+    first = points.copy()
+    first[moved] = points[roots]
+    return first[point]
 
 
 def _hung(near):
@@ -339,15 +397,20 @@ def _blocks(rows, *order):
     return rows.withColumn("block", F.floor(so_far / (MOST_SHINGLES // 2)).cast("int"))
 
 
+def _parts(rows):
+    return rows.select(F.col("cluster").alias("place"), F.col("block").alias("part"), "node", "n_shingles")
+
+
 def _large_links(own, shared, sets, percent):
     """Links within clusters that are too large for one place: rows (cluster, node, n_shingles)."""
     first = shared.groupBy("node").agg(F.min("region").alias("first"))
     own = kept(own.join(first, "node"), "jaccard-large")
-    near = _join_places(
-        _blocks(own, "first").select(F.col("cluster").alias("place"), F.col("block").alias("part"), "node", "n_shingles"),
-        sets,
-        percent,
-    )
+    near = _join_places(_parts(_blocks(own, "first")), sets, percent)
+    # Blocks of one component are not compared any more, so first those of different blocks are joined by a few nodes.
+    known = own.join(components(near, "jaccard-known"), "node")
+    nth = F.row_number().over(Window.partitionBy("cluster", "root").orderBy("node"))
+    standing = kept(known.withColumn("nth", nth).where(F.col("nth") <= STAND_INS), "jaccard-stand-ins")
+    near = near.unionByName(_join_places(_parts(_blocks(standing, "first")), sets, percent))
     known = components(near, "jaccard-known")
     rooted = own.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = kept(_blocks(rooted, "root", "first"), "jaccard-blocks")

@@ -136,3 +136,59 @@ def test_hung_finds_the_smallest_reachable(spark):
     near[1, 3] = near[3, 1] = near[3, 4] = near[4, 3] = True
     moved, roots = jaccard._hung(near)
     assert (moved.tolist(), roots.tolist()) == ([3, 4], [1, 1])
+
+
+def test_short_documents_with_a_common_line_share_no_region(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    line = " ".join(word() for _ in range(13))
+    rows = [(n, " ".join(word() for _ in range(15)) + "\n" + line) for n in range(60)]
+    found = jaccard.regions(jaccard.sketches(made(spark, rows)), 85)
+    assert found.count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 40), st.sampled_from([1, 2, 16]), st.randoms())
+def test_linked_equals_all_pairs(count, hubs, rng):
+    import numpy as np
+
+    # Copies of copies, so that components are chains and not only stars.
+    made = [rng.sample(range(10**6), rng.randrange(1, 60)) for _ in range(rng.randrange(1, 4))]
+    while len(made) < count:
+        one = set(rng.choice(made))
+        for _ in range(rng.randrange(0, len(one) // 8 + 2)):
+            one.discard(rng.choice(sorted(one)))
+            one.add(rng.randrange(200))
+        made.append(sorted(one))
+    sets = sorted({tuple(sorted(one)) for one in made})
+    rng.shuffle(sets)
+    sets = [np.array(one, dtype=np.uint64) for one in sets]
+    near = np.array([[100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) for b in sets] for a in sets])
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jaccard, "HUBS", hubs, raising=False)
+        moved, roots = jaccard.linked(sets)
+    expected = jaccard._hung(near)
+    assert (moved.tolist(), roots.tolist()) == (expected[0].tolist(), expected[1].tolist())
+
+
+def test_blocks_of_near_copies_do_not_all_meet(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MOST_SHINGLES", 6000)
+    monkeypatch.setattr(jaccard, "LEAST_WEIGHT", 40)
+    monkeypatch.setattr(jaccard, "STAND_INS", 1, raising=False)
+    compared, join = [], jaccard._join_places
+
+    def counting(members, sets, percent):
+        compared.append(members.count())
+        return join(members, sets, percent)
+
+    monkeypatch.setattr(jaccard, "_join_places", counting)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base, rows = [word() for _ in range(200)], []
+    for n in range(90):
+        words = list(base)
+        words[rng.randrange(200)] = word()
+        rows.append((n, " ".join(words)))
+    found = jaccard.classes(made(spark, rows)).collect()
+    assert {row["component_id"] for row in found} == {0}
+    assert sum(compared) < 2 * len(rows)
